@@ -46,32 +46,39 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     l_extendedprice, ...) order, joined with ``||``."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    ln = F.col("l_linenumber")
-    carrier = (F.col("l_suppkey") % AIRLINES).cast("string")
-    seg = F.struct(
-        ln.alias("ln"), F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"),
-        F.col("l_extendedprice").alias("px"),
-        F.when(F.col("l_orderkey") % 37 == 0, F.lit("n/a"))
-         .otherwise(F.concat(day, F.lit("T"), _lpad2((ln * 3) % 24), F.lit(":30:00.000-04:00")))
-         .alias("dep"),
-        F.concat(day, F.lit("T"), _lpad2((ln * 5 + 1) % 24), F.lit(":"), _lpad2((ln * 7) % 60),
-                 F.lit(":00.000+01:00")).alias("arr"),
-        F.concat(F.lit("P"), (F.col("l_partkey") % 25).cast("string")).alias("arr_ap"),
-        F.concat(F.lit("S"), (F.col("l_suppkey") % 25).cast("string")).alias("dep_ap"),
-        F.concat(F.lit("Carrier "), carrier).alias("name"),
-        F.concat(F.lit("C"), carrier).alias("code"),
-        (ln * 900).cast("string").alias("secs"),
+    # Only the small numeric line fields cross the shuffle; segment strings are
+    # built after grouping. Sorting by (line, part, supplier, price, ship day)
+    # is the segment order (the strings are functions of these fields).
+    line = F.struct(
+        F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
+        F.col("l_suppkey").alias("sk"), F.col("l_extendedprice").alias("px"),
+        F.col("l_shipdate").cast("date").alias("day"),
     )
     per_order = li.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("min_supp"),
         F.sum("l_linenumber").alias("q"),
         F.count(F.lit(1)).alias("n_lines"),
-        F.array_sort(F.collect_list(seg)).alias("segs"),
+        F.array_sort(F.collect_list(line)).alias("segs"),
     )
+    na = F.col("l_orderkey") % 37 == 0
+
+    def seg_text(s, field):
+        day, ln = s["day"].cast("string"), s["ln"]
+        carrier = (s["sk"] % AIRLINES).cast("string")
+        return {
+            "dep": F.when(na, F.lit("n/a")).otherwise(
+                F.concat(day, F.lit("T"), _lpad2((ln * 3) % 24), F.lit(":30:00.000-04:00"))),
+            "arr": F.concat(day, F.lit("T"), _lpad2((ln * 5 + 1) % 24), F.lit(":"), _lpad2((ln * 7) % 60),
+                            F.lit(":00.000+01:00")),
+            "arr_ap": F.concat(F.lit("P"), (s["pk"] % 25).cast("string")),
+            "dep_ap": F.concat(F.lit("S"), (s["sk"] % 25).cast("string")),
+            "name": F.concat(F.lit("Carrier "), carrier),
+            "code": F.concat(F.lit("C"), carrier),
+            "secs": (ln * 900).cast("string"),
+        }[field]
 
     def joined(field):
-        return F.array_join(F.transform("segs", lambda s: s[field]), "||")
+        return F.array_join(F.transform("segs", lambda s: seg_text(s, field)), "||")
 
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")

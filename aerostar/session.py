@@ -41,6 +41,11 @@ def get_spark(master: str | None = None, app: str = "aerostar",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_settings(spark)
+    if spark.sparkContext.master.startswith("local"):
+        # One machine, local disk: list partition folders on the driver rather
+        # than with a listing job of one task per folder (that job is what a
+        # cluster wants for thousands of day folders on remote storage).
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     return spark
 
 
