@@ -41,33 +41,46 @@ def get_spark(master: str | None = None, app: str = "aerostar",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_settings(spark)
-    if spark.sparkContext.master.startswith("local"):
-        # One machine, local disk: list partition folders on the driver rather
-        # than with a listing job of one task per folder (that job is what a
-        # cluster wants for thousands of day folders on remote storage).
-        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     return spark
 
 
 def apply_settings(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
-    for k, v in SESSION_CONF.items():
+    conf = dict(SESSION_CONF)
+    if _is_local(spark):
+        # One machine, local disk: list partition folders on the driver rather
+        # than with a listing job of one task per folder (that job is what a
+        # cluster wants for thousands of day folders on remote storage).
+        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
+    for k, v in conf.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked config: keep the session's value
             pass
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # no classic context (e.g. a remote session)
+        return False
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder; set one only when unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no classic context: only the configuration is visible
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Unset: a local run (tests). A cluster deployment names a shared folder.
         configured = tempfile.mkdtemp(prefix="aerostar-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
