@@ -12,6 +12,8 @@ clean -> country / location / hotel dimensions and the stay fact -> CSVs.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,20 +47,31 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
     fact = fact_flight(clean, airlines, airports)
 
     wh = f"{out}/warehouse"
-    paths["dim_airport"] = write_single_csv(airports, f"{wh}/dim_airport.csv")
-    paths["dim_airline"] = write_single_csv(airlines, f"{wh}/dim_airline.csv")
-    paths["dim_date"] = write_single_csv(dates, f"{wh}/dim_date.csv")
-    # The fact is written in parallel parts (a single file would funnel the
-    # largest table through one task).
+    # Independent sinks run as concurrent Spark jobs (the original graph runs
+    # the dimension branches in parallel too); the fact's publish waits for
+    # the dimensions, as in the original dependency order.
     paths["fact_flight"] = f"{wh}/fact_flight"
-    write_csv(fact, paths["fact_flight"])
+    _concurrently([
+        lambda: write_single_csv(airports, f"{wh}/dim_airport.csv"),
+        lambda: write_single_csv(airlines, f"{wh}/dim_airline.csv"),
+        lambda: write_single_csv(dates, f"{wh}/dim_date.csv"),
+        # The fact is written in parallel parts (a single file would funnel
+        # the largest table through one task).
+        lambda: write_csv(fact, paths["fact_flight"]),
+    ])
+    paths.update({"dim_airport": f"{wh}/dim_airport.csv", "dim_airline": f"{wh}/dim_airline.csv",
+                  "dim_date": f"{wh}/dim_date.csv"})
 
     if publish_tables:
         pub = f"{out}/published"
-        paths["pub_dim_date"] = publish(dates, f"{pub}/dim_date", DATE_DIMS, "dateKey", "yyyyMMdd")
-        paths["pub_dim_airport"] = publish(airports, f"{pub}/dim_airport", ["airportKey", "airportCode"])
-        paths["pub_dim_airline"] = publish(airlines, f"{pub}/dim_airline", ["airlineKey", "airlineName"])
-        paths["pub_fact_flight"] = publish(fact, f"{pub}/fact_flight", FACT_DIMS, "dateKey", "yyyyMMdd")
+        paths.update({"pub_dim_date": f"{pub}/dim_date", "pub_dim_airport": f"{pub}/dim_airport",
+                      "pub_dim_airline": f"{pub}/dim_airline", "pub_fact_flight": f"{pub}/fact_flight"})
+        _concurrently([
+            lambda: publish(dates, paths["pub_dim_date"], DATE_DIMS, "dateKey", "yyyyMMdd"),
+            lambda: publish(airports, paths["pub_dim_airport"], ["airportKey", "airportCode"]),
+            lambda: publish(airlines, paths["pub_dim_airline"], ["airlineKey", "airlineName"]),
+        ])
+        publish(fact, paths["pub_fact_flight"], FACT_DIMS, "dateKey", "yyyyMMdd")
     return paths
 
 
@@ -84,12 +97,19 @@ def run_hotel(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
         "dim_hotel": dim_hotel(hotels, countries),
         "fact_hotel_stay": fact_hotel_stay(hotels, countries),
     }
-    for name, df in outputs.items():
+    for name in outputs:
         paths[name] = f"{wh}/{name}"
-        write_csv(df, paths[name])
+    _concurrently([(lambda df=df, name=name: write_csv(df, paths[name])) for name, df in outputs.items()])
     return paths
 
 
+def _concurrently(jobs) -> None:
+    """Submit independent Spark jobs from driver threads; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def output_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per output table, as one small DataFrame."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")

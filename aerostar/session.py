@@ -23,6 +23,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Let AQE coalesce small shuffles only down to ~1 KB partitions instead of
+    # 1 MB: a day-partitioned write of a small table otherwise lands in one
+    # task that writes every day file serially. Large shuffles are unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
 }
 
 
