@@ -5,7 +5,7 @@ Sub-packages:
 * ``functions`` - ``Column -> Column`` helpers (durations, segments, times, text).
 * ``sources``   - scans: legs / hotel CSV, nested hotel JSON, saved web pages.
 * ``operators`` - projections, filters, dedupe, surrogate keys, dimension lookups.
-* ``plans``     - star-schema builders, the page scrape, end-to-end pipelines and
+* ``plans``     - star-schema builders, the page scrape, end-to-end ETL runs and
                   the fixtures that shape the test tables into travel inputs.
 * ``sinks``     - CSV writers and the day-partitioned publish step.
 * ``streaming`` - resumable page ingest on Structured Streaming.

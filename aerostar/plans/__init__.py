@@ -1 +1 @@
-"""Composite plans: star schemas, the page scrape, pipelines and test fixtures."""
+"""Composite plans: star schemas, the page scrape, end-to-end ETL runs and test fixtures."""

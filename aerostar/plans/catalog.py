@@ -21,7 +21,7 @@ from aerostar.operators import (
     unique_key,
 )
 from aerostar.plans import fixtures, flight, hotel, oracle as O, scrape
-from aerostar.plans.pipelines import DATE_DIMS, FACT_DIMS, output_counts, run_flight, run_hotel
+from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, output_counts, run_flight, run_hotel
 from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, LEG_COLUMNS_WIDE
 from aerostar.session import apply_settings, stage_dir
 from aerostar.sinks import append_rows, publish, read_published, write_csv, write_single_csv
@@ -709,16 +709,16 @@ def publish_dim_constant_time(spark, sf):
     return read_published(spark, path)
 
 
-# ---- pipelines ---------------------------------------------------------------------------
+# ---- end-to-end runs ---------------------------------------------------------------------------
 
-@query("pipeline_flight", S("""
+@query("flight_etl_run", S("""
 SELECT 'clean_legs' AS table_name, count(*) AS rows FROM clean
 UNION ALL SELECT 'dim_airport', count(*) FROM dim_airport
 UNION ALL SELECT 'dim_airline', count(*) FROM dim_airline
 UNION ALL SELECT 'dim_date', count(*) FROM dim_date
 UNION ALL SELECT 'fact_flight', count(*) FROM fact_flight
 UNION ALL SELECT 'published_fact_flight', count(*) FROM (SELECT DISTINCT * FROM fact_flight)"""))
-def pipeline_flight(spark, sf):
+def flight_etl_run(spark, sf):
     """The whole flight run; row counts of what it wrote."""
     out = stage_dir(spark, "flight-run")
     p = run_flight(spark, legs(spark, sf), out)
@@ -733,13 +733,13 @@ def pipeline_flight(spark, sf):
     })
 
 
-@query("pipeline_hotel", H("""
+@query("hotel_etl_run", H("""
 SELECT 'dim_country' AS table_name, count(*) AS rows FROM (SELECT DISTINCT "Country Name" FROM ch)
 UNION ALL SELECT 'dim_location', count(*) FROM (SELECT DISTINCT "Location ID", "Location Name", "Latitude", "Longitude" FROM ch)
 UNION ALL SELECT 'dim_hotel', count(*) FROM (SELECT DISTINCT "Hotel ID", "Label", "Location ID", "Country Name" FROM ch)
 UNION ALL SELECT 'fact_hotel_stay', count(*) FROM (SELECT DISTINCT "Hotel ID", "Hotels Count", "Location ID", "Country Name" FROM ch)""".replace(
     "FROM ch)", "FROM (SELECT * FROM clean_hotels WHERE \"Country Name\" <> '') ch)")))
-def pipeline_hotel(spark, sf):
+def hotel_etl_run(spark, sf):
     """Land pages, ingest incrementally, build the hotel tables; row counts."""
     root = stage_dir(spark, "hotel-run")
     land_pages(fixtures.hotel_pages(spark, sf), f"{root}/landing", "batch-1")

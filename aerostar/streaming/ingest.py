@@ -7,7 +7,7 @@ Streaming's own: each run processes exactly the files not seen before
 (``trigger(availableNow=True)``), appends the flattened rows to Parquet and
 stops. Re-running adds nothing; a new file adds its rows once; an empty page
 adds none. The checkpoint and output folders must be on shared, reliable
-storage (below ``spark.checkpoint.dir`` in the pipelines)."""
+storage (below ``spark.checkpoint.dir`` in the ETL runs)."""
 
 from __future__ import annotations
 
