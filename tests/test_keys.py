@@ -35,3 +35,11 @@ def test_unique_key_unique(spark):
     df = unique_key(spark.range(0, 1000, numPartitions=4), "fk")
     assert df.select("fk").distinct().count() == 1000
     assert df.agg(F.min("fk")).first()[0] == 1
+
+
+def test_fits_broadcast_bounds(spark):
+    from aerostar.operators import fits_broadcast
+    df = spark.range(0, 100).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"))
+    assert fits_broadcast(df)
+    assert not fits_broadcast(df, max_rows=50)
+    assert not fits_broadcast(df, max_bytes=50_000)  # ~100 kB of strings
