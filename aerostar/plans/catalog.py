@@ -23,7 +23,7 @@ from aerostar.operators import (
 from aerostar.plans import fixtures, flight, hotel, oracle as O, scrape
 from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, output_counts, run_flight, run_hotel
 from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, LEG_COLUMNS_WIDE
-from aerostar.session import apply_settings, stage_dir
+from aerostar.session import apply_settings, run_concurrently, stage_dir
 from aerostar.sinks import append_rows, publish, read_published, write_csv, write_single_csv
 from aerostar.sources import (
     flatten_hotel_pages, parse_hotel_pages, read_hotels, read_legs, read_typed_csv, zip_fields,
@@ -81,7 +81,8 @@ def driver_pages(spark, sf):
 
 def star(spark, sf):
     c = clean(spark, sf)
-    return c, flight.dim_airline(c), flight.dim_airport(c)
+    airlines, airports = run_concurrently([lambda: flight.dim_airline(c), lambda: flight.dim_airport(c)])
+    return c, airlines, airports
 
 
 FLAGS = ["isBasicEconomy", "isRefundable", "isNonStop"]

@@ -12,7 +12,6 @@ clean -> country / location / hotel dimensions and the stay fact -> CSVs.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from aerostar.plans.hotel import (
 from aerostar.operators import blank_to_null
 from aerostar.schemas import HOTEL_COLUMNS, HOTELS
 from pyspark.sql.types import StringType
+from aerostar.session import run_concurrently
 from aerostar.sinks import publish, write_csv, write_single_csv
 from aerostar.streaming import ingest_pages
 
@@ -41,8 +41,7 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
     clean_legs(legs, key=key).write.mode("overwrite").parquet(paths["clean"])
     clean = spark.read.parquet(paths["clean"])
 
-    airports = dim_airport(clean)
-    airlines = dim_airline(clean)
+    airports, airlines = run_concurrently([lambda: dim_airport(clean), lambda: dim_airline(clean)])
     dates = dim_date(clean)
     fact = fact_flight(clean, airlines, airports)
 
@@ -104,10 +103,7 @@ def run_hotel(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
 
 
 def _concurrently(jobs) -> None:
-    """Submit independent Spark jobs from driver threads; re-raise the first failure."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
+    run_concurrently(jobs)
 
 
 def output_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:

@@ -12,9 +12,10 @@ from aerostar.functions import (
     segments, to_bool, to_float,
 )
 from aerostar.operators import (
-    dedupe, dense_key, distinct_of, drop_null, fill, lookup_key, project,
+    dedupe, dense_key, distinct_of, drop_null, fill, fits_broadcast, lookup_key, project,
     union_distinct, unique_key,
 )
+from aerostar.session import run_concurrently
 from aerostar.schemas import LEG_COLUMNS, LEG_COLUMNS_WIDE
 
 CRITICAL = ["legId", "flightDate", "startingAirport", "destinationAirport"]
@@ -104,11 +105,17 @@ def fact_flight(clean: DataFrame, airlines: DataFrame, airports: DataFrame) -> D
         *FLAGS, "totalFare", "travelDuration", "departureTime", "arrivalTime",
         date_key("flightDate").alias("dateKey"),
     )
-    fact = lookup_key(fact, airlines, "airlineName", "airlineName", "airlineKey")
+    # One size check per dimension (the airport one serves both roles).
+    small_airlines, small_airports = run_concurrently([
+        lambda: fits_broadcast(airlines.select("airlineName", "airlineKey")),
+        lambda: fits_broadcast(airports.select("airportCode", "airportKey")),
+    ])
+    fact = lookup_key(fact, airlines, "airlineName", "airlineName", "airlineKey",
+                      broadcast=small_airlines)
     fact = lookup_key(fact, airports, "startingAirportId", "airportCode", "airportKey",
-                      as_name="startingAirportKey")
+                      as_name="startingAirportKey", broadcast=small_airports)
     fact = lookup_key(fact, airports, "destinationAirportId", "airportCode", "airportKey",
-                      as_name="destinationAirportKey")
+                      as_name="destinationAirportKey", broadcast=small_airports)
     return fact.select("flightKey", *FLAGS, "totalFare", "travelDuration", "departureTime",
                        "arrivalTime", "dateKey", "airlineKey", "startingAirportKey",
                        "destinationAirportKey")

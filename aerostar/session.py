@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -104,3 +105,14 @@ def local_path(path: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def run_concurrently(jobs):
+    """Run independent driver-side callables (each submits its own Spark jobs)
+    from threads, so small jobs overlap instead of queueing; returns their
+    results in order and re-raises the first failure."""
+    if len(jobs) <= 1:
+        return [j() for j in jobs]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
