@@ -44,8 +44,9 @@ def zip_fields(df: DataFrame, lists: list[str], keep: tuple[str, ...] = (),
             ok = same[0]
             for s in same[1:]:
                 ok = ok & s
-            frame = frame.withColumn(
-                "__check", F.assert_true(ok, F.lit("page lists differ in length")))
+            # A filter, not a projected column: an unused column would be
+            # pruned by the optimizer and the check would never run.
+            frame = frame.filter(F.assert_true(ok, F.lit("page lists differ in length")).isNull())
     zipped = F.arrays_zip(*[F.col(c) for c in lists])
     rows = frame.select(*keep, F.posexplode(zipped).alias(pos, "__z"))
     # arrays_zip pads the shorter lists with null at the end.

@@ -89,3 +89,15 @@ def test_single_csv_file(spark, scratch):
     path = write_single_csv(df, f"{scratch}/one.csv")
     assert os.path.isfile(path)
     assert len(open(path).read().strip().splitlines()) == 11
+
+
+def test_zip_fields_pads_and_checks_lengths(spark):
+    import pytest
+    from aerostar.sources import zip_fields
+    df = spark.createDataFrame([(1, ["a", "b", "c"], ["1", "2"], ["x", "y", "z"])],
+                               "page_id int, dep array<string>, fare array<string>, al array<string>")
+    rows = zip_fields(df, ["dep", "fare", "al"], keep=("page_id",), pad={"fare": "NA"}).collect()
+    assert [(r.pos, r.dep, r.fare, r.al) for r in rows] == [(0, "a", "1", "x"), (1, "b", "2", "y"), (2, "c", "NA", "z")]
+    bad = spark.createDataFrame([(1, ["a", "b"], ["x"])], "page_id int, dep array<string>, al array<string>")
+    with pytest.raises(Exception):
+        zip_fields(bad, ["dep", "al"], keep=("page_id",)).collect()

@@ -43,3 +43,10 @@ def test_fits_broadcast_bounds(spark):
     assert fits_broadcast(df)
     assert not fits_broadcast(df, max_rows=50)
     assert not fits_broadcast(df, max_bytes=50_000)  # ~100 kB of strings
+
+
+def test_dense_key_empty_input(spark):
+    df = spark.range(0).select(F.col("id").cast("string").alias("k"))
+    out = dense_key(df, ["k"], "key")
+    assert out.count() == 0
+    assert out.columns == ["k", "key"]
