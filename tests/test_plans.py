@@ -8,8 +8,9 @@ from conftest import SF_SMALL
 
 
 def plan_of(df):
-    df.write.format("noop").mode("overwrite").save()  # run, so AQE's final plan is visible
-    return df._jdf.queryExecution().executedPlan().toString()
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()  # run this very plan, so AQE's final plan is visible
+    return qe.executedPlan().toString()
 
 
 def test_fact_lookups_are_broadcast_and_fact_not_shuffled(spark):
@@ -37,3 +38,34 @@ def test_dimension_key_has_no_global_row_window(spark):
     plan = plan_of(flight.dim_airline(clean))
     # The only single-partition step is over per-partition counts, not rows.
     assert "row_number" not in plan.lower()
+
+
+def test_large_dimension_lookup_splits_hot_key(spark):
+    """A dimension over the broadcast budget goes to a shuffle join; a fact key
+    holding a third of the rows is split by AQE's skew join, not sent to one task."""
+    from aerostar.operators import lookup_key
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 300_000
+        fact = spark.range(0, n, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50_000).alias("nk"),
+            F.col("id").alias("fid"))
+        dim = spark.range(0, 50_000).select(F.col("id").alias("nk"), (F.col("id") + 1).alias("sk"))
+        out = lookup_key(fact, dim, "nk", "nk", "sk", broadcast=False)
+        assert out.filter(F.col("sk").isNull()).count() == 0
+        plan = plan_of(out)
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
