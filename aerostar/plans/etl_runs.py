@@ -106,6 +106,33 @@ def _concurrently(jobs) -> None:
     run_concurrently(jobs)
 
 
+def run_explore(spark: SparkSession, legs: DataFrame, out: str) -> dict[str, str]:
+    """The exploratory job's tables (airline pairs, flight type, date with an
+    integer key, flight dimension), written as CSV folders."""
+    from aerostar.plans.flight import (
+        dim_airline_pairs, dim_date_rownum, dim_flight, dim_flight_type, explore_legs,
+    )
+    out = out.rstrip("/")
+    paths = {"explore": f"{out}/stage/explore_legs"}
+    explore_legs(legs).write.mode("overwrite").parquet(paths["explore"])
+    base = spark.read.parquet(paths["explore"])
+    tables = run_concurrently([lambda: dim_airline_pairs(base), lambda: dim_flight_type(base),
+                               lambda: dim_date_rownum(base), lambda: dim_flight(base)])
+    names = ["dim_airline", "dim_flight_type", "dim_date", "dim_flight"]
+    for name in names:
+        paths[name] = f"{out}/warehouse/{name}"
+    _concurrently([(lambda df=df, name=name: write_csv(df, paths[name])) for name, df in zip(names, tables)])
+    return paths
+
+
+def run_scrape(spark: SparkSession, pages: DataFrame, out: str, year: int = 2025) -> str:
+    """Saved search pages ``(page_id, html)`` -> the scraped flight table as CSV."""
+    from aerostar.plans.scrape import scraped_flights
+    path = f"{out.rstrip('/')}/flights_crawl"
+    write_csv(scraped_flights(pages, year=year), path)
+    return path
+
+
 def output_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per output table, as one small DataFrame."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
