@@ -82,7 +82,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local run (tests). A cluster deployment names a shared folder.
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a shared, reliable folder: staged "
+                               "tables must outlive executors and be visible to all of them")
+        # Unset in a local run (tests): a folder of this machine is the shared folder.
         configured = tempfile.mkdtemp(prefix="aerostar-ckpt-")
     if sc is None:
         return configured

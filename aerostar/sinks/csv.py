@@ -29,13 +29,22 @@ def append_rows(df: DataFrame, path: str) -> None:
     _writer(df, "append").csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str) -> str:
+SINGLE_FILE_MAX_ROWS = 5_000_000
+
+
+def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
     """One named CSV file (e.g. ``.../dim_date.csv``), for dimension-sized data.
 
     Written through one task to a sibling folder, then the part file is
     renamed with the Hadoop ``FileSystem`` of the target (works on HDFS and
-    object stores, unlike local ``os``/``shutil`` calls on the driver)."""
+    object stores, unlike local ``os``/``shutil`` calls on the driver).
+    One task only ever gets a table proven to hold at most ``max_rows`` rows
+    (a bounded count first); a larger table is written as a folder of parallel
+    parts at ``path`` instead, which Spark reads back the same way."""
     spark = df.sparkSession
+    if df.limit(max_rows + 1).count() > max_rows:
+        write_csv(df, path)
+        return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     write_csv(df, tmp, single_part=True)
     jvm = spark.sparkContext._jvm

@@ -101,3 +101,10 @@ def test_zip_fields_pads_and_checks_lengths(spark):
     bad = spark.createDataFrame([(1, ["a", "b"], ["x"])], "page_id int, dep array<string>, al array<string>")
     with pytest.raises(Exception):
         zip_fields(bad, ["dep", "al"], keep=("page_id",)).collect()
+
+
+def test_single_csv_falls_back_to_parts_above_bound(spark, scratch):
+    df = spark.range(0, 100, numPartitions=4)
+    path = write_single_csv(df, f"{scratch}/big.csv", max_rows=10)
+    assert os.path.isdir(path)
+    assert spark.read.option("header", True).csv(path).count() == 100
