@@ -318,13 +318,13 @@ def dim_airline_pairs(spark, sf):
 
 # ---- times and dates ------------------------------------------------------------------
 
-@query("first_departure_time", L(f"SELECT legId, {O.clock(chr(39).join(['string_split(segmentsDepartureTimeRaw, ', '||', ')[1]']))} AS departureTime FROM legs"))
+@query("first_departure_time", L(f"SELECT legId, {O.clock(O.FIRST_DEPARTURE)} AS departureTime FROM legs"))
 def first_departure_time(spark, sf):
     """First departure instant shown as hh:mm a (UTC)."""
     return legs(spark, sf).select("legId", clock(first_item(segments("segmentsDepartureTimeRaw"))).alias("departureTime"))
 
 
-@query("last_arrival_time", L(f"SELECT legId, {O.clock(chr(39).join(['string_split(segmentsArrivalTimeRaw, ', '||', ')[-1]']))} AS arrivalTime FROM legs"))
+@query("last_arrival_time", L(f"SELECT legId, {O.clock(O.LAST_ARRIVAL)} AS arrivalTime FROM legs"))
 def last_arrival_time(spark, sf):
     """Last arrival instant shown as hh:mm a (UTC)."""
     return legs(spark, sf).select("legId", clock(last_item(segments("segmentsArrivalTimeRaw"))).alias("arrivalTime"))

@@ -43,6 +43,9 @@ def flag(e: str) -> str:
     return f"CASE WHEN {e} = true THEN 1 ELSE 0 END"
 
 
+FIRST_DEPARTURE = "string_split(segmentsDepartureTimeRaw, '||')[1]"
+LAST_ARRIVAL = "string_split(segmentsArrivalTimeRaw, '||')[-1]"
+
 _SEG_ORDER = "ORDER BY ln, pk, sk, px, dep, arr"
 
 LEGS = f"""
@@ -112,8 +115,8 @@ clean_cols AS (
     CAST(coalesce(totalFare, 0) AS FLOAT) AS totalFare,
     string_split(segmentsAirlineName, '||')[1] AS segmentsAirlineName,
     {iso_hours('travelDuration')} AS travelDuration,
-    {clock("string_split(segmentsDepartureTimeRaw, '||')[1]")} AS departureTime,
-    {clock("string_split(segmentsArrivalTimeRaw, '||')[-1]")} AS arrivalTime
+    {clock(FIRST_DEPARTURE)} AS departureTime,
+    {clock(LAST_ARRIVAL)} AS arrivalTime
   FROM clean_src),
 clean AS (
   SELECT * EXCLUDE (legId), row_number() OVER (ORDER BY legId NULLS FIRST, flightDate NULLS FIRST,
