@@ -25,11 +25,19 @@ def land_pages(pages: DataFrame, landing: str, batch: str) -> str:
 
 
 def ingest_pages(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                 max_files_per_trigger: int | None = None, keep_page: bool = True) -> int:
-    """Run one incremental ingest; returns the number of micro-batches run."""
+                 max_files_per_trigger: int | None = None, keep_page: bool = True,
+                 source_options: dict | None = None) -> int:
+    """Run one incremental ingest; returns the number of micro-batches run.
+
+    ``max_files_per_trigger`` bounds each micro-batch; ``source_options`` go to
+    the file source as they are, e.g. ``{"cleanSource": "archive",
+    "sourceArchiveDir": ...}`` so processed landing files move away and the
+    landing folder's listing stays short as pages accumulate."""
     reader = spark.readStream.schema(HOTEL_PAGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in (source_options or {}).items():
+        reader = reader.option(k, v)
     pages = reader.json(f"{landing.rstrip('/')}/*")
     rows = flatten_hotel_pages(pages, keep=("page",) if keep_page else ())
     query = (rows.writeStream.format("parquet")
