@@ -77,8 +77,14 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "secs": (ln * 900).cast("string"),
         }[field]
 
+    # One pass over each order's sorted lines builds every segment text (a
+    # single lambda); the texts are then pulled out per field without lambdas.
+    fields = ["dep", "arr", "arr_ap", "dep_ap", "name", "code", "secs"]
+    texts = F.transform("segs", lambda x: F.struct(*[seg_text(x, f).alias(f) for f in fields]))
+    per_order = per_order.withColumn("segs", texts)
+
     def joined(field):
-        return F.array_join(F.transform("segs", lambda s: seg_text(s, field)), "||")
+        return F.array_join(F.col(f"segs.{field}"), "||")
 
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
