@@ -12,7 +12,7 @@ from pyspark.sql.types import FloatType, DoubleType, IntegerType, LongType, Stri
 
 from aerostar.functions import (
     clock, date_key, first_item, first_of, flag, iso_hours, iso_hours_strict, label_date,
-    label_time, last_item, non_blank, pad, segment_count, segments, strip_currency,
+    label_time, last_item, non_blank, pad, segment_count, segments,
     text_flag, text_hours, to_bool, to_float,
 )
 from aerostar.operators import (
