@@ -108,3 +108,13 @@ def test_single_csv_falls_back_to_parts_above_bound(spark, scratch):
     path = write_single_csv(df, f"{scratch}/big.csv", max_rows=10)
     assert os.path.isdir(path)
     assert spark.read.option("header", True).csv(path).count() == 100
+
+
+def test_legs_csv_with_inferred_schema(spark, scratch):
+    from aerostar.plans import fixtures
+    from aerostar.sources import read_legs
+    from conftest import SF_SMALL
+    write_csv(fixtures.legs(spark, SF_SMALL), f"{scratch}/legs")
+    types = dict(read_legs(spark, f"{scratch}/legs", infer=True).dtypes)
+    assert types["flightDate"] == "date" and types["isNonStop"] == "boolean"
+    assert types["totalFare"] == "double" and types["seatsRemaining"] == "int"

@@ -43,3 +43,20 @@ def test_iso_parsers_follow_their_rules(spark, batch):
     rows = df.orderBy("i").select(iso_hours("t").alias("a"), iso_hours_strict("t").alias("b")).collect()
     assert [r.a for r in rows] == [expected_lenient(t) for t in texts]
     assert [r.b for r in rows] == [expected_strict(t) for t in texts]
+
+
+values = st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet="abcXY z", max_size=4)),
+                            st.integers(-5, 5)), min_size=1, max_size=300, unique=True)
+
+
+@settings(max_examples=5, deadline=None)
+@given(values, st.integers(1, 6))
+def test_dense_key_is_the_sorted_rank(spark, rows, parts):
+    """dense_key numbers distinct rows 1..n in (a nulls first, b) order, for any
+    input partitioning."""
+    from aerostar.operators import dense_key
+    df = spark.createDataFrame(rows, "a string, b int").repartition(parts)
+    got = {(r.a, r.b): r.k for r in dense_key(df, ["a", "b"], "k").collect()}
+    # Spark orders strings by UTF-8 bytes, nulls first.
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+    assert got == {r: i + 1 for i, r in enumerate(order)}
