@@ -64,6 +64,12 @@ def dense_key(df: DataFrame, order: Sequence[str | Column] | None, name: str,
 
     pid = F.shiftright(F.col(_MID), ROW_BITS)
     counts = staged.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("__n"))
+    # The row index has 33 bits; a larger range partition would make ids
+    # collide, so fail loudly (raise spark.sql.shuffle.partitions) instead.
+    counts = counts.filter(F.assert_true(F.col("__n") < F.lit(1 << ROW_BITS),
+                                         F.lit("dense_key: a range partition exceeds 2^33 rows")).isNull())
+    # One row per partition: the only single-partition window, bounded by the
+    # partition count, not by the data.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFF))
     row_in_part = F.col(_MID).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
