@@ -28,6 +28,12 @@ SESSION_CONF = {
     # 1 MB: a day-partitioned write of a small table otherwise lands in one
     # task that writes every day file serially. Large shuffles are unaffected.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    # No broadcast from plan-time size estimates: joins broadcast either behind
+    # an explicit check (fits_broadcast, fixed-size reference tables, tables of
+    # per-partition counts) or when AQE has measured a side's actual shuffle
+    # output under the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
