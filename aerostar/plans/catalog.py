@@ -698,7 +698,7 @@ def publish_fact_by_day(spark, sf):
     "publish twice equals once" / "replace only the days present" by tests."""
     path = stage_dir(spark, "pub-fact")
     fact = flight.fact_flight(*star(spark, sf))
-    publish(fact, path, FACT_DIMS, "dateKey", "yyyyMMdd", typed=True)
+    publish(fact, path, FACT_DIMS, "dateKey", "yyyyMMdd", typed=True, unique_key="flightKey")
     return read_published(spark, path)
 
 

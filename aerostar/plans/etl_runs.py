@@ -66,11 +66,17 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
         paths.update({"pub_dim_date": f"{pub}/dim_date", "pub_dim_airport": f"{pub}/dim_airport",
                       "pub_dim_airline": f"{pub}/dim_airline", "pub_fact_flight": f"{pub}/fact_flight"})
         _concurrently([
-            lambda: publish(dates, paths["pub_dim_date"], DATE_DIMS, "dateKey", "yyyyMMdd"),
-            lambda: publish(airports, paths["pub_dim_airport"], ["airportKey", "airportCode"]),
-            lambda: publish(airlines, paths["pub_dim_airline"], ["airlineKey", "airlineName"]),
+            lambda: publish(dates, paths["pub_dim_date"], DATE_DIMS, "dateKey", "yyyyMMdd",
+                            unique_key="dateKey"),
+            lambda: publish(airports, paths["pub_dim_airport"], ["airportKey", "airportCode"],
+                            unique_key="airportKey"),
+            lambda: publish(airlines, paths["pub_dim_airline"], ["airlineKey", "airlineName"],
+                            unique_key="airlineKey"),
         ])
-        publish(fact, paths["pub_fact_flight"], FACT_DIMS, "dateKey", "yyyyMMdd")
+        # flightKey is unique per fact row, so the rollup cannot collapse rows
+        # and its shuffle of the whole fact is skipped.
+        publish(fact, paths["pub_fact_flight"], FACT_DIMS, "dateKey", "yyyyMMdd",
+                unique_key="flightKey")
     return paths
 
 

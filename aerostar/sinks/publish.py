@@ -21,7 +21,15 @@ DAY = "__day"
 
 def publish(df: DataFrame, path: str, dims: Sequence[str], time_col: str | None = None,
             time_fmt: str | None = None, missing: str = EPOCH, rollup: bool = True,
-            typed: bool = False) -> str:
+            typed: bool = False, unique_key: str | None = None) -> str:
+    """Publish ``dims`` (plus ``__time``) partitioned by day.
+
+    ``unique_key`` names a dimension that is unique per row by construction (a
+    surrogate key from ``dense_key`` / ``unique_key``): no two rows can be
+    equal, so the rollup is a no-op and its shuffle - the whole table at scale -
+    is skipped."""
+    if unique_key is not None and unique_key not in dims:
+        raise ValueError(f"unique_key {unique_key!r} must be one of the published dimensions")
     if time_col:
         ts = F.try_to_timestamp(F.col(time_col).cast("string"), F.lit(time_fmt)) if time_fmt \
             else F.try_to_timestamp(F.col(time_col).cast("string"))
@@ -31,7 +39,7 @@ def publish(df: DataFrame, path: str, dims: Sequence[str], time_col: str | None
     ts = ts.cast("timestamp_ntz")
     cols = [F.col(d) if typed else F.col(d).cast("string").alias(d) for d in dims]
     rows = df.select(ts.alias("__time"), *cols).filter(F.col("__time").isNotNull())
-    if rollup:
+    if rollup and unique_key is None:
         rows = rows.distinct()
     rows = rows.withColumn(DAY, F.to_date("__time"))
     # Rebalance on the day: AQE splits a hot day over several tasks and merges

@@ -118,3 +118,9 @@ def test_legs_csv_with_inferred_schema(spark, scratch):
     types = dict(read_legs(spark, f"{scratch}/legs", infer=True).dtypes)
     assert types["flightDate"] == "date" and types["isNonStop"] == "boolean"
     assert types["totalFare"] == "double" and types["seatsRemaining"] == "int"
+
+
+def test_publish_with_unique_key_skips_rollup_shuffle(spark, scratch):
+    df = spark.createDataFrame([("20240101", 1), ("20240101", 2)], "dateKey string, k int")
+    publish(df, f"{scratch}/u", ["dateKey", "k"], "dateKey", "yyyyMMdd", unique_key="k")
+    assert read_published(spark, f"{scratch}/u").count() == 2
