@@ -27,6 +27,16 @@ def clock(e: str) -> str:
     return f"strftime({local} - to_minutes(CAST({sign} * {mins} AS BIGINT)), '%I:%M %p')"
 
 
+def float_text(e: str) -> str:
+    """A 32-bit float as Spark casts it to text: the shortest decimal that reads
+    back as the same float (ties to even), e.g. 490695.12 rather than the exact
+    490695.125 that a plain cast prints here."""
+    x = f"CAST({e} AS DOUBLE)"
+    cases = " ".join(f"WHEN CAST(round_even({x}, {d}) AS FLOAT) = {e} THEN CAST(round_even({x}, {d}) AS VARCHAR)"
+                     for d in range(10))
+    return f"CASE WHEN {e} IS NULL THEN NULL {cases} ELSE CAST({x} AS VARCHAR) END"
+
+
 def iso_hours(e: str) -> str:
     h = f"CAST(coalesce(TRY_CAST(regexp_extract({e}, 'PT(\\d+)H', 1) AS FLOAT), 0.0) AS DOUBLE)"
     m = f"CAST(coalesce(TRY_CAST(regexp_extract({e}, '(\\d+)M', 1) AS FLOAT), 0.0) AS DOUBLE)"
