@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 
 from aerostar.plans.etl_runs import run_explore, run_flight, run_hotel, run_scrape
 from aerostar.session import get_spark
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> dict:
     s.add_argument("--out", required=True)
     s.add_argument("--year", type=int, default=2025)
     args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     spark = get_spark(args.master, app=f"aerostar-{args.job}")
     if args.job == "flight":

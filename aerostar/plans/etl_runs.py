@@ -13,6 +13,8 @@ clean -> country / location / hotel dimensions and the stay fact -> CSVs.
 from __future__ import annotations
 
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from aerostar.streaming import ingest_pages
 FACT_DIMS = ["flightKey", "isBasicEconomy", "isRefundable", "isNonStop", "totalFare",
              "travelDuration", "departureTime", "arrivalTime", "dateKey", "airlineKey",
              "startingAirportKey", "destinationAirportKey"]
+log = logging.getLogger("aerostar")
+
 TEXT_COLUMNS = [f.name for f in HOTELS.fields if isinstance(f.dataType, StringType)]
 DATE_DIMS = ["dateKey", "date", "year", "month", "dayOfMonth", "dayOfWeek", "quarter"]
 
@@ -40,10 +44,12 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
     paths = {"clean": f"{out}/stage/clean_legs"}
     clean_legs(legs, key=key).write.mode("overwrite").parquet(paths["clean"])
     clean = spark.read.parquet(paths["clean"])
+    log.info("flight: cleaned legs written to %s", paths["clean"])
 
     airports, airlines = run_concurrently([lambda: dim_airport(clean), lambda: dim_airline(clean)])
     dates = dim_date(clean)
     fact = fact_flight(clean, airlines, airports)
+    log.info("flight: airline, airport and date dimensions keyed; fact planned")
 
     wh = f"{out}/warehouse"
     # Independent sinks run as concurrent Spark jobs (the original graph runs
@@ -60,6 +66,7 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
     ])
     paths.update({"dim_airport": f"{wh}/dim_airport.csv", "dim_airline": f"{wh}/dim_airline.csv",
                   "dim_date": f"{wh}/dim_date.csv"})
+    log.info("flight: warehouse CSVs written to %s", wh)
 
     if publish_tables:
         pub = f"{out}/published"
@@ -75,15 +82,18 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
         ])
         # flightKey is unique per fact row, so the rollup cannot collapse rows
         # and its shuffle of the whole fact is skipped.
+        log.info("flight: dimensions published")
         publish(fact, paths["pub_fact_flight"], FACT_DIMS, "dateKey", "yyyyMMdd",
                 unique_key="flightKey")
+        log.info("flight: fact published to %s", paths["pub_fact_flight"])
     return paths
 
 
 def run_hotel(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
     out = out.rstrip("/")
     paths = {"ingested": f"{out}/stage/hotel_rows"}
-    ingest_pages(spark, landing, paths["ingested"], f"{out}/stage/_ingest_checkpoint")
+    batches = ingest_pages(spark, landing, paths["ingested"], f"{out}/stage/_ingest_checkpoint")
+    log.info("hotel: %d ingest micro-batches into %s", batches, paths["ingested"])
     rows = spark.read.parquet(paths["ingested"]).select(*HOTEL_COLUMNS)
     # The original crawler hands rows to the ETL through a CSV file, where an
     # empty text field reads back as null; keep that, so rows without a
@@ -105,6 +115,7 @@ def run_hotel(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
     for name in outputs:
         paths[name] = f"{wh}/{name}"
     _concurrently([(lambda df=df, name=name: write_csv(df, paths[name])) for name, df in outputs.items()])
+    log.info("hotel: country, location, hotel and stay tables written to %s", wh)
     return paths
 
 
