@@ -19,10 +19,11 @@ EPOCH = "1970-01-01 00:00:00"
 DAY = "__day"
 
 
-def publish(df: DataFrame, path: str, dims: Sequence[str], time_col: str | None = None,
-            time_fmt: str | None = None, missing: str = EPOCH, rollup: bool = True,
-            typed: bool = False, unique_key: str | None = None) -> str:
-    """Publish ``dims`` (plus ``__time``) partitioned by day.
+def publish_frame(df: DataFrame, dims: Sequence[str], time_col: str | None = None,
+                  time_fmt: str | None = None, missing: str = EPOCH, rollup: bool = True,
+                  typed: bool = False, unique_key: str | None = None) -> DataFrame:
+    """The rows ``publish`` writes: ``__time``, the dimensions (text unless
+    ``typed``), rolled up, with the day column, rebalanced on the day.
 
     ``unique_key`` names a dimension that is unique per row by construction (a
     surrogate key from ``dense_key`` / ``unique_key``): no two rows can be
@@ -44,8 +45,16 @@ def publish(df: DataFrame, path: str, dims: Sequence[str], time_col: str | None
     rows = rows.withColumn(DAY, F.to_date("__time"))
     # Rebalance on the day: AQE splits a hot day over several tasks and merges
     # small ones, so files stay few and no task writes a whole skewed day.
-    (rows.hint("rebalance", DAY)
-         .write.mode("overwrite")
+    return rows.hint("rebalance", DAY)
+
+
+def publish(df: DataFrame, path: str, dims: Sequence[str], time_col: str | None = None,
+            time_fmt: str | None = None, missing: str = EPOCH, rollup: bool = True,
+            typed: bool = False, unique_key: str | None = None) -> str:
+    """Publish ``dims`` (plus ``__time``) partitioned by day, replacing only the
+    days present (see ``publish_frame`` for the rows)."""
+    rows = publish_frame(df, dims, time_col, time_fmt, missing, rollup, typed, unique_key)
+    (rows.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(DAY)
          .parquet(path))

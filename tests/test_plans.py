@@ -69,3 +69,13 @@ def test_large_dimension_lookup_splits_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_publish_rebalances_on_day_and_skips_rollup_for_unique_keys(spark):
+    from aerostar.sinks import publish_frame
+    df = spark.createDataFrame([("20240101", 1), ("20240102", 2)], "dateKey string, k int")
+    keyed = publish_frame(df, ["dateKey", "k"], "dateKey", "yyyyMMdd", unique_key="k")
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "HashAggregate" not in plan
+    rolled = publish_frame(df, ["dateKey", "k"], "dateKey", "yyyyMMdd")
+    assert "HashAggregate" in rolled._jdf.queryExecution().executedPlan().toString()

@@ -16,6 +16,8 @@ from aerostar.operators import dedupe, drop_null, project  # noqa: E402
 from aerostar.plans import fixtures, flight, scrape  # noqa: E402
 from aerostar.schemas import LEG_COLUMNS  # noqa: E402
 from aerostar.session import get_spark  # noqa: E402
+from aerostar.sinks import publish_frame  # noqa: E402
+from aerostar.plans.etl_runs import FACT_DIMS  # noqa: E402
 from aerostar.sources import flatten_hotel_pages, parse_hotel_pages  # noqa: E402
 
 
@@ -42,6 +44,9 @@ def main():
         ("Airline dimension over the staged cleaned legs", airlines),
         ("Flight fact: three lookups, dimensions broadcast behind the size check",
          flight.fact_flight(clean, airlines, airports)),
+        ("Rows of the fact's publish: day column, no rollup shuffle (unique flightKey), rebalance on the day",
+         publish_frame(flight.fact_flight(clean, airlines, airports), FACT_DIMS, "dateKey", "yyyyMMdd",
+                       unique_key="flightKey")),
         ("Hotel pages flattened (fixture grouping + from_json + explode)",
          flatten_hotel_pages(parse_hotel_pages(fixtures.hotel_pages(spark, sf)))),
         ("Scraped flights (fixture grouping; the scrape is map-only)",
