@@ -21,7 +21,8 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    assert compare(spark, con, name, QUERIES[name], SQL.get(name), SF_SMALL, verbose=False)
+    assert compare(spark, con, name, QUERIES[name], SQL.get(name), SF_SMALL, verbose=False,
+                   strict=True, check_types=True)
 
 
 def test_entry_smoke(spark):
