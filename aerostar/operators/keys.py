@@ -43,6 +43,21 @@ def _ordered(c: str | Column, nulls_first: bool = True) -> Column:
     return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
 
 
+def ranged_rows(df: DataFrame, order: Sequence[str | Column] | None) -> DataFrame:
+    """Pass 1 of ``dense_key`` before it is written: rows range-partitioned and
+    sorted on ``order`` (plus a content hash that splits a hot tied value), each
+    tagged with ``monotonically_increasing_id`` (partition index << 33 | row)."""
+    cols = df.columns
+    order = list(order) if order else list(cols)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in cols]).alias(_TIE)
+    ordering = [_ordered(c) for c in order] + [F.col(_TIE).asc()]
+    return (df.select("*", tie)
+              .repartitionByRange(*ordering)
+              .sortWithinPartitions(*ordering)
+              .withColumn(_MID, F.monotonically_increasing_id())
+              .drop(_TIE))
+
+
 def dense_key(df: DataFrame, order: Sequence[str | Column] | None, name: str,
               start: int = 1, *, key_type: str = "long") -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order`` (ascending, nulls
@@ -50,16 +65,8 @@ def dense_key(df: DataFrame, order: Sequence[str | Column] | None, name: str,
     the key is repeatable where the original used an arbitrary order."""
     spark = df.sparkSession
     cols = df.columns
-    order = list(order) if order else list(cols)
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in cols]).alias(_TIE)
-    ordering = [_ordered(c) for c in order] + [F.col(_TIE).asc()]
     path = stage_dir(spark, "dense-key")
-    (df.select("*", tie)
-       .repartitionByRange(*ordering)
-       .sortWithinPartitions(*ordering)
-       .withColumn(_MID, F.monotonically_increasing_id())
-       .drop(_TIE)
-       .write.mode("errorifexists").parquet(path))
+    ranged_rows(df, order).write.mode("errorifexists").parquet(path)
     staged = spark.read.parquet(path)
 
     pid = F.shiftright(F.col(_MID), ROW_BITS)

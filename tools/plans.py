@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from aerostar.operators import dedupe, drop_null, project  # noqa: E402
+from aerostar.operators.keys import ranged_rows  # noqa: E402
 from aerostar.plans import fixtures, flight, scrape  # noqa: E402
 from aerostar.schemas import LEG_COLUMNS  # noqa: E402
 from aerostar.session import get_spark  # noqa: E402
@@ -41,6 +42,10 @@ def main():
     sections = [
         ("Legs fixture + null filter + dedupe (input of the flight key)",
          dedupe(drop_null(project(legs, LEG_COLUMNS), flight.CRITICAL))),
+        ("Flight key, pass 1 (the rows dense_key stages): range partition, sort within partitions, "
+         "row ids - no single-partition exchange over data rows",
+         ranged_rows(flight.clean_legs(legs, key="monotonic").drop("flightKey"),
+                     ["legId"] + flight.CLEAN_COLUMNS)),
         ("Airline dimension over the staged cleaned legs", airlines),
         ("Flight fact: three lookups, dimensions broadcast behind the size check",
          flight.fact_flight(clean, airlines, airports)),
