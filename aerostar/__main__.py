@@ -22,23 +22,24 @@ from aerostar.sources import read_legs
 
 def main(argv: list[str] | None = None) -> dict:
     ap = argparse.ArgumentParser(prog="aerostar")
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--master", default=None, help="e.g. local[8]; leave unset under spark-submit")
     sub = ap.add_subparsers(dest="job", required=True)
     f = sub.add_parser("flight", help="clean legs, dimensions, fact, CSV, publish")
-    f.add_argument("--legs", required=True)
-    f.add_argument("--out", required=True)
-    f.add_argument("--no-publish", action="store_true")
-    f.add_argument("--key", choices=["dense", "monotonic"], default="dense")
+    f.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
+    f.add_argument("--out", required=True, help="output folder (stage/, warehouse/, published/)")
+    f.add_argument("--no-publish", action="store_true", help="transform only, skip the day-partitioned publish")
+    f.add_argument("--key", choices=["dense", "monotonic"], default="dense",
+                   help="flight key: repeatable 1..n (dense) or gapped and free (monotonic)")
     e = sub.add_parser("explore", help="airline pairs, flight type, date and flight dimensions")
-    e.add_argument("--legs", required=True)
-    e.add_argument("--out", required=True)
+    e.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
+    e.add_argument("--out", required=True, help="output folder")
     h = sub.add_parser("hotel", help="ingest landed lookup pages, build the hotel tables")
-    h.add_argument("--landing", required=True)
-    h.add_argument("--out", required=True)
+    h.add_argument("--landing", required=True, help="folder of landed JSON-lines lookup responses")
+    h.add_argument("--out", required=True, help="output folder; keeps the ingest checkpoint between runs")
     s = sub.add_parser("scrape", help="saved search pages to flight rows")
     s.add_argument("--pages", required=True, help="Parquet with page_id and html columns")
-    s.add_argument("--out", required=True)
-    s.add_argument("--year", type=int, default=2025)
+    s.add_argument("--out", required=True, help="output folder")
+    s.add_argument("--year", type=int, default=2025, help="year of the page date labels")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
