@@ -29,3 +29,12 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "flightKey" in df.columns
+
+
+def test_entry_schema_is_stable(spark):
+    first, second = entry.entry(spark).schema, entry.entry(spark).schema
+    assert first == second
+    assert [f.name for f in first] == [
+        "flightKey", "isBasicEconomy", "isRefundable", "isNonStop", "totalFare", "travelDuration",
+        "departureTime", "arrivalTime", "dateKey", "airlineKey", "startingAirportKey",
+        "destinationAirportKey"]
