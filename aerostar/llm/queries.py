@@ -6,9 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_trees, mixing, url_filter
+from . import chat_trees, minhash_dedup, mixing, substring_dedup, url_filter
 from .staging import table
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -65,6 +69,10 @@ SELECT doc_id, size, source_size, target, taken,
             ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * due) - (1 - tilt)) / (2 * tilt) END, 9) END AS position
 FROM mixed"""
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 PROBE = r"\### Assistant: </turn> ok"
 
 
@@ -99,8 +107,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM given GROUP BY conv_id"""
 
 QUERIES = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filter": op4_url_filter,
     "op6_mixing": op6_mixing,
+    "op9_minhash_dedup": op9_minhash_dedup,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
