@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_trees, minhash_dedup, mixing, substring_dedup, url_filter
+from . import chat_trees, decontaminate, minhash_dedup, mixing, substring_dedup, url_filter
 from .staging import table
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,10 @@ SELECT page_id, host, path,
 FROM parts"""
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(spark, table(spark, sf_dir, "documents"))
     return (mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -109,6 +113,7 @@ FROM given GROUP BY conv_id"""
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mixing": op6_mixing,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_chat_formatting": op10_chat_formatting,
