@@ -6,9 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_trees, decontaminate, minhash_dedup, mixing, substring_dedup, url_filter
+from . import chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, substring_dedup, url_filter
 from .staging import table
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
+
+
+OP1_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -111,6 +121,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM given GROUP BY conv_id"""
 
 QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
@@ -120,6 +131,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_exact_dedup": OP1_SQL,
     "op4_url_filter": OP4_SQL,
     "op6_mixing": OP6_SQL,
     "op10_chat_formatting": OP10_SQL,
