@@ -58,11 +58,10 @@ def fold(spark: SparkSession, prints: DataFrame, state: str, files_per_batch: in
 
     Batch b appends the digests that it changed under ``batch=b``; a batch that
     is run again after a failure overwrites its own folder."""
-    path, log = prints.inputFiles(), f"{state}/log"
-    if not path:
-        return spark.createDataFrame([], f"__digest string, n long, stay {_stay_type(prints)}")
+    log, kind = f"{state}/log", f"__digest string, n long, stay {_stay_type(prints)}"
+    spark.createDataFrame([], kind).write.parquet(f"{log}/batch=-1")  # a stream without rows runs no batch
     source = (spark.readStream.schema(prints.schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(path[0].rsplit("/", 1)[0]))
+              .parquet(prints.inputFiles()[0].rsplit("/", 1)[0]))
     stay = F.struct(F.col("__id").alias("id"), F.col("__file").alias("file"), F.col("__row").alias("row"))
     held = source.groupBy("__digest").agg(F.count(F.lit(1)).alias("n"), F.max(stay).alias("stay"))
 
@@ -77,7 +76,7 @@ def fold(spark: SparkSession, prints: DataFrame, state: str, files_per_batch: in
     finally:
         spark.conf.set(_PROVIDER_KEY, before) if before else spark.conf.unset(_PROVIDER_KEY)
     query.awaitTermination()
-    words = spark.read.schema(f"__digest string, n long, stay {_stay_type(prints)}, batch long").parquet(log)
+    words = spark.read.schema(f"{kind}, batch long").parquet(log)
     return (words.groupBy("__digest").agg(F.max(F.struct("batch", "n", "stay")).alias("w"))
             .select("__digest", "w.n", "w.stay"))
 
