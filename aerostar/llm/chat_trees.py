@@ -61,44 +61,48 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id"))
 
 
-def jumps(spark: SparkSession, messages: DataFrame) -> list[DataFrame]:
-    """For k = 0, 1, ...: (conv_id, msg_id, up, steps, total). up is the
-    ancestor 2^k steps up or null beyond the root; steps and total are the
-    messages and scores from this one up to just below ``up``. In the last
-    table every ``up`` is null, so steps is the depth and total the path's."""
+def jumps(spark: SparkSession, messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(reaching, paths). reaching[k] holds the messages with an ancestor 2^k
+    steps up: conv_id, msg_id, up, and the number of messages (steps) and sum
+    of scores (total) from this one up to just below it. paths holds every
+    message with the steps and total of its whole path to the root. A message
+    leaves the rounds once its root is reached, so later rounds only carry the
+    deep ones."""
     known = messages.select("conv_id", F.col("msg_id").alias("parent_id"), F.lit(True).alias("known"))
     now = (messages.alias("a").join(known.alias("b"), _same("a", "b") & (F.col("a.parent_id") == F.col("b.parent_id")), "left")
            .select("a.conv_id", "a.msg_id", F.when(F.col("b.known"), F.col("a.parent_id")).alias("up"),
                    F.lit(1).cast("long").alias("steps"), F.coalesce("a.score", F.lit(0.0)).alias("total")))
-    out = [staged(spark, now, "reply-jumps")]
-    while not out[-1].where("up is not null").isEmpty():
-        now = (out[-1].alias("a").join(out[-1].alias("b"), _same("a", "b") & (F.col("a.up") == F.col("b.msg_id")), "left")
-               .select("a.conv_id", "a.msg_id", F.col("b.up").alias("up"),
-                       (F.col("a.steps") + F.coalesce("b.steps", F.lit(0))).alias("steps"),
-                       (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total")))
-        out.append(staged(spark, now, "reply-jumps"))
-        if len(out) > 62:
+    now = staged(spark, now, "reply-jumps")
+    reaching, done = [], now.where("up is null")
+    while not now.where("up is not null").isEmpty():
+        reaching.append(now.where("up is not null"))
+        if len(reaching) > 62:
             raise ValueError("the replies form a cycle")
-    return out
+        now = (reaching[-1].alias("a").join(reaching[-1].unionByName(done).alias("b"), _same("a", "b") & (F.col("a.up") == F.col("b.msg_id")))
+               .select("a.conv_id", "a.msg_id", "b.up", (F.col("a.steps") + F.col("b.steps")).alias("steps"),
+                       (F.col("a.total") + F.col("b.total")).alias("total")))
+        now = staged(spark, now, "reply-jumps")
+        done = done.unionByName(now.where("up is null"))
+    return reaching, done
 
 
 def paths(spark: SparkSession, messages: DataFrame, branches: int | None = None) -> DataFrame:
     """Messages (conv_id, msg_id, parent_id, role, text, score) -> the messages
     of each chosen path: conv_id, leaf_id, branch (1 is the best), depth (1 is
     the root), role, text. branches: paths per conversation, all if None."""
-    up = jumps(spark, messages)
-    parents = up[0].where("up is not null").select("conv_id", F.col("up").alias("msg_id")).distinct()
-    leaves = up[-1].alias("a").join(parents.alias("b"), _same("a", "b") & (F.col("a.msg_id") == F.col("b.msg_id")), "left_anti")
+    reaching, whole = jumps(spark, messages)
+    parents = messages.select("conv_id", F.col("parent_id").alias("msg_id")).where("msg_id is not null").distinct()
+    leaves = whole.alias("a").join(parents.alias("b"), _same("a", "b") & (F.col("a.msg_id") == F.col("b.msg_id")), "left_anti")
     rank = Window.partitionBy("conv_id").orderBy((F.col("total") / F.col("steps")).desc(), "msg_id")
     chosen = leaves.withColumn("branch", F.row_number().over(rank).cast("long"))
     if branches is not None:
         chosen = chosen.where(F.col("branch") <= branches)
     on = chosen.select("conv_id", F.col("msg_id").alias("leaf_id"), "branch", "msg_id")
-    for k, jump in enumerate(up[:-1]):
-        above = (on.alias("a").join(jump.where("up is not null").alias("b"), _same("a", "b") & (F.col("a.msg_id") == F.col("b.msg_id")))
+    for jump in reaching:
+        above = (on.alias("a").join(jump.alias("b"), _same("a", "b") & (F.col("a.msg_id") == F.col("b.msg_id")))
                  .select("a.conv_id", "a.leaf_id", "a.branch", F.col("b.up").alias("msg_id")))
         on = staged(spark, on.unionByName(above), "reply-paths")
-    depth = up[-1].select("conv_id", "msg_id", F.col("steps").alias("depth"))
+    depth = whole.select("conv_id", "msg_id", F.col("steps").alias("depth"))
     return (on.alias("a").join(depth.alias("d"), _same("a", "d") & (F.col("a.msg_id") == F.col("d.msg_id")))
             .select("a.conv_id", "a.leaf_id", "a.branch", "a.msg_id", "d.depth").alias("a")
             .join(messages.alias("m"), _same("a", "m") & (F.col("a.msg_id") == F.col("m.msg_id")))
