@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, substring_dedup, url_filter
+from . import chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, quality, substring_dedup, url_filter
 from .staging import table
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -122,6 +126,7 @@ FROM given GROUP BY conv_id"""
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,

@@ -118,12 +118,18 @@ def split(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     after = np.zeros(size, dtype=bool)
     after[:-1] = word[1:]
     ends = np.flatnonzero(word & (~after | first[1:])) + 1
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), spans(data, starts, [ends], lower)[0])
+
+
+def spans(data: np.ndarray, starts: np.ndarray, ends: list[np.ndarray], lower: bool = False) -> list[np.ndarray]:
+    """Hashes of the bytes from starts to each of several ends."""
+    size = len(data)
     with np.errstate(over="ignore"):
         up, down = _byte_powers.get(max(size, 1))
         total = np.zeros(size + 1, dtype=np.uint64)
         np.cumsum((_LOWER if lower else _BYTES)[data] * up[:size], out=total[1:])
-        hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Words(data, starts, ends, np.searchsorted(starts, offsets), hashes)
+        base, back = total[starts], down[starts]
+        return [mix((total[e] - base) * back + (e - starts).astype(np.uint64)) for e in ends]
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
