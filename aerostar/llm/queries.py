@@ -6,8 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, quality, substring_dedup, url_filter
-from .staging import table
+from ..session import stage_dir
+from . import (chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, pitman_yor, quality, substring_dedup,
+               token_counts, url_filter)
+from .staging import staged, table
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
@@ -87,6 +90,35 @@ SELECT doc_id, size, source_size, target, taken,
             ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * due) - (1 - tilt)) / (2 * tilt) END, 9) END AS position
 FROM mixed"""
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(spark, table(spark, sf_dir, "documents"))
+
+
+#: Where the vocabulary of op8 lies, and the pattern by which it cuts texts
+#: (fixed value: the published pattern of this vocabulary).
+BPE_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str, bpe_file: str = BPE_FILE) -> DataFrame:
+    """Batch 0 inserts every document and is sent twice; batch 1 takes down the
+    documents labelled toxic and revises the others of quality 0, whose
+    language becomes ``und``."""
+    tokenizers = {"words-1": token_counts.word_counter(), "byte_bpe_50k-1": token_counts.bpe_counter(spark, bpe_file, BPE_PATTERN)}
+    counts = staged(spark, token_counts.counted(table(spark, sf_dir, "documents"), tokenizers), "token-counts")
+    store = token_counts.Rollup(spark, stage_dir(spark, "llm-rollup"))
+    inserts = counts.select(F.lit("insert").alias("op"), F.lit(0).cast("long").alias("seq"), "*")
+    store.commit(0, inserts)
+    store.commit(0, inserts)
+    marks = (table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+             .where("toxic = 1 or quality = 0"))
+    changes = (counts.join(marks, "doc_id")
+               .select(F.when(F.col("toxic") == 1, "delete").otherwise("revise").alias("op"), F.lit(1).cast("long").alias("seq"),
+                       "doc_id", "source", F.lit("und").alias("lang"), "tokenizer", "tokens"))
+    store.commit(1, changes)
+    return store.totals()
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -109,7 +141,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_messages(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    from .staging import staged
     return staged(spark, chat_trees.chain(rows), "reply-messages")
 
 
@@ -131,6 +162,8 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mixing": op6_mixing,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_token_counts": op8_token_counts,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_chat_formatting": op10_chat_formatting,
 }
