@@ -27,7 +27,7 @@ Cases: null or empty text, or text without words: no shingles, component is
 the document's own id, kept. Repeated rows (same id and text) come back
 repeated with the same result. A null doc_id takes part in links but names a
 component only if it has no other id. Empty table: no rows. Other columns are
-not used.
+not used; ``distinct_rows`` returns them, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
+from .exact_dedup import located
 from .staging import staged
 
 SHINGLE, COLLECTIONS, WIDTH, BLOCK = 5, 14, 2, 512
@@ -63,7 +64,7 @@ def set_id(members: np.ndarray) -> bytes:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> doc_id, n_shingles, node, halves."""
+    """Rows with text -> their other columns, n_shingles, node, halves."""
     for batch in batches:
         for i, j, w in W.batches(batch["text"], lower=True):
             sets, docs = [], []
@@ -90,8 +91,9 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             key = W.mix(key ^ np.minimum.reduceat(x ^ (x >> W.U(32)), cuts))
                         halves[docs, h] = key
             lists = pa.FixedSizeListArray.from_arrays(pa.array(halves.view(np.int64).ravel()), 2 * COLLECTIONS).cast(pa.list_(pa.int64()))
-            yield pa.record_batch([batch["doc_id"].slice(i, j - i), pa.array(sizes), pa.array(node, pa.binary()), lists],
-                                  names=["doc_id", "n_shingles", "node", "halves"])
+            keys = [c for c in batch.schema.names if c != "text"]
+            yield pa.record_batch([*(batch[c].slice(i, j - i) for c in keys), pa.array(sizes), pa.array(node, pa.binary()), lists],
+                                  names=[*keys, "n_shingles", "node", "halves"])
 
 
 def _sets(texts) -> list[np.ndarray]:
@@ -172,24 +174,34 @@ def _block_links(group: pa.Table) -> pa.Table:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = staged(spark, texts.mapInArrow(_nodes, f"{_typed(docs)}, n_shingles long, node binary, halves array<long>"), "minhash")
-    links = _links(spark, texts, rows)
-    root = components(spark, links)
-    root = root.select(F.col("vertex").alias("node"), "root")
-
-    placed = rows.select("doc_id", "n_shingles", "node").where("node is not null").join(root, "node", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "node"))
-    least = staged(spark, rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-                   .join(root, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
-                   .agg(F.min("least").alias("component_id")), "minhash-least")
+    placed, bare = _placed(spark, docs, ["doc_id"])
+    least = staged(spark, placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "minhash-least")
     out = (placed.join(least, "root").select("doc_id", "n_shingles", "component_id")
-           .unionByName(rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
+           .unionByName(bare.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _typed(docs: DataFrame) -> str:
-    return f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
+def distinct_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Of each component the row of least id (ties: least place in the files),
+    and all rows without shingles, with the columns of docs."""
+    rows = located(spark, docs)
+    keys = ["doc_id", "__file", "__row"]
+    placed, _ = _placed(spark, rows, keys)
+    stays = staged(spark, placed.groupBy("root").agg(F.min(F.struct(*keys)).alias("stay")), "minhash-stay")
+    gone = (placed.join(stays, "root").where((F.col("stay.__file") != F.col("__file")) | (F.col("stay.__row") != F.col("__row")))
+            .select("__file", "__row"))
+    return rows.join(gone, ["__file", "__row"], "left_anti").select(*docs.columns)
+
+
+def _placed(spark: SparkSession, docs: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with shingles: keys, n_shingles, root of their component; rows
+    without: keys, n_shingles)."""
+    texts = docs.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
+    kinds = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in keys)
+    rows = staged(spark, texts.mapInArrow(_nodes, f"{kinds}, n_shingles long, node binary, halves array<long>"), "minhash")
+    root = components(spark, _links(spark, texts, rows)).withColumnRenamed("vertex", "node")
+    placed = rows.where("node is not null").join(root, "node", "left").select(*keys, "n_shingles", F.coalesce("root", "node").alias("root"))
+    return placed, rows.where("node is null").select(*keys, "n_shingles")
 
 
 def _links(spark: SparkSession, texts: DataFrame, rows: DataFrame) -> DataFrame:
