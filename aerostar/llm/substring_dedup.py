@@ -36,7 +36,6 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,10 +137,9 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 runs.append(mine)
                 kept.append(bool(mine))
                 digests.append(None if mine else _digest(w.text(a, b)))
-            keep = pa.array(kept, pa.bool_())
-            text = batch["text"].slice(i, j - i)
+            text = batch["text"].take(pa.array([i + k if x else None for k, x in enumerate(kept)], pa.int64()))
             yield pa.record_batch([batch["id"].slice(i, j - i), batch["rid"].slice(i, j - i), pa.array(np.diff(w.docs).astype(np.int64)),
-                                   pa.array(digests, pa.string()), pa.compute.if_else(keep, text, pa.scalar(None, text.type)), pa.array(runs, _RUN_TYPE)],
+                                   pa.array(digests, pa.string()), text, pa.array(runs, _RUN_TYPE)],
                                   names=["id", "rid", "n_words", "kept_sha256", "text", "runs"])
 
 
