@@ -36,8 +36,11 @@ from ..session import stage_dir
 from .staging import staged
 
 FILES_PER_BATCH = 1024
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk; without files that reserve megabytes for every state partition.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -59,7 +62,7 @@ def fold(spark: SparkSession, prints: DataFrame, state: str, files_per_batch: in
     Batch b appends the digests that it changed under ``batch=b``; a batch that
     is run again after a failure overwrites its own folder."""
     log, kind = f"{state}/log", f"__digest string, n long, stay {_stay_type(prints)}"
-    spark.createDataFrame([], kind).write.parquet(f"{log}/batch=-1")  # a stream without rows runs no batch
+    spark.createDataFrame([], kind).write.mode("overwrite").parquet(f"{log}/batch=-1")  # a stream without rows runs no batch
     source = (spark.readStream.schema(prints.schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(prints.inputFiles()[0].rsplit("/", 1)[0]))
     stay = F.struct(F.col("__id").alias("id"), F.col("__file").alias("file"), F.col("__row").alias("row"))
@@ -68,13 +71,15 @@ def fold(spark: SparkSession, prints: DataFrame, state: str, files_per_batch: in
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
-    before = spark.conf.get(_PROVIDER_KEY, None)
-    spark.conf.set(_PROVIDER_KEY, PROVIDER)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         query = (held.writeStream.outputMode("update").trigger(availableNow=True)
                  .option("checkpointLocation", f"{state}/checkpoint").foreachBatch(write).start())
     finally:
-        spark.conf.set(_PROVIDER_KEY, before) if before else spark.conf.unset(_PROVIDER_KEY)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     query.awaitTermination()
     words = spark.read.schema(f"{kind}, batch long").parquet(log)
     return (words.groupBy("__digest").agg(F.max(F.struct("batch", "n", "stay")).alias("w"))
@@ -95,14 +100,12 @@ def groups(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Colu
     state = staged(spark, fold(spark, prints, stage_dir(spark, "llm-dedup-state"), files_per_batch), "dedup-groups")
     several = staged(spark, state.where("n > 1"), "dedup-hits")
 
+    # The text of every hit, the rows that stay among them, moves once. (The
+    # merge hint keeps one plan at every size.)
     hits = prints.join(several, "__digest")  # every row whose digest was seen more than once
-    bytes_of = rows.select("__file", "__row", text.alias("__text"))
-    kept = bytes_of.withColumnsRenamed({"__file": "__f", "__row": "__r", "__text": "__kept"})
-    kept = (several.join(kept, (F.col("stay.file") == F.col("__f")) & (F.col("stay.row") == F.col("__r")))
-            .select("__digest", "__kept"))
-    kept = staged(spark, kept, "dedup-kept")
-    checked = (hits.join(bytes_of, ["__file", "__row"]).join(kept, "__digest")
-               .withColumn("__equal", F.col("__text") == F.col("__kept")))
+    hits = staged(spark, rows.select("__file", "__row", text.alias("__text")).join(hits.hint("merge"), ["__file", "__row"]), "dedup-hits-texts")
+    kept = hits.where(_stays()).select("__digest", F.col("__text").alias("__kept"))
+    checked = hits.join(kept.hint("merge"), "__digest").withColumn("__equal", F.col("__text") == F.col("__kept"))
     checked = staged(spark, checked.select("__file", "__row", "__id", "__digest", "n", "stay", "__equal",
                                            F.when(~F.col("__equal"), F.col("__text")).alias("__text")), "dedup-checked")
     single = prints.join(several.select("__digest"), "__digest", "left_anti")
