@@ -19,9 +19,9 @@ def _writer(df: DataFrame, mode: str):
 
 def write_csv(df: DataFrame, path: str, single_part: bool = False) -> None:
     """CSV folder, header, overwrite. Parts are written in parallel;
-    ``single_part=True`` funnels the last stage through one task (small
-    tables only)."""
-    _writer(df.coalesce(1) if single_part else df, "overwrite").csv(path)
+    ``single_part=True`` writes one part through one task, which the caller
+    asks for (only the write runs there, not the plan before it)."""
+    _writer(df.repartition(1) if single_part else df, "overwrite").csv(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -29,22 +29,15 @@ def append_rows(df: DataFrame, path: str) -> None:
     _writer(df, "append").csv(path)
 
 
-SINGLE_FILE_MAX_ROWS = 5_000_000
+def write_single_csv(df: DataFrame, path: str) -> str:
+    """One named CSV file (e.g. ``.../dim_date.csv``), always a file.
 
-
-def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_MAX_ROWS) -> str:
-    """One named CSV file (e.g. ``.../dim_date.csv``), for dimension-sized data.
-
-    Written through one task to a sibling folder, then the part file is
-    renamed with the Hadoop ``FileSystem`` of the target (works on HDFS and
-    object stores, unlike local ``os``/``shutil`` calls on the driver).
-    One task only ever gets a table proven to hold at most ``max_rows`` rows
-    (a bounded count first); a larger table is written as a folder of parallel
-    parts at ``path`` instead, which Spark reads back the same way."""
+    The caller asks for one file, and so for one writing task: choose it for
+    dimension-sized tables and ``write_csv`` (a folder of parallel parts) for
+    anything that grows with the facts. The part file is written to a sibling
+    folder and renamed with the Hadoop ``FileSystem`` of the target (works on
+    HDFS and object stores, unlike local ``os``/``shutil`` calls)."""
     spark = df.sparkSession
-    if df.limit(max_rows + 1).count() > max_rows:
-        write_csv(df, path)
-        return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     write_csv(df, tmp, single_part=True)
     jvm = spark.sparkContext._jvm
