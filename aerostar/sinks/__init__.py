@@ -2,6 +2,7 @@
 publish step."""
 
 from aerostar.sinks.csv import append_rows, write_csv, write_single_csv
-from aerostar.sinks.publish import publish, publish_frame, read_published
+from aerostar.sinks.publish import publish, publish_frame, published_between, read_published
 
-__all__ = ["write_csv", "write_single_csv", "append_rows", "publish", "publish_frame", "read_published"]
+__all__ = ["write_csv", "write_single_csv", "append_rows", "publish", "publish_frame",
+           "published_between", "read_published"]
