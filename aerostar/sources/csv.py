@@ -4,7 +4,7 @@ Files are read with every column as text (the header gives the names; no
 inference pass over the data) and each declared column is then converted by
 name with ``try_cast``. That keeps extra columns and any column order
 working, and a malformed value becomes null instead of failing the job under
-ANSI."""
+ANSI; ``read_rejects`` lists what became null that way."""
 
 from __future__ import annotations
 
@@ -33,6 +33,20 @@ def read_typed_csv(spark: SparkSession, path: str | list[str], schema: StructTyp
     return raw.select(*cols)
 
 
+def read_rejects(spark: SparkSession, path: str | list[str], schema: StructType, **options) -> DataFrame:
+    """Values of a typed CSV that ``read_typed_csv`` reads as null although the
+    file holds text there: ``column_name``, ``value`` and how often."""
+    reader = spark.read.option("header", True)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    raw = reader.csv(path)
+    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
+                  F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("value")))
+           for f in schema.fields if not isinstance(f.dataType, StringType)]
+    return (raw.select(F.explode(F.array_compact(F.array(*bad))).alias("r"))
+            .groupBy("r.column_name", "r.value").agg(F.count(F.lit(1)).alias("rows")))
+
+
 def read_legs(spark: SparkSession, path: str | list[str], schema: StructType = LEGS,
               infer: bool = False) -> DataFrame:
     """Flight legs CSV; ``path`` may be a glob (``file_part_*.csv``) to read many

@@ -5,14 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerostar.functions.text import field
 from aerostar.schemas import HOTEL_COLUMNS, HOTEL_PAGE
 
 
+CORRUPT = "__corrupt"
+_PARSED = HOTEL_PAGE.simpleString()[:-1] + f",{CORRUPT}:string>"
+
+
+def _parsed(json_col: str):
+    return F.from_json(F.col(json_col), _PARSED, {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def parse_hotel_pages(df: DataFrame, json_col: str = "json") -> DataFrame:
-    """Text documents -> ``(page, results)`` structs; a bad document gives a null
-    struct and so, after flattening, no rows."""
-    parsed = F.from_json(F.col(json_col), HOTEL_PAGE)
-    return df.select(parsed.alias("__doc")).select("__doc.page", "__doc.results")
+    """Text documents -> ``(page, results)`` structs of the documents that
+    parse; the others are the rows of ``reject_hotel_pages``."""
+    return (df.select(_parsed(json_col).alias("__doc")).where(f"__doc is not null and __doc.{CORRUPT} is null")
+            .select("__doc.page", "__doc.results"))
+
+
+def reject_hotel_pages(df: DataFrame, json_col: str = "json") -> DataFrame:
+    """The documents that do not parse (null text included), as they are: every
+    input row is either parsed or rejected."""
+    doc = _parsed(json_col)
+    return df.where(doc.isNull() | doc[CORRUPT].isNotNull())
 
 
 def flatten_hotel_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -24,11 +40,11 @@ def flatten_hotel_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
     default. An empty ``hotels`` list yields no rows."""
     loc = F.col("results.location")
     page_level = [
-        F.coalesce(loc["cityName"], F.lit("")).alias("City Name"),
-        F.coalesce(loc["countryName"], F.lit("")).alias("Country Name"),
-        F.coalesce(loc["countryCode"], F.lit("")).alias("Country Code"),
-        F.coalesce(loc["iata"], F.lit("")).alias("IATA"),
-        F.coalesce(loc["hotelsCount"], F.lit(0)).cast("int").alias("Hotels Count"),
+        field(loc["cityName"], "").alias("City Name"),
+        field(loc["countryName"], "").alias("Country Name"),
+        field(loc["countryCode"], "").alias("Country Code"),
+        field(loc["iata"], "").alias("IATA"),
+        field(loc["hotelsCount"], 0).cast("int").alias("Hotels Count"),
     ]
     items = pages.select(*keep, *page_level, F.explode("results.hotels").alias("h"))
     h = F.col("h")

@@ -1,5 +1,5 @@
 """Resumable ingest on Structured Streaming."""
 
-from aerostar.streaming.ingest import ingest_pages, land_pages
+from aerostar.streaming.ingest import ingest_pages, land_pages, rejects_of
 
-__all__ = ["ingest_pages", "land_pages"]
+__all__ = ["ingest_pages", "land_pages", "rejects_of"]

@@ -6,15 +6,15 @@ document per page) are the stream source and the checkpoint is Structured
 Streaming's own: each run processes exactly the files not seen before
 (``trigger(availableNow=True)``), appends the flattened rows to Parquet and
 stops. Re-running adds nothing; a new file adds its rows once; an empty page
-adds none. The checkpoint and output folders must be on shared, reliable
+adds none. Documents that do not parse go to a rejects table, so landed =
+parsed + rejected. The checkpoint and output folders must be on shared, reliable
 storage (below ``spark.checkpoint.dir`` in the ETL runs)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerostar.schemas import HOTEL_PAGE
-from aerostar.sources import flatten_hotel_pages
+from aerostar.sources import flatten_hotel_pages, parse_hotel_pages, reject_hotel_pages
 
 
 def land_pages(pages: DataFrame, landing: str, batch: str) -> str:
@@ -26,20 +26,29 @@ def land_pages(pages: DataFrame, landing: str, batch: str) -> str:
 
 def ingest_pages(spark: SparkSession, landing: str, out: str, checkpoint: str,
                  max_files_per_trigger: int | None = None, keep_page: bool = True,
-                 source_options: dict | None = None) -> int:
-    """Run one incremental ingest; returns the number of micro-batches run.
+                 source_options: dict | None = None, rejects: str | None = None) -> None:
+    """Run one incremental ingest of all landed documents not seen before.
 
+    ``rejects`` (``<out>-rejects`` by default) takes the documents that do not
+    parse, by a second stream with its own checkpoint beside the first.
     ``max_files_per_trigger`` bounds each micro-batch; ``source_options`` go to
-    the file source as they are, e.g. ``{"cleanSource": "archive",
-    "sourceArchiveDir": ...}`` so processed landing files move away and the
-    landing folder's listing stays short as pages accumulate."""
-    reader = spark.readStream.schema(HOTEL_PAGE)
+    the file source as they are."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (source_options or {}).items():
         reader = reader.option(k, v)
-    pages = reader.json(f"{landing.rstrip('/')}/*")
-    rows = flatten_hotel_pages(pages, keep=("page",) if keep_page else ())
+    documents = reader.load(f"{landing.rstrip('/')}/*").withColumnRenamed("value", "json")
+    rows = flatten_hotel_pages(parse_hotel_pages(documents), keep=("page",) if keep_page else ())
+    _drain(reject_hotel_pages(documents), rejects or rejects_of(out), f"{checkpoint.rstrip('/')}-rejects")
+    _drain(rows, out, checkpoint)
+
+
+def rejects_of(out: str) -> str:
+    return f"{out.rstrip('/')}-rejects"
+
+
+def _drain(rows: DataFrame, out: str, checkpoint: str) -> None:
     query = (rows.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .outputMode("append")
@@ -48,4 +57,3 @@ def ingest_pages(spark: SparkSession, landing: str, out: str, checkpoint: str,
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return len(query.recentProgress)
