@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerostar.functions._util import as_col
+from aerostar.functions._util import SPACE, as_col, strip_space
 
 # The ISO-8601 parts the flight data carries.
 ISO_HOURS = r"PT(\d+)H"
@@ -47,17 +47,20 @@ def text_hours(c: str | Column, strict: bool = False) -> Column:
     ``strict=False`` keeps the scraper's rule: token 1 is hours and token 3 is
     minutes whatever the units say, so ``45 min`` gives ``'45.00'``.
     ``strict=True`` reads the numbers in front of ``hr`` and ``min``.
+    Any white space separates, no-break spaces included; a number that does not
+    parse gives null.
     """
     c = as_col(c)
     if strict:
-        h = F.coalesce(F.regexp_extract(c, r"(\d+)\s*hr", 1).try_cast("int"), F.lit(0))
-        m = F.coalesce(F.regexp_extract(c, r"(\d+)\s*min", 1).try_cast("int"), F.lit(0))
+        h = F.coalesce(F.regexp_extract(c, rf"(\d+){SPACE}*hr", 1).try_cast("int"), F.lit(0))
+        m = F.coalesce(F.regexp_extract(c, rf"(\d+){SPACE}*min", 1).try_cast("int"), F.lit(0))
         total = h + m / 60.0
-        ok = c.rlike(r"\d+\s*(hr|min)")
+        ok = c.rlike(rf"\d+{SPACE}*(hr|min)")
     else:
-        parts = F.split(F.trim(c), " +")
+        parts = F.split(strip_space(c), f"{SPACE}+")
         h = F.try_element_at(parts, F.lit(1)).try_cast("int")
-        m = F.coalesce(F.try_element_at(parts, F.lit(3)).try_cast("int"), F.lit(0))
+        minutes = F.try_element_at(parts, F.lit(3))
+        m = F.when(minutes.isNull(), F.lit(0)).otherwise(minutes.try_cast("int"))
         total = h + m / 60.0
-        ok = h.isNotNull()
+        ok = h.isNotNull() & m.isNotNull()
     return F.when(ok, F.format_string("%.2f", total))

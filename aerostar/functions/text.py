@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerostar.functions._util import as_col
+from aerostar.functions._util import as_col, strip_space
 
 
 def flag(c: str | Column) -> Column:
@@ -36,8 +36,9 @@ def strip_currency(c: str | Column, sign: str = "$") -> Column:
 
 
 def first_of(c: str | Column, sep: str = ",") -> Column:
-    """First item of a comma list, trimmed: ``'A3, B'`` -> ``'A3'``."""
-    return F.trim(F.split_part(as_col(c), F.lit(sep), F.lit(1)))
+    """First item of a comma list without outer white space of any kind:
+    ``'A3\\n, B'`` -> ``'A3'``."""
+    return strip_space(F.split_part(as_col(c), F.lit(sep), F.lit(1)))
 
 
 def field(c: str | Column, default) -> Column:

@@ -9,7 +9,6 @@ from aerostar.functions._util import as_col
 
 # Formats of the flight data and of its star schema.
 OFFSET_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
-LOCAL_TS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 CLOCK = "hh:mm a"
 DATE_KEY = "yyyyMMdd"
 LABEL_DATE = "yyyy MMM d"
@@ -26,13 +25,16 @@ def clock(c: str | Column, local: bool = False) -> Column:
 
     ``local=False`` (the original): the instant shown in the session time zone
     (pinned to UTC), so ``12:57 -04:00`` prints ``04:57 PM``.
-    ``local=True``: the wall clock as written, offset ignored (``12:57 PM``).
+    ``local=True``: the wall clock as written (``12:57 PM``). The whole text is
+    parsed either way, so junk anywhere in it gives null.
     """
     c = as_col(c)
-    if local:
-        ts = F.try_to_timestamp(F.substring(c, 1, 23), F.lit(LOCAL_TS))
-    else:
-        ts = parse_offset_ts(c)
+    ts = parse_offset_ts(c)
+    if local:  # the instant moved by its own offset; Z has none
+        part = lambda k: F.coalesce(F.regexp_extract(c, r"([+-])(\d\d):(\d\d)$", k).try_cast("int"), F.lit(0))
+        seconds = part(2) * 3600 + part(3) * 60
+        behind = F.regexp_extract(c, r"([+-])\d\d:\d\d$", 1) == "-"
+        ts = F.timestamp_add("SECOND", F.when(behind, -seconds).otherwise(seconds), ts)
     return F.date_format(ts, CLOCK)
 
 
