@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType, BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
@@ -15,36 +15,39 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-# Bytes per value of fixed-width Spark types (nested types are
-# counted at a flat 64 bytes).
+# Bytes per value of fixed-width Spark types.
 _WIDTHS = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4,
            LongType: 8, DoubleType: 8, TimestampType: 8, TimestampNTZType: 8, DecimalType: 16}
 
 
-def _width(dt) -> int:
-    return _WIDTHS.get(type(dt), 64)
+def _bytes(field) -> Column:
+    """Bytes of a column's value: a fixed width, the length of text, and the
+    length as JSON of anything nested."""
+    c = F.col(f"`{field.name}`")
+    if type(field.dataType) in _WIDTHS:
+        return F.lit(_WIDTHS[type(field.dataType)])
+    if not isinstance(field.dataType, (StringType, BinaryType)):
+        c = F.to_json(F.struct(c))
+    return F.coalesce(F.octet_length(c), F.lit(0))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """Proven size bound, measured on at most ``max_rows + 1`` rows of ``df``:
-    the row count, and the bytes of the rows (fixed-width columns at their
-    type's size, strings at their actual length) must both be under budget.
+    """Proven size bound: the number of rows of ``df`` and their bytes must both
+    be under budget. A plain aggregate measures them, one partial sum per task,
+    so no task is sent the rows of the others.
 
     Dimensions here come out of ``dense_key`` as staged Parquet, so the check
-    is one cheap bounded scan, not a recomputation of their lineage."""
+    is one scan of a narrow table, not a recomputation of its lineage."""
     conf = df.sparkSession.conf
     if max_rows is None:
         max_rows = int(conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
     if max_bytes is None:
         max_bytes = int(conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES)))
-    fixed = sum(_width(f.dataType) for f in df.schema.fields
-                if not isinstance(f.dataType, (StringType, BinaryType)))
-    var = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
-           if isinstance(f.dataType, (StringType, BinaryType))]
-    var_bytes = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), var_bytes.alias("b")).first()
-    n, b = row["n"], row["b"] or 0
-    return n <= max_rows and n * fixed + b <= max_bytes
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        width = width + _bytes(f)
+    n, b = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return n <= max_rows and (b or 0) <= max_bytes
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key: str,

@@ -24,10 +24,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    # Let AQE coalesce small shuffles only down to ~1 KB partitions instead of
-    # 1 MB: a day-partitioned write of a small table otherwise lands in one
-    # task that writes every day file serially. Large shuffles are unaffected.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     # No broadcast from plan-time size estimates: joins broadcast either behind
     # an explicit check (fits_broadcast, fixed-size reference tables, tables of
     # per-partition counts) or when AQE has measured a side's actual shuffle
@@ -51,23 +47,21 @@ def get_spark(master: str | None = None, app: str = "aerostar",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_settings(spark)
+    for k, v in SESSION_CONF.items():  # also where an existing session is reused
+        spark.conf.set(k, v)
     return spark
 
 
+#: Settings on which results depend.
+RESULT_CONF = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
+
 def apply_settings(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
-    conf = dict(SESSION_CONF)
-    if _is_local(spark):
-        # One machine, local disk: list partition folders on the driver rather
-        # than with a listing job of one task per folder (that job is what a
-        # cluster wants for thousands of day folders on remote storage).
-        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
-    for k, v in conf.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked config: keep the session's value
-            pass
+    """Set what results depend on in an existing session (e.g. the driver's);
+    a session that refuses it is an error. How a plan runs is left to it."""
+    for k in RESULT_CONF:
+        if spark.conf.get(k, None) != SESSION_CONF[k]:
+            spark.conf.set(k, SESSION_CONF[k])
 
 
 def _is_local(spark: SparkSession) -> bool:
