@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from aerostar.functions import (
     first_of, label_date, label_time, non_blank, strip_currency, text_flag, text_hours,
 )
-from aerostar.operators import drop_sentinel, position_key
-from aerostar.sources import extract_page_fields, zip_fields
+from aerostar.operators import dense_key, drop_sentinel, position_key
+from aerostar.sources import extract_page_fields, unequal_lists, zip_fields
 
 # Where the search page keeps each field, and the scraper's
 # sentinel for a missing fare.
@@ -39,21 +39,44 @@ PAGE_RULES = {
 }
 
 
-def page_lists(pages: DataFrame) -> DataFrame:
+ITEM_LISTS = ["dep", "arr", "airline", "stops", "fare", "duration", "from_ap", "to_ap"]
+
+
+def page_lists(pages: DataFrame, rules: dict | None = None) -> DataFrame:
     """Per page: scalars and lists; fares keep only non-blank texts and lose
-    the currency sign, as the scraper does."""
-    f = extract_page_fields(pages, FLIGHT_PAGE_RULES)
+    the currency sign, as the scraper does. ``rules`` says where a page keeps
+    each field (see ``sources.web_pages``), by default as the fixture's do."""
+    f = extract_page_fields(pages, {**FLIGHT_PAGE_RULES, **(rules or {})})
     return f.withColumn("fare", F.transform(non_blank("fare"), lambda x: strip_currency(x)))
 
 
-def scraped_flights(pages: DataFrame, year: int = 2025, strict_duration: bool = False) -> DataFrame:
-    """Rows by position; fares padded with the sentinel; keys 1..n per page in
-    list order *before* sentinel rows are dropped (so gaps remain); the page
-    date parsed with ``year`` (the scraper overwrote it with the raw label)."""
-    lists = page_lists(pages)
-    rows = zip_fields(lists, ["dep", "arr", "airline", "stops", "fare", "duration", "from_ap", "to_ap"],
-                      keep=("page_id", "cabin", "date_label"), pad={"fare": NO_FARE})
-    rows = position_key(rows, "pos", "flightKey")
+def page_rejects(pages: DataFrame, rules: dict | None = None) -> DataFrame:
+    """Pages whose lists do not make rows: a list is longer than the first one
+    or, fares aside, shorter."""
+    return page_lists(pages, rules).where(unequal_lists(ITEM_LISTS, {"fare": NO_FARE})).select(
+        "page_id", F.size("dep").alias("n_items"), F.size("fare").alias("n_fares"))
+
+
+def page_rows(pages: DataFrame, rules: dict | None = None, divert: bool = False) -> DataFrame:
+    """Rows of the pages by position, keyed 1..n per page in list order.
+    ``divert`` leaves out the pages of ``page_rejects``, which otherwise fail
+    the job."""
+    lists = page_lists(pages, rules)
+    if divert:
+        lists = lists.where(~unequal_lists(ITEM_LISTS, {"fare": NO_FARE}))
+    rows = zip_fields(lists, ITEM_LISTS, keep=("page_id", "cabin", "date_label"), pad={"fare": NO_FARE})
+    return position_key(rows, "pos", "flightKey")
+
+
+def scraped_flights(pages: DataFrame, year: int = 2025, strict_duration: bool = False,
+                    rules: dict | None = None, divert: bool = False, table_key: bool = False) -> DataFrame:
+    """Rows by position; fares padded with the sentinel; keys 1..n in list
+    order *before* sentinel rows are dropped (so gaps remain), per page or, by
+    ``table_key``, over the whole table by (page, position); the page date
+    parsed with ``year`` (the scraper overwrote it with the raw label)."""
+    rows = page_rows(pages, rules, divert)
+    if table_key:
+        rows = dense_key(rows.drop("flightKey"), ["page_id", "pos"], "flightKey")
     out = rows.select(
         "page_id",
         label_date("date_label", year).alias("flightDate"),

@@ -89,7 +89,7 @@ HOTEL_PAGE = StructType([
     ])),
 ])
 
-# Scraped flight rows (the scraper's 12 columns), plus the page they came from.
+# The scraper's table, in its order (12 fields and the key).
 SCRAPED_COLUMNS = [
     "flightDate", "startingAirport", "destinationAirport", "isBasicEconomy",
     "isRefundable", "isNonStop", "totalFare", "segmentsAirlineName",

@@ -2,51 +2,109 @@
 
 A rule is ``(pattern, group, kind)``: ``kind='one'`` takes the first match
 (``regexp_extract``), ``kind='all'`` every match in page order
-(``regexp_extract_all``). Patterns run over the whole page text on the
-executors; each page is one row, so pages spread over all tasks."""
+(``regexp_extract_all``). ``element_text`` / ``elements_text`` make the rule
+for the text of elements with given classes (in any order, among others),
+``attribute`` / ``attributes`` that for an attribute's value; what they find
+loses its tags and has its entities decoded. Patterns run over the whole page
+text on the executors; each page is one row, so pages spread over all tasks."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Named entities of ordinary page text; the ampersand last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def _open_tag(tag: str, classes: tuple[str, ...], holds: Mapping[str, str]) -> str:
+    """An opening tag with all the classes and with attributes that contain the
+    given texts, in any order."""
+    tests = "".join(rf"(?=[^>]*\sclass=\"(?:[^\"]*\s)?{re.escape(c)}(?:\s[^\"]*)?\")" for c in classes)
+    tests += "".join(rf"(?=[^>]*\s{re.escape(k)}=\"[^\"]*{re.escape(v)}[^\"]*\")" for k, v in holds.items())
+    return rf"<{tag}\b{tests}"
+
+
+def element_text(tag: str, *classes: str, kind: str = "one", **holds: str) -> tuple[str, int, str]:
+    """Rule for the text of the first ``tag`` element with these classes, and
+    with attributes that contain the texts of ``holds`` (``aria_label=`` stands
+    for ``aria-label``). Inner tags are allowed, inner ``tag`` elements end it."""
+    holds = {k.replace("_", "-"): v for k, v in holds.items()}
+    return rf"(?s){_open_tag(tag, classes, holds)}[^>]*>(.*?)</{tag}\s*>", 1, f"{kind} text"
+
+
+def elements_text(tag: str, *classes: str, **holds: str) -> tuple[str, int, str]:
+    return element_text(tag, *classes, kind="all", **holds)
+
+
+def attribute(tag: str, name: str, *classes: str, kind: str = "one", **holds: str) -> tuple[str, int, str]:
+    """Rule for the value of attribute ``name``."""
+    holds = {k.replace("_", "-"): v for k, v in holds.items()}
+    return rf"{_open_tag(tag, classes, holds)}[^>]*?\s{re.escape(name)}=\"([^\"]*)\"", 1, f"{kind} text"
+
+
+def attributes(tag: str, name: str, *classes: str, **holds: str) -> tuple[str, int, str]:
+    return attribute(tag, name, *classes, kind="all", **holds)
+
+
+def decode_entities(c: Column) -> Column:
+    """Named entities and decimal character references of the Latin and general
+    punctuation blocks to the characters they stand for."""
+    codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(\d{1,5});"), F.lit(1)))
+    c = F.aggregate(codes, c, lambda text, n: F.replace(
+        text, F.concat(F.lit("&#"), n, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(n.cast("int")), 4, "0")), "UTF-16BE")))
+    for written, plain in ENTITIES:
+        c = F.replace(c, F.lit(written), F.lit(plain))
+    return c
+
+
+def _plain(c: Column) -> Column:
+    return decode_entities(F.regexp_replace(c, r"<[^>]*>", ""))
+
+
 def extract_page_fields(df: DataFrame, rules: Mapping[str, tuple[str, int, str]],
                         html: str = "html", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     cols = []
     for name, (pattern, group, kind) in rules.items():
-        if kind == "one":
-            cols.append(F.regexp_extract(F.col(html), pattern, group).alias(name))
-        elif kind == "all":
-            cols.append(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(group)).alias(name))
-        else:
+        if kind not in ("one", "all", "one text", "all text"):
             raise ValueError(f"rule kind must be 'one' or 'all', not {kind!r}")
+        if kind.startswith("one"):
+            c = F.regexp_extract(F.col(html), pattern, group)
+            cols.append((_plain(c) if kind.endswith("text") else c).alias(name))
+        else:
+            c = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(group))
+            cols.append((F.transform(c, _plain) if kind.endswith("text") else c).alias(name))
     return df.select(*keep, *cols)
 
 
+def unequal_lists(lists: list[str], pad: Mapping[str, str] | None = None) -> Column:
+    """Is a list longer than the first, or (unless padded) shorter?"""
+    out = F.lit(False)
+    for c in lists[1:]:
+        out = out | (F.size(c) > F.size(lists[0]) if c in (pad or {}) else F.size(c) != F.size(lists[0]))
+    return out
+
+
 def zip_fields(df: DataFrame, lists: list[str], keep: tuple[str, ...] = (),
                pad: Mapping[str, str] | None = None, check: bool = True,
                pos: str = "pos") -> DataFrame:
     """Positionally aligned lists -> one row per position, with ``pos`` (0-based).
 
     Lists named in ``pad`` may be shorter; they are padded at the end with the
-    given value. Every other list must have the length of the first one,
-    else the job fails (as building a table from unequal lists does), unless
-    ``check=False``."""
+    given value. Every other list must have the length of the first one, and
+    none may be longer, else the job fails (as building a table from unequal
+    lists does), unless ``check=False``. ``unequal_lists`` tells such pages
+    apart beforehand, to divert them."""
     pad = dict(pad or {})
-    first = lists[0]
     frame = df
     if check:
-        same = [F.size(c) == F.size(first) for c in lists[1:] if c not in pad]
-        if same:
-            ok = same[0]
-            for s in same[1:]:
-                ok = ok & s
-            # A filter, not a projected column: an unused column would be
-            # pruned by the optimizer and the check would never run.
-            frame = frame.filter(F.assert_true(ok, F.lit("page lists differ in length")).isNull())
+        # A filter, not a projected column: an unused column would be pruned
+        # by the optimizer and the check would never run.
+        frame = frame.filter(F.assert_true(~unequal_lists(lists, pad), F.lit("page lists differ in length")).isNull())
     zipped = F.arrays_zip(*[F.col(c) for c in lists])
     rows = frame.select(*keep, F.posexplode(zipped).alias(pos, "__z"))
     # arrays_zip pads the shorter lists with null at the end.
