@@ -12,23 +12,24 @@ from pyspark.sql.types import FloatType, DoubleType, IntegerType, LongType, Stri
 
 from aerostar.functions import (
     clock, date_key, first_item, first_of, flag, iso_hours, iso_hours_strict, label_date,
-    label_time, last_item, non_blank, pad, segment_count, segments,
+    label_time, last_item, lower, non_blank, pad, segment_count, segments,
     text_flag, text_hours, to_bool, to_float,
 )
 from aerostar.operators import (
     dedupe, dense_key, distinct_of, drop_cols, drop_null, drop_sentinel, fill, lookup_key,
     preview, project, project_as, rename, row_count, schema_report, union_distinct,
-    unique_key,
+    unique_key, with_cols,
 )
 from aerostar.plans import fixtures, flight, hotel, oracle as O, scrape
-from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, output_counts, run_flight, run_hotel
-from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, LEG_COLUMNS_WIDE
+from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, run_explore, run_flight, run_hotel, run_scrape
+from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, LEG_COLUMNS_WIDE, LEGS, SCRAPED_COLUMNS
 from aerostar.session import apply_settings, run_concurrently, stage_dir
 from aerostar.sinks import append_rows, publish, read_published, write_csv, write_single_csv
 from aerostar.sources import (
-    flatten_hotel_pages, parse_hotel_pages, read_hotels, read_legs, read_typed_csv, zip_fields,
+    attribute, attributes, element_text, elements_text, flatten_hotel_pages, parse_hotel_pages, read_hotels,
+    read_legs, read_rejects, read_typed_csv,
 )
-from aerostar.streaming import ingest_pages, land_pages
+from aerostar.streaming import ingest_pages, land_pages, rejects_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,12 +61,8 @@ def clean(spark, sf):
 
 
 def clean_for_dims(spark, sf):
-    """Cleaned legs for outputs that never read ``flightKey`` (the dimensions):
-    staged once with the free monotonic id, skipping the range sort of all legs
-    that the repeatable key needs. The dimensions are the same either way."""
-    path = stage_dir(spark, "clean-legs")
-    flight.clean_legs(legs(spark, sf), key="monotonic").write.parquet(path)
-    return spark.read.parquet(path)
+    """The columns of the cleaned legs that the dimensions read."""
+    return flight.dim_columns(legs(spark, sf))
 
 
 def explore(spark, sf):
@@ -166,6 +163,37 @@ def ingest_resumable(spark, sf):
     return spark.read.parquet(out).select(*HOTEL_COLUMNS)
 
 
+@query("ingest_rejects", H("SELECT 'rejected' AS kind, '{broken ' || CAST(page AS VARCHAR) AS document "
+                           "FROM (SELECT DISTINCT page FROM hotels WHERE page % 5 = 0) UNION ALL "
+                           "SELECT 'parsed', CAST(page AS VARCHAR) FROM (SELECT DISTINCT page FROM hotels WHERE page % 5 <> 0)"))
+def ingest_rejects(spark, sf):
+    """Documents that do not parse land in the rejects table: landed =
+    parsed + rejected."""
+    root = stage_dir(spark, "ingest-bad")
+    page = F.col("page")
+    pages = fixtures.hotel_pages(spark, sf).where(page >= 0).withColumn(
+        "json", F.when(page % 5 == 0, F.concat(F.lit("{broken "), page.cast("string"))).otherwise(F.col("json")))
+    land_pages(pages, f"{root}/landing", "batch-1")
+    ingest_pages(spark, f"{root}/landing", f"{root}/out", f"{root}/_checkpoint")
+    parsed = spark.read.parquet(f"{root}/out").select(page.cast("string").alias("document")).distinct()
+    rejected = spark.read.parquet(rejects_of(f"{root}/out")).select(F.col("json").alias("document"))
+    return rejected.select(F.lit("rejected").alias("kind"), "document").unionByName(
+        parsed.select(F.lit("parsed").alias("kind"), "document"))
+
+
+@query("scan_legs_rejects", L("SELECT 'flightDate' AS column_name, 'soon' AS value, count(*) AS rows FROM legs "
+                              "WHERE CAST(legId AS BIGINT) % 17 = 0 HAVING count(*) > 0 UNION ALL "
+                              "SELECT 'totalFare', 'n/a', count(*) FROM legs WHERE CAST(legId AS BIGINT) % 19 = 0 HAVING count(*) > 0"))
+def scan_legs_rejects(spark, sf):
+    """Values that a typed scan reads as null although the file holds text."""
+    path, k = stage_dir(spark, "legs-bad"), F.col("legId").cast("long")
+    bad = legs(spark, sf).withColumns({
+        "flightDate": F.when(k % 17 == 0, "soon").otherwise(F.col("flightDate").cast("string")),
+        "totalFare": F.when(k % 19 == 0, "n/a").otherwise(F.col("totalFare").cast("string"))})
+    write_csv(bad, path)
+    return read_rejects(spark, path, LEGS)
+
+
 @query("page_fields", "SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang, "
                       "regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages")
 def page_fields(spark, sf):
@@ -216,7 +244,7 @@ def project_alias(spark, sf):
                               f"{O.flag('isRefundable')} AS isRefundable, {O.flag('isNonStop')} AS isNonStop FROM legs"))
 def bool_flags_to_int(spark, sf):
     """Boolean flags to 1/0, null to 0."""
-    return legs(spark, sf).select("legId", *[flag(c).alias(c) for c in FLAGS])
+    return with_cols(legs(spark, sf).select("legId", *FLAGS), {c: flag(c) for c in FLAGS})
 
 
 @query("drop_columns", L("SELECT legId, flightDate, startingAirport, destinationAirport, travelDuration, "
@@ -417,10 +445,15 @@ def row_count_q(spark, sf):
     return row_count(legs(spark, sf))
 
 
-@query("preview_limit")
+@query("preview_limit", L("SELECT least(20, count(*)) AS shown, least(20, count(*)) AS found FROM legs"))
 def preview_limit(spark, sf):
-    """O2: the first 20 rows, as show() displays (a sample: rows-only check)."""
-    return preview(project(legs(spark, sf), LEG_COLUMNS), 20)
+    """O2: the first 20 rows, as show() displays. Which rows they are is open,
+    so the result says how many are shown and how many of those the legs hold."""
+    rows = project(legs(spark, sf), LEG_COLUMNS)
+    shown = preview(rows, 20).withColumn("__n", F.monotonically_increasing_id())
+    known = rows.select(F.struct(*LEG_COLUMNS).alias("__row")).distinct()
+    return (shown.join(known, F.struct(*LEG_COLUMNS).eqNullSafe(F.col("__row")), "left")
+            .agg(F.count("__n").alias("shown"), F.count("__row").alias("found")))
 
 
 @query("airports_union", L("SELECT startingAirport AS airportCode FROM legs UNION SELECT destinationAirport FROM legs"))
@@ -449,10 +482,13 @@ def key_all_columns(spark, sf):
     return dense_key(rows, None, "rowKey")
 
 
-@query("key_monotonic")
+@query("key_monotonic", L("SELECT count(*) AS rows, count(*) AS distinct_keys, count(*) AS positive_keys FROM legs"))
 def key_monotonic(spark, sf):
-    """Unique, gapped, run-dependent id (rows-only check)."""
-    return unique_key(project(legs(spark, sf), ["legId"]), "flightKey", start=1)
+    """Unique, gapped, run-dependent id. The ids differ from run to run, so
+    the result states what holds of them: one per row, all different, from 1."""
+    keyed = unique_key(project(legs(spark, sf), ["legId"]), "flightKey", start=1)
+    return keyed.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("flightKey").alias("distinct_keys"),
+                     F.count_if(F.col("flightKey") >= 1).alias("positive_keys"))
 
 
 @query("dim_flight_type", L(f"""
@@ -513,7 +549,7 @@ def clean_hotels(spark, sf):
 @query("country_lower", H('SELECT "Hotel ID", lower("Country Name") AS "Country Name" FROM hotels'))
 def country_lower(spark, sf):
     """Lower-case text."""
-    return hotels_raw(spark, sf).select("Hotel ID", F.lower("Country Name").alias("Country Name"))
+    return hotels_raw(spark, sf).select("Hotel ID", lower("Country Name").alias("Country Name"))
 
 
 @query("dim_country", H("SELECT * FROM dim_country"))
@@ -568,10 +604,7 @@ def hotel_join_country(spark, sf):
 
 def page_rows(spark, sf):
     """Rows of the search pages before the sentinel filter."""
-    lists = scrape.page_lists(flight_pages(spark, sf))
-    rows = zip_fields(lists, ["dep", "arr", "airline", "stops", "fare", "duration", "from_ap", "to_ap"],
-                      keep=("page_id", "cabin", "date_label"), pad={"fare": scrape.NO_FARE})
-    return rows.withColumn("flightKey", (F.col("pos") + 1).cast("long"))
+    return scrape.page_rows(flight_pages(spark, sf))
 
 
 @query("scraped_flights", FR("SELECT page_id, flightDate, startingAirport, destinationAirport, isBasicEconomy, "
@@ -583,11 +616,48 @@ def scraped_flights(spark, sf):
     return scrape.scraped_flights(flight_pages(spark, sf), year=fixtures.SCRAPE_YEAR)
 
 
-@query("page_rows_keyed", FR("SELECT page_id, flightKey, 'A' || CAST(k % 7 AS VARCHAR) || ', B' AS airline "
+@query("page_rows_keyed", FR("SELECT page_id, flightKey, 'A' || CAST(k % 7 AS VARCHAR) AS airline "
                              "FROM scrape_rows"))
 def page_rows_keyed(spark, sf):
     """1..n per page in list order, before any row is dropped."""
-    return page_rows(spark, sf).select("page_id", "flightKey", "airline")
+    return page_rows(spark, sf).select("page_id", "flightKey", first_of("airline").alias("airline"))
+
+
+@query("page_rejects", FR("SELECT page_id, CAST(max(n) AS INTEGER) AS n_items, CAST(max(n) + 1 AS INTEGER) AS n_fares "
+                          "FROM scrape_rows WHERE page_id % 4 = 0 AND n % 2 = 1 GROUP BY page_id"))
+def page_rejects(spark, sf):
+    """Pages with more fares than flights are diverted, not made into rows."""
+    return scrape.page_rejects(surplus_fares(spark, sf))
+
+
+def surplus_fares(spark, sf):
+    """The search pages, every fourth with one more fare text at its end."""
+    extra = '<span role="text" aria-label="9 US dollars">$9</span></ul>'
+    return flight_pages(spark, sf).withColumn(
+        "html", F.when(F.col("page_id") % 4 == 0, F.replace("html", F.lit("</ul>"), F.lit(extra))).otherwise(F.col("html")))
+
+
+@query("scraped_flights_rules", FR("SELECT page_id, flightDate, startingAirport, destinationAirport, isBasicEconomy, "
+                                   "isRefundable, isNonStop, totalFare, segmentsAirlineName, travelDuration, "
+                                   "departureTime, arrivalTime, flightKey FROM scrape_rows "
+                                   "WHERE totalFare <> 'Price Unavailable'"))
+def scraped_flights_rules(spark, sf):
+    """The same table from pages marked up otherwise (other attribute
+    order, more classes, nested tags, entities), by rules given as argument."""
+    html = F.col("html")
+    for old, new in (('<div class="al">', '<div data-x="1" class="row al big"><b>'), (", B</div>", "&#44; B</b></div>"),
+                     ('<span role="text" aria-label="', '<span data-k="v" aria-label="From '), ("$", "<i>&#36;</i>"),
+                     ('<div class="st">1 stop', '<div class="x st"><span>1</span> st&#111;p'),
+                     ('<input class="date" value="', '<input type="text" class="q date" value="'),
+                     ('<span class="dep" aria-label="', '<span aria-label="'), ('<span class="arr" aria-label="', '<span aria-label="')):
+        html = F.replace(html, F.lit(old), F.lit(new))
+    rules = {"airline": elements_text("div", "al"), "fare": elements_text("span", aria_label="US dollars"),
+             "stops": elements_text("div", "st"), "cabin": element_text("div", "cabin"),
+             "date_label": attribute("input", "value", "date"),
+             "dep": attributes("span", "aria-label", aria_label=scrape.DEPARTURE_MARKER.strip()),
+             "arr": attributes("span", "aria-label", aria_label=scrape.ARRIVAL_MARKER.strip()),
+             "duration": elements_text("div", "du")}
+    return scrape.scraped_flights(flight_pages(spark, sf).withColumn("html", html), year=fixtures.SCRAPE_YEAR, rules=rules)
 
 
 @query("label_to_date", FR("SELECT DISTINCT page_id, flightDate FROM scrape_rows"))
@@ -720,40 +790,119 @@ def publish_dim_constant_time(spark, sf):
     return read_published(spark, path)
 
 
+@query("publish_missing_time", S("""
+SELECT DISTINCT CASE WHEN dayOfMonth % 2 = 0 THEN CAST(strptime(dateKey, '%Y%m%d') AS TIMESTAMP) ELSE TIMESTAMP '1990-01-01 00:00:00' END AS __time,
+       CAST(dateKey AS VARCHAR) AS dateKey,
+       CAST(CASE WHEN dayOfMonth % 2 = 0 THEN CAST(strptime(dateKey, '%Y%m%d') AS TIMESTAMP) ELSE TIMESTAMP '1990-01-01 00:00:00' END AS DATE) AS __day
+FROM dim_date"""))
+def publish_missing_time(spark, sf):
+    """K5: a time that is null or does not parse takes the given value; every
+    row is published, in segments of a month."""
+    path, day = stage_dir(spark, "pub-missing"), F.col("dayOfMonth")
+    dates = flight.dim_date(clean_for_dims(spark, sf)).withColumn(
+        "at", F.when(day % 2 == 0, F.col("dateKey")).when(day % 3 == 0, "bad"))
+    publish(dates, path, ["dateKey"], "at", "yyyyMMdd", missing="1990-01-01 00:00:00", granularity="month")
+    return read_published(spark, path)
+
+
 # ---- end-to-end runs ---------------------------------------------------------------------------
 
-@query("flight_etl_run", S("""
-SELECT 'clean_legs' AS table_name, count(*) AS rows FROM clean
-UNION ALL SELECT 'dim_airport', count(*) FROM dim_airport
-UNION ALL SELECT 'dim_airline', count(*) FROM dim_airline
-UNION ALL SELECT 'dim_date', count(*) FROM dim_date
-UNION ALL SELECT 'fact_flight', count(*) FROM fact_flight
-UNION ALL SELECT 'published_fact_flight', count(*) FROM (SELECT DISTINCT * FROM fact_flight)"""))
+def _content(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the rows of a table and a sum over the hashes of their text."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("content"))
+
+
+def _contents(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    parts = [_content(df, cols).select(F.lit(name).alias("table_name"), "rows", "content") for name, (df, cols) in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _content_sql(name: str, source: str, texts: list[str]) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({t} AS VARCHAR), '')" for t in texts)
+    return (f"SELECT '{name}' AS table_name, count(*) AS rows, "
+            f"CAST(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) AS BIGINT) AS content FROM {source}")
+
+
+def _quoted(columns: list[str]) -> list[str]:
+    return [f'"{c}"' for c in columns]
+
+
+CLEAN_TABLE = flight.CLEAN_COLUMNS + ["flightKey"]
+_float = lambda cols: [O.float_text(c) if c == "totalFare" else c for c in cols]
+FLIGHT_TABLES = {"dim_airport": ["airportCode", "airportKey"], "dim_airline": ["airlineName", "airlineKey"],
+                 "dim_date": DATE_DIMS, "fact_flight": FACT_DIMS}
+
+
+@query("flight_etl_run", S(" UNION ALL ".join(
+    [_content_sql("clean_legs", "clean", _float(CLEAN_TABLE))]
+    + [_content_sql(n, n, _float(c)) for n, c in FLIGHT_TABLES.items()]
+    + [_content_sql("published_fact_flight", "fact_flight", _float(FACT_DIMS)),
+       _content_sql("published_dim_date", "dim_date", DATE_DIMS)])))
 def flight_etl_run(spark, sf):
-    """The whole flight run; row counts of what it wrote."""
-    out = stage_dir(spark, "flight-run")
-    p = run_flight(spark, legs(spark, sf), out)
+    """The whole flight run; rows and content of what it wrote."""
+    p = run_flight(spark, legs(spark, sf), stage_dir(spark, "flight-run"))
     csv = lambda path: spark.read.option("header", True).csv(path)
-    return output_counts(spark, {
-        "clean_legs": spark.read.parquet(p["clean"]),
-        "dim_airport": csv(p["dim_airport"]),
-        "dim_airline": csv(p["dim_airline"]),
-        "dim_date": csv(p["dim_date"]),
-        "fact_flight": csv(p["fact_flight"]),
-        "published_fact_flight": read_published(spark, p["pub_fact_flight"]),
-    })
-
-
-@query("hotel_etl_run", H("""
-SELECT 'dim_country' AS table_name, count(*) AS rows FROM (SELECT DISTINCT "Country Name" FROM ch)
-UNION ALL SELECT 'dim_location', count(*) FROM (SELECT DISTINCT "Location ID", "Location Name", "Latitude", "Longitude" FROM ch)
-UNION ALL SELECT 'dim_hotel', count(*) FROM (SELECT DISTINCT "Hotel ID", "Label", "Location ID", "Country Name" FROM ch)
-UNION ALL SELECT 'fact_hotel_stay', count(*) FROM (SELECT DISTINCT "Hotel ID", "Hotels Count", "Location ID", "Country Name" FROM ch)""".replace(
-    "FROM ch)", "FROM (SELECT * FROM clean_hotels WHERE \"Country Name\" <> '') ch)")))
+    tables = {"clean_legs": (spark.read.parquet(p["clean"]), CLEAN_TABLE)}
+    tables |= {n: (csv(p[n]), c) for n, c in FLIGHT_TABLES.items()}
+    tables["published_fact_flight"] = (read_published(spark, p["pub_fact_flight"]), FACT_DIMS)
+    tables["published_dim_date"] = (read_published(spark, p["pub_dim_date"]), DATE_DIMS)
+    return _contents(tables)
+
+
+_CH = "(SELECT * FROM clean_hotels WHERE \"Country Name\" <> '')"
+_CC = f"(SELECT \"Country Name\", row_number() OVER (ORDER BY \"Country Name\") - 1 AS \"Country ID\" FROM (SELECT DISTINCT \"Country Name\" FROM {_CH}))"
+HOTEL_TABLES = {"dim_country": ["Country Name", "Country ID"], "dim_hotel": ["Hotel ID", "Label", "Location ID", "Country ID"],
+                "fact_hotel_stay": ["Hotel ID", "Hotels Count", "Location ID", "Country ID"]}
+
+
+def _keyed_hotels(columns: list[str]) -> str:
+    cols = ", ".join(_quoted(columns))
+    return f"(SELECT h.*, c.\"Country ID\" FROM (SELECT DISTINCT {cols}, \"Country Name\" FROM {_CH}) h JOIN {_CC} c USING (\"Country Name\"))"
+
+
+@query("hotel_etl_run", H(" UNION ALL ".join([
+    _content_sql("dim_country", _CC, _quoted(HOTEL_TABLES["dim_country"])),
+    _content_sql("dim_hotel", _keyed_hotels(HOTEL_TABLES["dim_hotel"][:-1]), _quoted(HOTEL_TABLES["dim_hotel"])),
+    _content_sql("fact_hotel_stay", _keyed_hotels(HOTEL_TABLES["fact_hotel_stay"][:-1]), _quoted(HOTEL_TABLES["fact_hotel_stay"])),
+    _content_sql("dim_location", f'(SELECT DISTINCT "Location ID", "Location Name", "Latitude", "Longitude" FROM {_CH})',
+                 _quoted(["Location ID", "Location Name"]))])))
 def hotel_etl_run(spark, sf):
-    """Land pages, ingest incrementally, build the hotel tables; row counts."""
+    """Land pages, ingest incrementally, build the hotel tables; rows and
+    content of what was written."""
     root = stage_dir(spark, "hotel-run")
     land_pages(fixtures.hotel_pages(spark, sf), f"{root}/landing", "batch-1")
     p = run_hotel(spark, f"{root}/landing", f"{root}/out")
     csv = lambda path: spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    return output_counts(spark, {n: csv(p[n]) for n in ("dim_country", "dim_location", "dim_hotel", "fact_hotel_stay")})
+    tables = {n: (csv(p[n]), c) for n, c in HOTEL_TABLES.items()}
+    return _contents(tables | {"dim_location": (csv(p["dim_location"]), ["Location ID", "Location Name"])})
+
+
+EXPLORE_TABLES = {"dim_airline": ("dim_airline_pairs", ["airline_key", "airline_code", "airline_name"]),
+                  "dim_flight_type": ("dim_flight_type", ["flight_type_key", "isBasicEconomy", "isNonStop", "isRefundable"]),
+                  "dim_date": ("dim_date_rownum", ["date_key", "flightDate", "year", "month", "day"]),
+                  "dim_flight": ("dim_flight", ["flight_key", "legId", "flightDate", "startingAirport", "destinationAirport", "seatsRemaining"])}
+
+
+@query("explore_etl_run", " UNION ALL ".join(_content_sql(n, f"({SQL[q]})", c) for n, (q, c) in EXPLORE_TABLES.items()))
+def explore_etl_run(spark, sf):
+    """The exploratory job's tables; rows and content of what it wrote."""
+    p = run_explore(spark, legs(spark, sf), stage_dir(spark, "explore-run"))
+    csv = lambda path: spark.read.option("header", True).csv(path)
+    return _contents({n: (csv(p[n]), c) for n, (_, c) in EXPLORE_TABLES.items()})
+
+
+@query("scrape_run", FR("SELECT * EXCLUDE (page_id, pos) FROM (SELECT page_id, flightKey AS pos, flightDate, startingAirport, "
+                        "destinationAirport, isBasicEconomy, isRefundable, isNonStop, totalFare, segmentsAirlineName, travelDuration, "
+                        "departureTime, arrivalTime, row_number() OVER (ORDER BY page_id, flightKey) AS flightKey FROM scrape_rows) "
+                        "WHERE totalFare <> 'Price Unavailable'"))
+def scrape_run(spark, sf):
+    """Saved pages to the scraper's CSV, read back; keys over the table."""
+    path = run_scrape(spark, flight_pages(spark, sf), stage_dir(spark, "scrape-run"), year=fixtures.SCRAPE_YEAR)
+    return spark.read.schema("flightDate date, startingAirport string, destinationAirport string, isBasicEconomy int, isRefundable int, "
+                             "isNonStop int, totalFare string, segmentsAirlineName string, travelDuration string, departureTime string, "
+                             "arrivalTime string, flightKey long").option("header", True).csv(path).select(*SCRAPED_COLUMNS)

@@ -26,8 +26,9 @@ from aerostar.plans.hotel import (
 from aerostar.schemas import HOTEL_COLUMNS, HOTELS
 from aerostar.session import run_concurrently
 from aerostar.sinks import publish, write_csv, write_single_csv
-from aerostar.streaming import ingest_pages
+from aerostar.streaming import ingest_pages, rejects_of
 
+# Columns of the published fact and date dimension.
 FACT_DIMS = ["flightKey", "isBasicEconomy", "isRefundable", "isNonStop", "totalFare",
              "travelDuration", "departureTime", "arrivalTime", "dateKey", "airlineKey",
              "startingAirportKey", "destinationAirportKey"]
@@ -38,7 +39,9 @@ DATE_DIMS = ["dateKey", "date", "year", "month", "dayOfMonth", "dayOfWeek", "qua
 
 
 def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: bool = True,
-               key: str = "dense") -> dict[str, str]:
+               key: str = "dense", single_files: bool = False) -> dict[str, str]:
+    """``single_files`` writes each dimension as one named CSV file, as the
+    original does, instead of a folder of parts."""
     out = out.rstrip("/")
     paths = {"clean": f"{out}/stage/clean_legs"}
     clean_legs(legs, key=key).write.mode("overwrite").parquet(paths["clean"])
@@ -46,7 +49,9 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
     log.info("flight: cleaned legs written to %s", paths["clean"])
 
     airports, airlines = run_concurrently([lambda: dim_airport(clean), lambda: dim_airline(clean)])
-    dates = dim_date(clean)
+    paths["dates"] = f"{out}/stage/dim_date"  # read by the CSV and the publish
+    dim_date(clean).write.mode("overwrite").parquet(paths["dates"])
+    dates = spark.read.parquet(paths["dates"])
     fact = fact_flight(clean, airlines, airports)
     log.info("flight: airline, airport and date dimensions keyed; fact planned")
 
@@ -55,10 +60,11 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
     # the dimension branches in parallel too); the fact's publish waits for
     # the dimensions, as in the original dependency order.
     paths["fact_flight"] = f"{wh}/fact_flight"
+    write_dim = write_single_csv if single_files else write_csv
     _concurrently([
-        lambda: write_single_csv(airports, f"{wh}/dim_airport.csv"),
-        lambda: write_single_csv(airlines, f"{wh}/dim_airline.csv"),
-        lambda: write_single_csv(dates, f"{wh}/dim_date.csv"),
+        lambda: write_dim(airports, f"{wh}/dim_airport.csv"),
+        lambda: write_dim(airlines, f"{wh}/dim_airline.csv"),
+        lambda: write_dim(dates, f"{wh}/dim_date.csv"),
         # The fact is written in parallel parts (a single file would funnel
         # the largest table through one task).
         lambda: write_csv(fact, paths["fact_flight"]),
@@ -73,7 +79,7 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
                       "pub_dim_airline": f"{pub}/dim_airline", "pub_fact_flight": f"{pub}/fact_flight"})
         _concurrently([
             lambda: publish(dates, paths["pub_dim_date"], DATE_DIMS, "dateKey", "yyyyMMdd",
-                            unique_key="dateKey"),
+                            unique_key="dateKey", granularity="year"),
             lambda: publish(airports, paths["pub_dim_airport"], ["airportKey", "airportCode"],
                             unique_key="airportKey"),
             lambda: publish(airlines, paths["pub_dim_airline"], ["airlineKey", "airlineName"],
@@ -91,8 +97,9 @@ def run_flight(spark: SparkSession, legs: DataFrame, out: str, publish_tables: b
 def run_hotel(spark: SparkSession, landing: str, out: str) -> dict[str, str]:
     out = out.rstrip("/")
     paths = {"ingested": f"{out}/stage/hotel_rows"}
-    batches = ingest_pages(spark, landing, paths["ingested"], f"{out}/stage/_ingest_checkpoint")
-    log.info("hotel: %d ingest micro-batches into %s", batches, paths["ingested"])
+    ingest_pages(spark, landing, paths["ingested"], f"{out}/stage/_ingest_checkpoint")
+    paths["rejected"] = rejects_of(paths["ingested"])
+    log.info("hotel: landed documents ingested into %s, bad ones into %s", paths["ingested"], paths["rejected"])
     rows = spark.read.parquet(paths["ingested"]).select(*HOTEL_COLUMNS)
     # The original crawler hands rows to the ETL through a CSV file, where an
     # empty text field reads back as null; keep that, so rows without a
@@ -141,11 +148,17 @@ def run_explore(spark: SparkSession, legs: DataFrame, out: str) -> dict[str, str
     return paths
 
 
-def run_scrape(spark: SparkSession, pages: DataFrame, out: str, year: int = 2025) -> str:
-    """Saved search pages ``(page_id, html)`` -> the scraped flight table as CSV."""
-    from aerostar.plans.scrape import scraped_flights
+def run_scrape(spark: SparkSession, pages: DataFrame, out: str, year: int = 2025,
+               rules: dict | None = None) -> str:
+    """Saved search pages ``(page_id, html)`` -> the scraped flight table as CSV
+    (the scraper's 13 columns, keyed over the whole table), and the pages whose
+    lists do not match as Parquet beside it."""
+    from aerostar.plans.scrape import page_rejects, scraped_flights
+    from aerostar.schemas import SCRAPED_COLUMNS
     path = f"{out.rstrip('/')}/flights_crawl"
-    write_csv(scraped_flights(pages, year=year), path)
+    rows = scraped_flights(pages, year=year, rules=rules, divert=True, table_key=True)
+    write_csv(rows.select(*SCRAPED_COLUMNS), path)
+    page_rejects(pages, rules=rules).write.mode("overwrite").parquet(f"{path}-rejects")
     return path
 
 

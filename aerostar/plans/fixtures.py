@@ -12,9 +12,7 @@ with quotes and line breaks, short fare lists).
 Scale notes: every group that is collected is bounded by construction - the
 lines of one order (a TPC-H order has a handful of lines), at most
 ``HOTELS_PER_PAGE`` customer keys per hotel page and ``FLIGHTS_PER_PAGE``
-orders per search page - so no task ever holds an unbounded group. Only the
-``nation`` and ``region`` tables (25 and 5 rows, fixed by the TPC-H spec) are
-broadcast.
+orders per search page - so no task ever holds an unbounded group.
 """
 
 from __future__ import annotations
@@ -89,10 +87,8 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    start_nation = F.broadcast(nation.select(F.col("n_nationkey").alias("sn_key"),
-                                             F.col("n_name").alias("sn_name")))
-    dest_nation = F.broadcast(nation.select(F.col("n_nationkey").alias("dn_key"),
-                                            F.col("n_name").alias("dn_name")))
+    start_nation = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
+    dest_nation = nation.select(F.col("n_nationkey").alias("dn_key"), F.col("n_name").alias("dn_name"))
     k = F.col("o_orderkey")
     q = F.col("q")
     h = (q % 24).cast("string")
@@ -144,11 +140,11 @@ def hotel_rows_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    geo = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-                      .select("n_nationkey", "n_name", "r_name"))
+    geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+           .select("n_nationkey", "n_name", "r_name"))
     # Hotels per city (nation): one small aggregate, 25 rows.
-    counts = F.broadcast(cust.groupBy(F.col("c_nationkey").alias("cn"))
-                         .agg(F.count(F.lit(1)).cast("int").alias("hotels_count")))
+    counts = (cust.groupBy(F.col("c_nationkey").alias("cn"))
+              .agg(F.count(F.lit(1)).cast("int").alias("hotels_count")))
     ck = F.col("c_custkey")
     label = (F.when(ck % 7 == 0, F.concat("c_name", F.lit(' "Grand", Hotel')))
               .when(ck % 9 == 0, F.concat("c_name", F.lit("\nAnnex")))
@@ -191,7 +187,7 @@ def hotel_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.col("hotels")).alias("results"))
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    empty = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    empty = (nation.join(region, nation.n_regionkey == region.r_regionkey)
              .select((-1 - F.col("n_nationkey")).cast("long").alias("page"),
                      F.struct(F.struct(F.col("n_name").alias("cityName")).alias("location"),
                               F.array().cast("array<string>").alias("hotels")).alias("results")))
@@ -215,15 +211,18 @@ def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.lit("\u202f"), F.when(k % 3 == 0, "PM").otherwise("AM"), F.lit('."></span>'))
     hours = (k % 9 + 1).cast("string")
     mins = (k % 59 + 1).cast("string")
-    dur = (F.when(k % 10 == 7, F.concat(mins, F.lit(" min")))
-            .when(k % 3 == 0, F.concat(hours, F.lit(" hr")))
-            .otherwise(F.concat(hours, F.lit(" hr "), mins, F.lit(" min"))))
+    # Saved pages separate with no-break spaces and line breaks too.
+    gap = F.when(k % 7 == 1, "\u00a0").when(k % 7 == 2, "\u202f").when(k % 7 == 3, "\n").otherwise(" ")
+    dur = (F.when(k % 10 == 7, F.concat(mins, gap, F.lit("min")))
+            .when(k % 3 == 0, F.concat(hours, gap, F.lit("hr")))
+            .otherwise(F.concat(hours, gap, F.lit("hr"), gap, mins, gap, F.lit("min"))))
     fare = F.when(k % 25 == 0, F.concat(F.lit("1,"), F.lpad((k % 1000).cast("string"), 3, "0"))) \
             .otherwise((k % 900 + 50).cast("string"))
     item = F.struct(
         k.alias("k"),
         F.concat(F.lit('<li class="fl">'), dep, arr,
-                 F.lit('<div class="al">A'), (k % 7).cast("string"), F.lit(", B</div>"),
+                 F.lit('<div class="al">'), F.when(k % 5 == 1, "\n\u00a0").otherwise(""), F.lit("A"), (k % 7).cast("string"),
+                 F.when(k % 5 == 2, "\n").otherwise(""), F.lit(", B</div>"),
                  F.lit('<div class="st">'), F.when(k % 4 == 0, "Nonstop").otherwise("1 stop"),
                  F.lit("</div>")).alias("head"),
         F.concat(F.lit('<span role="text" aria-label="'), fare, F.lit(' US dollars">$'), fare,

@@ -18,6 +18,7 @@ from aerostar.operators import (
 from aerostar.session import run_concurrently
 from aerostar.schemas import LEG_COLUMNS, LEG_COLUMNS_WIDE
 
+# Columns and flags of the original's cleaned legs.
 CRITICAL = ["legId", "flightDate", "startingAirport", "destinationAirport"]
 FLAGS = ["isBasicEconomy", "isRefundable", "isNonStop"]
 CLEAN_COLUMNS = [
@@ -62,6 +63,16 @@ def clean_legs(legs: DataFrame, key: str = "dense", local_clock: bool = False,
     return df.select(*CLEAN_COLUMNS, "flightKey")
 
 
+def dim_columns(legs: DataFrame) -> DataFrame:
+    """The cleaned columns that the airline, airport and date dimensions read.
+    They come from the same rows as the cleaned legs, and a distinct projection
+    needs neither the full-row dedupe nor the key: only their few values are
+    shuffled, after partial aggregates, and the scan reads only their columns."""
+    return drop_null(legs, CRITICAL).select(
+        "flightDate", "startingAirport", "destinationAirport",
+        first_item(segments("segmentsAirlineName")).alias("segmentsAirlineName"))
+
+
 def dim_airline(clean: DataFrame) -> DataFrame:
     """Distinct first-segment airline names keyed 1..n by name (nulls first)."""
     names = distinct_of(clean, [F.col("segmentsAirlineName").alias("airlineName")])
@@ -133,7 +144,7 @@ def explore_legs(legs: DataFrame) -> DataFrame:
     })
 
 
-def airline_items(legs: DataFrame, cross: bool = False) -> DataFrame:
+def airline_items(legs: DataFrame, cross: bool = False, distinct: bool = False) -> DataFrame:
     """(airline_name, airline_code) per segment.
 
     ``cross=False`` pairs names and codes by position (``arrays_zip``).
@@ -141,6 +152,8 @@ def airline_items(legs: DataFrame, cross: bool = False) -> DataFrame:
     every code of the same leg. Null lists give no rows (``explode``)."""
     names, codes = segments("segmentsAirlineName"), segments("segmentsAirlineCode")
     if cross:
+        if distinct:  # pairs that a dedupe would remove anyway
+            names, codes = F.array_distinct(names), F.array_distinct(codes)
         return (legs.select(F.explode(names).alias("airline_name"), codes.alias("__codes"))
                     .select("airline_name", F.explode("__codes").alias("airline_code")))
     return legs.select(F.inline(F.arrays_zip(names.alias("airline_name"),
@@ -148,7 +161,7 @@ def airline_items(legs: DataFrame, cross: bool = False) -> DataFrame:
 
 
 def dim_airline_pairs(legs: DataFrame, cross: bool = False) -> DataFrame:
-    pairs = dedupe(airline_items(legs, cross=cross))
+    pairs = dedupe(airline_items(legs, cross=cross, distinct=True))
     keyed = dense_key(pairs, ["airline_name", "airline_code"], "airline_key")
     return keyed.select("airline_key", "airline_code", "airline_name")
 
