@@ -53,16 +53,18 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, Spark type and non-null count.
-
-    The counts come from one aggregate over the table; the names and types
-    are attached to that single result row, then unpivoted."""
+def schema_report(df: DataFrame, counts: bool = False) -> DataFrame:
+    """One row per column: position, name, Spark type; reads no data. With
+    ``counts`` also the non-null count, from one aggregate over the table whose
+    single result row carries the names and types and is then unpivoted."""
     cols = df.dtypes
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, (c, _) in enumerate(cols)])
+    if not counts:
+        return df.sparkSession.createDataFrame([(i + 1, c, t) for i, (c, t) in enumerate(cols)],
+                                               "position int, column_name string, data_type string")
+    found = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, (c, _) in enumerate(cols)])
     entries = [
         F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"),
                  F.lit(t).alias("data_type"), F.col(f"n{i}").alias("non_null"))
         for i, (c, t) in enumerate(cols)
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    return found.select(F.inline(F.array(*entries)))

@@ -74,7 +74,10 @@ def hotels_raw(spark, sf, keep=()):
 
 
 def hotels_clean(spark, sf):
-    return hotel.clean_hotels(hotels_raw(spark, sf))
+    """Staged: the tables and the country key read it, the flattening runs once."""
+    path = stage_dir(spark, "hotels")
+    hotel.clean_hotels(hotels_raw(spark, sf)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def flight_pages(spark, sf):
@@ -535,7 +538,7 @@ _schema_rows = " UNION ALL ".join(
 @query("schema_report", L(_schema_rows, O.EXPLORE))
 def schema_report_q(spark, sf):
     """Column types (and non-null counts) of the exploratory input."""
-    return schema_report(explore(spark, sf))
+    return schema_report(explore(spark, sf), counts=True)
 
 
 # ---- hotels ----------------------------------------------------------------------------

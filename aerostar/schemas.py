@@ -1,4 +1,5 @@
-"""Declared input schemas (no inference pass at read time)."""
+"""Declared input schemas (no inference pass at read time). All names, orders
+and types here are fixed values: they are the files' own."""
 
 from pyspark.sql.types import (
     ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType,
@@ -38,14 +39,7 @@ LEG_COLUMNS = [
 ]
 
 # Columns the exploratory job keeps (in its order).
-LEG_COLUMNS_WIDE = [
-    "legId", "flightDate", "startingAirport", "destinationAirport",
-    "travelDuration", "isBasicEconomy", "isRefundable", "isNonStop",
-    "baseFare", "totalFare", "seatsRemaining", "segmentsDepartureTimeRaw",
-    "segmentsArrivalTimeRaw", "segmentsArrivalAirportCode",
-    "segmentsDepartureAirportCode", "segmentsAirlineName",
-    "segmentsAirlineCode", "segmentsDurationInSeconds",
-]
+LEG_COLUMNS_WIDE = LEGS.names
 
 # Hotel rows as the crawler writes them (CSV header names).
 HOTELS = StructType([
@@ -95,3 +89,8 @@ SCRAPED_COLUMNS = [
     "isRefundable", "isNonStop", "totalFare", "segmentsAirlineName",
     "travelDuration", "departureTime", "arrivalTime", "flightKey",
 ]
+
+# Columns of the hotel star schema's tables, in their order.
+LOCATION_TABLE = ["Location ID", "Location Name", "Latitude", "Longitude"]
+HOTEL_TABLE = ["Hotel ID", "Label", "Location ID", "Country ID"]
+STAY_TABLE = ["Hotel ID", "Hotels Count", "Location ID", "Country ID"]

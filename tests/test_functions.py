@@ -29,9 +29,19 @@ def test_iso_hours_strict_needs_both_parts(spark):
 
 
 def test_text_hours_positional_and_strict(spark):
-    vals = ["2 hr 29 min", "3 hr", "45 min", None]
-    assert col_values(spark, vals, text_hours) == ["2.48", "3.00", "45.00", None]
-    assert col_values(spark, vals, lambda c: text_hours(c, strict=True)) == ["2.48", "3.00", "0.75", None]
+    vals = ["2 hr 29 min", "3 hr", "45 min", None, "2\u00a0hr\u202f29\u00a0min", "2 hr\n29 min", " 1 hr x min", "soon"]
+    assert col_values(spark, vals, text_hours) == ["2.48", "3.00", "45.00", None, "2.48", "2.48", None, None]
+    assert col_values(spark, vals, lambda c: text_hours(c, strict=True)) == ["2.48", "3.00", "0.75", None, "2.48", "2.48", "1.00", None]
+
+
+def test_clock_reads_the_whole_text(spark):
+    vals = ["2022-04-17T12:57:00.000-04:00", "2022-04-17T12:57:00.000Z", "2022-04-17T12:57:00.000+05:30", "2022-04-17T12:57:00.000-04:00x", "2022-04-17T12:57:00.000"]
+    assert col_values(spark, vals, lambda c: clock(c, local=True)) == ["12:57 PM", "12:57 PM", "12:57 PM", None, None]
+    assert col_values(spark, vals, clock) == ["04:57 PM", "12:57 PM", "07:27 AM", None, None]
+
+
+def test_first_of_strips_any_white_space(spark):
+    assert col_values(spark, ["Delta\n, X", "\u00a0A\u202f", None], first_of) == ["Delta", "A", None]
 
 
 def test_offset_timestamp_to_clock_utc_and_local(spark):

@@ -1,31 +1,27 @@
-"""The Spark flattening of hotel lookup responses against plain-Python dict
-handling with the crawler's defaults (absent text '', absent count 0, absent
-hotel fields and location None)."""
+"""Hand-written lookup responses and the rows they must give."""
 
-import json
+from aerostar.sources import flatten_hotel_pages, parse_hotel_pages, reject_hotel_pages
 
-from aerostar.plans import fixtures
-from aerostar.sources import flatten_hotel_pages, parse_hotel_pages
-from conftest import SF_SMALL
+DOCS = [
+    ('{"page": 1, "results": {"location": {"cityName": "Hue", "countryName": "VN", "countryCode": "V", "iata": "HUI", "hotelsCount": 2}, '
+     '"hotels": [{"id": "7", "label": "Old \\"Inn\\"", "locationName": "L", "fullName": "F", "locationId": "9", "location": {"lat": 1.5, "lon": -2.0}}, {"id": "8"}]}}'),
+    '{"page": 2, "results": {"hotels": [{"id": "9", "location": {"lat": 3.0}}]}}',
+    '{"page": 3, "results": {"location": {"cityName": null}, "hotels": []}}',
+    '{"page": 4, "results": {}}',
+    '{"page": 5}',
+    "{broken",
+    None,
+    "",
+]
+ROWS = [
+    ("7", 'Old "Inn"', "L", "F", "9", "Hue", "VN", "V", "HUI", 1.5, -2.0, 2),
+    ("8", None, None, None, None, "Hue", "VN", "V", "HUI", None, None, 2),
+    ("9", None, None, None, None, "", "", "", "", 3.0, None, 0),
+]
 
 
-def python_rows(doc):
-    results = doc.get("results", {})
-    loc, hotels = results.get("location", {}), results.get("hotels", [])
-    page = [loc.get("cityName", ""), loc.get("countryName", ""), loc.get("countryCode", ""),
-            loc.get("iata", ""), loc.get("hotelsCount", 0)]
-    out = []
-    for h in hotels:
-        where = h.get("location", {})
-        out.append((h.get("id"), h.get("label"), h.get("locationName"), h.get("fullName"),
-                    h.get("locationId"), *page[:4], where.get("lat"), where.get("lon"), page[4]))
-    return out
-
-
-def test_flatten_matches_plain_python(spark):
-    pages = fixtures.hotel_pages(spark, SF_SMALL)
-    expected = sorted((r for p in pages.collect() for r in python_rows(json.loads(p.json))),
-                      key=repr)
-    got = sorted((tuple(r) for r in flatten_hotel_pages(parse_hotel_pages(pages)).collect()), key=repr)
-    assert len(got) == len(expected) > 0
-    assert got == expected
+def test_rows_and_rejects(spark):
+    docs = spark.createDataFrame([(d,) for d in DOCS], "json string")
+    assert sorted(map(tuple, flatten_hotel_pages(parse_hotel_pages(docs)).collect()), key=repr) == sorted(ROWS, key=repr)
+    assert sorted((r.json for r in reject_hotel_pages(docs).collect()), key=repr) == sorted(["{broken", None, ""], key=repr)
+    assert parse_hotel_pages(docs).count() + reject_hotel_pages(docs).count() == len(DOCS)

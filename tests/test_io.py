@@ -103,11 +103,33 @@ def test_zip_fields_pads_and_checks_lengths(spark):
         zip_fields(bad, ["dep", "al"], keep=("page_id",)).collect()
 
 
-def test_single_csv_falls_back_to_parts_above_bound(spark, scratch):
-    df = spark.range(0, 100, numPartitions=4)
-    path = write_single_csv(df, f"{scratch}/big.csv", max_rows=10)
-    assert os.path.isdir(path)
-    assert spark.read.option("header", True).csv(path).count() == 100
+def test_single_csv_is_a_file_at_any_size(spark, scratch):
+    for n in (0, 1, 50_000):
+        path = write_single_csv(spark.range(0, n, numPartitions=4), f"{scratch}/{n}.csv")
+        assert os.path.isfile(path)
+        assert spark.read.option("header", True).csv(path).count() == n
+
+
+def test_publish_keeps_rows_without_a_time(spark, scratch):
+    import pytest
+    from aerostar.sinks import published_between
+    df = spark.createDataFrame([("20240105", 1), ("bad", 2), (None, 3), ("20240229", 4)], "at string, k int")
+    path = publish(df, f"{scratch}/m", ["k"], "at", "yyyyMMdd", missing="1999-12-31 00:00:00", granularity="year")
+    got = {(r.k, str(r["__day"])) for r in read_published(spark, path).collect()}
+    assert got == {("1", "2024-01-05"), ("2", "1999-12-31"), ("3", "1999-12-31"), ("4", "2024-02-29")}
+    assert [r.k for r in published_between(spark, path, "2024-02-01", "2024-03-01", "year").collect()] == ["4"]
+    with pytest.raises(Exception, match="no time in at"):
+        publish(df, f"{scratch}/n", ["k"], "at", "yyyyMMdd")
+
+
+def test_values_that_do_not_parse_are_listed(spark, scratch):
+    from aerostar.schemas import LEGS
+    from aerostar.sources import read_rejects
+    spark.createDataFrame([("1", "2024-01-01", "x"), ("2", "soon", "2.5"), ("3", None, "x")], "legId string, flightDate string, totalFare string") \
+        .write.option("header", True).csv(f"{scratch}/bad")
+    schema = type(LEGS)([f for f in LEGS.fields if f.name in ("legId", "flightDate", "totalFare")])
+    got = {tuple(r) for r in read_rejects(spark, f"{scratch}/bad", schema).collect()}
+    assert got == {("flightDate", "soon", 1), ("totalFare", "x", 2)}
 
 
 def test_legs_csv_with_inferred_schema(spark, scratch):

@@ -43,6 +43,15 @@ def test_fits_broadcast_bounds(spark):
     assert fits_broadcast(df)
     assert not fits_broadcast(df, max_rows=50)
     assert not fits_broadcast(df, max_bytes=50_000)  # ~100 kB of strings
+    nested = df.select(F.array(F.col("s"), F.col("s")).alias("a"))
+    assert fits_broadcast(nested) and not fits_broadcast(nested, max_bytes=150_000)
+
+
+def test_size_check_sends_no_rows_to_one_task(spark):
+    from aerostar.operators import lookup_key
+    fact, dim = spark.range(1000).withColumnRenamed("id", "n"), spark.range(100).select(F.col("id").alias("m"), F.col("id").alias("key"))
+    plan = lookup_key(fact, dim, "n", "m", "key")._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan
 
 
 def test_dense_key_empty_input(spark):

@@ -1,58 +1,78 @@
-"""The Spark scrape against a plain-Python reading of the same saved pages,
-following the scraper's text rules step by step (no Spark, no SQL)."""
+"""The scrape on hand-written pages with the rows they must give."""
 
 import datetime as dt
-import re
-
-from aerostar.plans import fixtures, scrape
-from conftest import SF_SMALL
-
-MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
-
-
-def clean_time(label, marker):
-    t = label.split(marker)[1].replace("\u202f", "").strip(".")
-    return t.replace("AM", " AM").replace("PM", " PM")
-
-
-def hours_text(d):
-    parts = d.split()
-    h = int(parts[0])
-    m = int(parts[2]) if len(parts) > 2 else 0
-    return f"{h + m / 60.0:.2f}"
-
-
-def page_rows(page_id, html, year):
-    find = lambda pat: re.findall(pat, html)
-    cabin = re.search(r'<div class="cabin">([^<]*)</div>', html).group(1)
-    label = re.search(r'<input class="date" value="([^"]*)"', html).group(1)
-    mon, day = label.split(", ")[1].split(" ")
-    try:
-        date = dt.date(year, MONTHS.index(mon) + 1, int(day))
-    except ValueError:
-        date = None
-    dep = [clean_time(x, "Departure time: ") for x in find(r'<span class="dep" aria-label="([^"]*)"')]
-    arr = [clean_time(x, "Arrival time: ") for x in find(r'<span class="arr" aria-label="([^"]*)"')]
-    airline = [x.split(",")[0].strip() for x in find(r'<div class="al">([^<]*)</div>')]
-    nonstop = [1 if x == "Nonstop" else 0 for x in find(r'<div class="st">([^<]*)</div>')]
-    fares = [x.replace("$", "") for x in find(r'<span role="text" aria-label="[^"]*US dollars">([^<]*)</span>') if x != ""]
-    while len(fares) < len(dep):
-        fares.append("Price Unavailable")
-    dur = [hours_text(x) for x in find(r'<div class="du">([^<]*)</div>')]
-    src = find(r'<div class="from">([^<]*)</div>')
-    dst = find(r'<div class="to">([^<]*)</div>')
-    rows = []
-    for i in range(len(dep)):
-        if fares[i] == "Price Unavailable":
-            continue
-        rows.append((page_id, date, src[i], dst[i], 1 if cabin == "Economy" else 0, 0, nonstop[i],
-                     fares[i], airline[i], dur[i], dep[i], arr[i], i + 1))
-    return rows
-
-
-def test_scrape_matches_plain_python(spark):
-    pages = fixtures.flight_pages(spark, SF_SMALL)
-    expected = sorted(r for p in pages.collect() for r in page_rows(p.page_id, p.html, 2025))
-    got = sorted(tuple(r) for r in scrape.scraped_flights(pages, year=2025).collect())
-    assert len(got) == len(expected) > 0
-    assert got == expected
+
+import pytest
+
+from aerostar.plans import scrape
+from aerostar.sources import attribute, attributes, element_text, elements_text
+
+ITEM = ('<span class="dep" aria-label="Departure time: {dep}."></span><span class="arr" aria-label="Arrival time: {arr}."></span>'
+        '<div class="al">{al}</div><div class="st">{st}</div>{fare}<div class="du">{du}</div><div class="from">{a}</div><div class="to">{b}</div>')
+FARE = '<span role="text" aria-label="{0} US dollars">${0}</span>'
+
+
+def page(cabin, date, *items):
+    return f'<html><div class="cabin">{cabin}</div><input class="date" value="{date}"><ul>{"".join(items)}</ul></html>'
+
+
+def item(dep, arr, al, st, fare, du, a="HAN", b="SGN"):
+    return ITEM.format(dep=dep, arr=arr, al=al, st=st, fare=fare, du=du, a=a, b=b)
+
+
+PAGES = [
+    (1, page("Economy", "Wed, Jan 1",
+             item("9:05 AM", "11:40 PM", "Delta\n, X", "Nonstop", FARE.format("1,234"), "2 hr 29\nmin"),
+             item("12:00 PM", "1:00 AM", " Solo ", "1 stop", FARE.format("80"), "3 hr"),
+             item("1:15 AM", "2:00 AM", " A, B", "Nonstop", "", "45 min"))),
+    (2, page("Premium economy", "Fri, Feb 30", item("1:00 PM", "2:00 PM", "Q", "Nonstop", FARE.format("7"), "soon"))),
+    (3, page("Economy", "Thu, Dec 4")),
+    (4, page("Economy", "Thu, Dec 4", item("1:00 PM", "2:00 PM", "Q", "Nonstop", FARE.format("7") + FARE.format("8"), "1 hr"))),
+]
+D = dt.date
+ROWS = [
+    (1, D(2025, 1, 1), "HAN", "SGN", 1, 0, 1, "1,234", "Delta", "2.48", "9:05 AM", "11:40 PM", 1),
+    (1, D(2025, 1, 1), "HAN", "SGN", 1, 0, 0, "80", "Solo", "3.00", "12:00 PM", "1:00 AM", 2),
+    (2, None, "HAN", "SGN", 0, 0, 1, "7", "Q", None, "1:00 PM", "2:00 PM", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    return spark.createDataFrame(PAGES, "page_id long, html string")
+
+
+def test_rows_of_the_pages(spark, pages):
+    got = [tuple(r) for r in scrape.scraped_flights(pages, divert=True).orderBy("page_id", "flightKey").collect()]
+    assert got == ROWS  # the fare-less third flight is dropped, its key stays taken
+
+
+def test_strict_durations(spark, pages):
+    got = scrape.scraped_flights(pages, divert=True, strict_duration=True).orderBy("page_id", "flightKey").collect()
+    assert [r.travelDuration for r in got] == ["2.48", "3.00", None]
+
+
+def test_surplus_fares_are_rejected_and_fail_a_job_that_does_not_divert(spark, pages):
+    assert [tuple(r) for r in scrape.page_rejects(pages).collect()] == [(4, 1, 2)]
+    with pytest.raises(Exception, match="differ in length"):
+        scrape.scraped_flights(pages).collect()
+
+
+def test_table_wide_key(spark, pages):
+    got = scrape.scraped_flights(pages, divert=True, table_key=True).orderBy("page_id", "flightKey").collect()
+    assert [(r.page_id, r.flightKey) for r in got] == [(1, 1), (1, 2), (2, 4)]
+
+
+def test_rules_for_other_markup(spark):
+    html = ('<html><div data-a="1" class="x cabin y"><b>Economy</b></div><input value="Wed, Jan 1" class="d date">'
+            '<span aria-label="Departure time: 9:05 AM." id="s"></span><span title="t" aria-label="Arrival time: 10:00 AM."></span>'
+            '<div class="big al"><i>Air</i> &amp; Co&#44; B</div><div class="st">Non<b>stop</b></div>'
+            '<span aria-label="about 90 US dollars" role="text">&#36;90</span>'
+            '<div class="du">1&nbsp;hr 30&#160;min</div><div class="from">A&lt;1</div><div class="to">B</div></html>')
+    rules = {"cabin": element_text("div", "cabin"), "date_label": attribute("input", "value", "date"),
+             "dep": attributes("span", "aria-label", aria_label="Departure time:"), "arr": attributes("span", "aria-label", aria_label="Arrival time:"),
+             "airline": elements_text("div", "al"), "stops": elements_text("div", "st"), "fare": elements_text("span", aria_label="US dollars"),
+             "duration": elements_text("div", "du"), "from_ap": elements_text("div", "from"), "to_ap": elements_text("div", "to")}
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [tuple(r) for r in scrape.scraped_flights(df, rules=rules).collect()]
+    assert got == [(1, D(2025, 1, 1), "A<1", "B", 1, 0, 1, "90", "Air & Co", "1.50", "9:05 AM", "10:00 AM", 1)]

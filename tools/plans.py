@@ -29,7 +29,7 @@ def final_plan(df) -> str:
     text = text.split("+- == Initial Plan ==")[0]
     text = re.sub(r"#\d+L?", "", text)                       # expression ids
     text = re.sub(r"file:[^\],]*/", "file:.../", text)       # local paths
-    return "\n".join(line[:220] for line in text.splitlines())
+    return "\n".join(line for line in text.splitlines())
 
 
 def main():
