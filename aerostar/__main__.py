@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> dict:
     f.add_argument("--no-publish", action="store_true", help="transform only, skip the day-partitioned publish")
     f.add_argument("--key", choices=["dense", "monotonic"], default="dense",
                    help="flight key: repeatable 1..n (dense) or gapped and free (monotonic)")
+    f.add_argument("--single-files", action="store_true", help="write each dimension as one named CSV file")
     e = sub.add_parser("explore", help="airline pairs, flight type, date and flight dimensions")
     e.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
     e.add_argument("--out", required=True, help="output folder")
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> dict:
     spark = get_spark(args.master, app=f"aerostar-{args.job}")
     if args.job == "flight":
         result = run_flight(spark, read_legs(spark, args.legs), args.out,
-                            publish_tables=not args.no_publish, key=args.key)
+                            publish_tables=not args.no_publish, key=args.key, single_files=args.single_files)
     elif args.job == "explore":
         result = run_explore(spark, read_legs(spark, args.legs), args.out)
     elif args.job == "hotel":

@@ -14,7 +14,7 @@ def test_cli_jobs_on_files(spark, scratch):
     write_csv(fixtures.legs(spark, SF_SMALL).repartition(2), legs_dir)
     glob = f"{legs_dir}/part-*.csv"
 
-    flight = main(["flight", "--legs", glob, "--out", f"{scratch}/flight"])
+    flight = main(["flight", "--legs", glob, "--out", f"{scratch}/flight", "--single-files"])
     assert os.path.isfile(flight["dim_date"]) and os.path.isdir(flight["pub_fact_flight"])
 
     explore = main(["explore", "--legs", glob, "--out", f"{scratch}/explore"])

@@ -55,6 +55,6 @@ def test_transform_only_run_writes_no_publish(spark, scratch):
     from aerostar.plans.etl_runs import run_flight
     paths = run_flight(spark, fixtures.legs(spark, SF_SMALL), scratch, publish_tables=False)
     assert not any(k.startswith("pub_") for k in paths)
-    assert os.path.isfile(paths["dim_airline"]) and os.path.isdir(paths["fact_flight"])
+    assert os.path.isdir(paths["dim_airline"]) and os.path.isdir(paths["fact_flight"])
     fact_rows = spark.read.option("header", True).csv(paths["fact_flight"]).count()
     assert fact_rows == spark.read.parquet(paths["clean"]).count()
