@@ -412,7 +412,8 @@ def fact_flight(spark, sf):
                               "LEFT JOIN dim_airline al ON c.segmentsAirlineName = al.airlineName"))
 def fact_join_airline(spark, sf):
     """Left lookup of the airline key; a null name gets a null key."""
-    c, airlines, _ = star(spark, sf)
+    c = clean(spark, sf)
+    airlines = flight.dim_airline(c)
     fact = c.select("flightKey", F.col("segmentsAirlineName").alias("airlineName"))
     return lookup_key(fact, airlines, "airlineName", "airlineName", "airlineKey")
 
@@ -423,7 +424,8 @@ def fact_join_airline(spark, sf):
                                "LEFT JOIN dim_airport da ON c.destinationAirport = da.airportCode"))
 def fact_join_airports(spark, sf):
     """Role-playing lookups (same dimension as start and destination)."""
-    c, _, airports = star(spark, sf)
+    c = clean(spark, sf)
+    airports = flight.dim_airport(c)
     fact = c.select("flightKey", "startingAirport", "destinationAirport")
     fact = lookup_key(fact, airports, "startingAirport", "airportCode", "airportKey", as_name="startingAirportKey")
     return lookup_key(fact, airports, "destinationAirport", "airportCode", "airportKey",
