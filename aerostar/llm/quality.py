@@ -1,10 +1,12 @@
 """Quality classifier from weak labels.
 
-Heuristic labellers vote good, bad or nothing on every document; human labels,
-where there are any, are one more labeller. Expectation-maximisation over the
-counts of vote patterns (at most 3 to the number of labellers, whatever the
-corpus) estimates each labeller's accuracy and so a posterior for every
-pattern. The posteriors of a sample train a linear scorer over hashed
+Heuristic labellers say of every document that its form is good, that it is junk,
+that it is toxic, or nothing; human labels, where there are any, are one more
+labeller. Expectation-maximisation over the counts of vote patterns (at most 4 to
+the number of labellers, whatever the corpus) estimates each labeller's accuracy
+and so a posterior over the classes good, junk and toxic for every pattern. (Junk
+and toxic documents look so unlike that labellers would not be independent
+within one class of both.) The posteriors of a sample train a linear scorer over hashed
 features, which alone judges the documents, all of them and whole.
 
 Bounds, as parameters: ``MINE_ROWS`` labelled documents to mine terms that
@@ -31,19 +33,22 @@ from pyspark.sql import functions as F
 from . import words as W
 from .staging import staged
 
-MINE_ROWS, MINED_TERMS, TRAIN_ROWS = 10_000, 4_096, 12_000
+MINE_ROWS, MINED_TERMS, TRAIN_ROWS = 10_000, 4_096, 8_000
 MINED_LEAST, MINED_SHARE, MINED_PURITY = 8, 0.03, 0.98  # documents, share of the toxic ones, share of toxic ones among a term's
 EPOCHS, RATE, SHRINK = 40, 0.3, 5e-4
-FEATURE_LEAST, FEATURE_SHARE = 4, 0.0025  # documents, share of the training sample
+FEATURE_LEAST, FEATURE_SHARE = 4, 0.004  # documents, share of the training sample
 BATCH, THRESHOLD = 256, 0.5
-GOOD, BAD = 1, 2  # votes; 0 abstains
+GOOD, JUNK, TOXIC = 1, 2, 3  # votes, and classes from 0; 0 abstains
+CLASSES = VOTES = 3
 
 #: Insults that an English reader marks as toxic.
 INSULTS = ("idiot", "stupid", "moron", "loser", "worthless", "pathetic", "disgusting", "trash", "scum", "clown")
 
 LABELLERS = ("shouting", "capitals", "table", "symbols", "few distinct words", "stuttering", "insults", "mined terms", "prose", "labels")
-#: What estimation starts from: each labeller's accuracy, the good documents' share.
-FIRST_ACCURACY, FIRST_GOOD = 0.9, 0.8
+#: What estimation starts from: each labeller's accuracy, the classes' shares.
+FIRST_ACCURACY, FIRST_SHARES = 0.9, (0.8, 0.1, 0.1)
+#: Human labels are a fixed point; all labellers are better than chance by a factor.
+LABEL_ACCURACY, BETTER = 0.98, 4
 
 _PREFIXES = (4, 5)
 _KIND = W.stream(11, 16)
@@ -103,19 +108,20 @@ def _insults() -> np.ndarray:
 def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray]) -> np.ndarray:
     """(documents, labellers but the last): the votes of the heuristics."""
     s, n = shares(w), np.diff(w.docs)
-    bad = lambda x: np.where(x, BAD, 0)
+    bad = lambda x, vote=JUNK: np.where(x, vote, 0)
     has = lambda keys, lists: np.any([_sum(np.isin(t, keys), w.docs) > 0 for t in lists], axis=0)
     junk = (s["shouting"] > .1) | (s["table"] > .1) | (s["symbols"] > .1) | (s["capitals"] > .4)
     prose = (n > 0) & ~junk & (s["distinct"] > .4) & (s["stutter"] < .1) & (s["length"] > 2) & (s["length"] < 14)
     return np.stack([
         bad(s["shouting"] > .15), bad(s["capitals"] > .4), bad(s["table"] > .15), bad(s["symbols"] > .15),
-        bad((s["distinct"] < .35) & (n >= 30)), bad(s["stutter"] > .3), bad(has(_insults(), named[:1])),
-        bad(has(mined, named)) if len(mined) else np.zeros(len(n), int), np.where(prose, GOOD, 0),
+        bad((s["distinct"] < .35) & (n >= 30)), bad(s["stutter"] > .3), bad(has(_insults(), named[:1]), TOXIC),
+        bad(has(mined, named), TOXIC) if len(mined) else np.zeros(len(n), int), np.where(prose, GOOD, 0),
     ], axis=1)
 
 
 def features(w: W.Words, named: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hashed feature) of every place and of every share's level."""
+    """(document, feature hashed to 32 bits) of every place and of every
+    share's level."""
     doc = np.repeat(np.arange(len(w.docs) - 1), np.diff(w.docs))
     docs, found = [doc] * len(named), list(named)
     s = shares(w)
@@ -124,47 +130,68 @@ def features(w: W.Words, named: list[np.ndarray]) -> tuple[np.ndarray, np.ndarra
             level = np.floor(s[name] * 10).astype(np.uint64)
             found.append(W.mix(seed + level))
         docs.append(np.arange(len(level)))
-    return np.concatenate(docs), np.concatenate(found)
+    return np.concatenate(docs), (np.concatenate(found) >> W.U(32)).astype(np.uint32)
 
 
 def code(vote: np.ndarray) -> np.ndarray:
-    """Votes as one number to the base of 3."""
-    return (vote * 3 ** np.arange(vote.shape[1])).sum(axis=1).astype(np.int64)
+    """Votes as one number to the base of 4."""
+    return (vote * 4 ** np.arange(vote.shape[1])).sum(axis=1).astype(np.int64)
 
 
 def decode(patterns: np.ndarray) -> np.ndarray:
-    return patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
+    return patterns[:, None] // 4 ** np.arange(len(LABELLERS)) % 4
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float, np.ndarray]:
-    """(accuracies, share of good documents, posterior of good by pattern).
+def _vindicates() -> np.ndarray:
+    """(classes, labellers, votes): is the vote right about the class? Prose
+    speaks of the form, which toxic documents have too."""
+    out = np.zeros((CLASSES, len(LABELLERS), VOTES + 1))
+    for c in range(CLASSES):
+        out[c, :, c + 1] = 1
+    out[TOXIC - 1, LABELLERS.index("prose"), GOOD] = 1
+    return out
 
-    Each labeller has a chance of every vote, abstaining included, in either
+
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(accuracies, shares of the classes, posterior of good by pattern).
+
+    Each labeller has a chance of every vote, abstaining included, in each
     class: a labeller that is seldom silent on good documents says something by
     its silence. The chances start from votes that are right with
-    FIRST_ACCURACY, and one pseudo count in a hundred documents keeps them from
-    swapping the classes. A labeller's accuracy is the share of right ones
-    among its votes."""
-    vote, total = decode(patterns), max(counts.sum(), 1)
-    says = np.stack([vote == v for v in (0, GOOD, BAD)], axis=2).astype(float)  # (patterns, labellers, votes)
-    prior, share = FIRST_GOOD, np.einsum("p,pjv->jv", counts, says) / total
-    right, wrong = FIRST_ACCURACY, 1 - FIRST_ACCURACY
-    first = np.stack([share * [1, right / prior, wrong / prior], share * [1, wrong / (1 - prior), right / (1 - prior)]]) + 1e-4
-    first /= first.sum(axis=2, keepdims=True)  # (class: good, bad; labellers; votes)
+    FIRST_ACCURACY, one pseudo count in a hundred documents holds them there a
+    little, and a vote is at most a BETTER-th as likely in a class about which
+    it is wrong, so the classes cannot be swapped. Those of the human labels stay at LABEL_ACCURACY. A
+    labeller's accuracy is the share of right ones among its votes."""
+    total = max(counts.sum(), 1)
+    says = np.stack([decode(patterns) == v for v in range(VOTES + 1)], axis=2).astype(float)  # (patterns, labellers, votes)
+    share, fits = np.einsum("p,pjv->jv", counts, says) / total, _vindicates()
+    right = np.full((1, len(LABELLERS), 1), FIRST_ACCURACY)
+    right[0, -1] = LABEL_ACCURACY
+    prior = np.array(FIRST_SHARES)
+    of = np.einsum("c,cjv->jv", prior, fits)  # share of the documents of which a vote is right
+    odds = np.where(fits > 0, right / np.maximum(of, 1e-9), (1 - right) / np.maximum(1 - of, 1e-9))
+    odds[:, :, 0] = 1
+    first = share * odds + 1e-4
+    first /= first.sum(axis=2, keepdims=True)
     chance, weight = first, total / 100
     for _ in range(rounds):
-        fit = np.einsum("pjv,cjv->pc", says, np.log(chance)) + np.log([prior, 1 - prior])
-        posterior = 1 / (1 + np.exp(np.clip(fit[:, 1] - fit[:, 0], -500, 500)))
-        held = np.stack([counts * posterior, counts * (1 - posterior)])
-        new = np.einsum("cp,pjv->cjv", held, says) + weight * first
+        log = np.einsum("pjv,cjv->pc", says, np.log(chance)) + np.log(prior)
+        posterior = np.exp(log - log.max(axis=1, keepdims=True))
+        posterior /= posterior.sum(axis=1, keepdims=True)
+        held = counts[:, None] * posterior
+        new = np.einsum("pc,pjv->cjv", held, says) + weight * first
         new /= new.sum(axis=2, keepdims=True)
-        prior = float(np.clip(counts @ posterior / total, 1e-3, 1 - 1e-3))
+        most = (new * fits).max(axis=0) / BETTER
+        new[:, :, 1:] = np.where(fits > 0, new, np.minimum(new, most))[:, :, 1:]
+        new[:, :, 0] = 1 - new[:, :, 1:].sum(axis=2)
+        new[:, -1] = first[:, -1]
+        prior = np.clip(held.sum(axis=0) / total, 1e-3, 1)
         moved, chance = np.abs(new - chance).max(), new
         if moved < 1e-9:
             break
-    agree = held[0] @ says[:, :, 1] + held[1] @ says[:, :, 2]
-    cast = counts @ (says[:, :, 1] + says[:, :, 2])
-    return (agree + FIRST_ACCURACY) / (cast + 1), prior, posterior
+    agree = np.einsum("pc,pjv,cjv->j", held, says, fits)
+    cast = np.einsum("p,pjv->j", counts, says[:, :, 1:])
+    return (agree + FIRST_ACCURACY) / (cast + 1), prior, posterior[:, GOOD - 1]
 
 
 def train(rows: np.ndarray, found: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -173,10 +200,16 @@ def train(rows: np.ndarray, found: np.ndarray, good: np.ndarray) -> tuple[np.nda
     FEATURE_LEAST and FEATURE_SHARE ask for are left out. rows, found:
     (document, feature), by document."""
     n = len(good)
-    keys, column, count = np.unique(found, return_inverse=True, return_counts=True)
-    keep = count >= max(FEATURE_LEAST, FEATURE_SHARE * n)
-    rows, column = rows[keep[column]], (np.cumsum(keep) - 1)[column[keep[column]]]
-    keys, width = keys[keep], int(keep.sum())
+    keys, count = np.unique(found, return_counts=True)
+    keys = keys[count >= max(FEATURE_LEAST, FEATURE_SHARE * n)]
+    width = len(keys)
+    parts = []  # piece by piece: the driver holds few arrays of this length
+    for a in range(0, len(found), 1 << 20):
+        piece = found[a:a + (1 << 20)]
+        at = np.minimum(np.searchsorted(keys, piece), max(width - 1, 0)).astype(np.int32)
+        kept = keys[at] == piece if width else np.zeros(len(piece), bool)
+        parts.append((rows[a:a + (1 << 20)][kept], at[kept]))
+    rows, column = (np.concatenate(x) for x in zip(*parts))
     cuts = np.searchsorted(rows, np.arange(n + 1))
     weight, past, bias, bias_past = np.zeros(width), np.full(width, 1e-8), 0.0, 1e-8
     order = np.random.default_rng(0)
@@ -184,7 +217,7 @@ def train(rows: np.ndarray, found: np.ndarray, good: np.ndarray) -> tuple[np.nda
         shuffled = order.permutation(n)
         lengths = (cuts[1:] - cuts[:-1])[shuffled]
         ends = np.cumsum(lengths)
-        at = column[np.arange(ends[-1] if n else 0) + np.repeat(cuts[shuffled] - (ends - lengths), lengths)]
+        at = np.concatenate([column[cuts[k]:cuts[k + 1]] for k in shuffled])
         for a in range(0, n, BATCH):
             b = min(n, a + BATCH)
             low, high = ends[a] - lengths[a], ends[b - 1]
@@ -265,16 +298,16 @@ def mine(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 def _prepared(labels: DataFrame) -> DataFrame:
     """One row per labelled id: its vote, and whether it is toxic only by its
     words (its form is good)."""
-    bad = (F.coalesce(F.min("quality"), F.lit(1)) == 0) | (F.coalesce(F.max("toxic"), F.lit(0)) == 1)
+    toxic, junk = F.coalesce(F.max("toxic"), F.lit(0)) == 1, F.coalesce(F.min("quality"), F.lit(1)) == 0
     return (labels.where("doc_id is not null").groupBy("doc_id")
-            .agg(F.when(bad, BAD).otherwise(GOOD).alias("vote"), F.coalesce(F.max("toxic"), F.lit(0)).alias("bad_words")))
+            .agg(F.when(toxic, TOXIC).when(junk, JUNK).otherwise(GOOD).alias("vote"), F.coalesce(F.max("toxic"), F.lit(0)).alias("bad_words")))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Scorer, np.ndarray]:
     """(scorer, accuracies of LABELLERS)."""
     known = staged(spark, _prepared(labels), "quality-labels")
     mined = mine(docs, known)
-    last = 3 ** (len(LABELLERS) - 1)
+    last = 4 ** (len(LABELLERS) - 1)
 
     def heuristics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,7 +321,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Scorer
                 doc, found = features(w, named)
                 lists = [np.unique(found[doc == k]) for k in range(j - i)] if j - i < 8 else _by_doc(doc, found, j - i)
                 yield pa.record_batch([batch["doc_id"].slice(i, j - i), pa.array(code(votes(w, mined, named))),
-                                       pa.array([W.signed(x) for x in lists], pa.list_(pa.int64()))], names=["doc_id", "pattern", "features"])
+                                       pa.array([x.tobytes() for x in lists], pa.binary())], names=["doc_id", "pattern", "features"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -297,18 +330,21 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Scorer
     counts = (voted(rows.mapInArrow(heuristics, f"doc_id {kind}, pattern long")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect())
     patterns, numbers = (np.array([r[k] for r in counts], dtype=np.int64) for k in (0, 1))
     if not len(patterns):
-        return Scorer(np.zeros(0, np.uint64), np.zeros(0), 0.0), np.full(len(LABELLERS), FIRST_ACCURACY)
+        return Scorer(np.zeros(0, np.uint32), np.zeros(0), 0.0), np.full(len(LABELLERS), FIRST_ACCURACY)
     accuracy, _, posterior = estimate(patterns, numbers)
 
     sample = _sampled(rows, TRAIN_ROWS, int(numbers.sum()))
-    got = voted(sample.mapInArrow(sampled, f"doc_id {kind}, pattern long, features array<long>")).select("doc_id", "pattern", "features")
-    got = got.toArrow()
+    got = voted(sample.mapInArrow(sampled, f"doc_id {kind}, pattern long, features binary")).select("doc_id", "pattern", "features")
+    got = staged(spark, got.repartition(16, "features"), "quality-sample")  # the driver takes one part at a time
     of = dict(zip(patterns.tolist(), posterior.tolist()))
-    lists = got["features"].combine_chunks()
-    sizes = np.diff(np.asarray(lists.offsets))
-    found = np.asarray(lists.flatten(), dtype=np.int64).view(np.uint64)
-    good = np.array([of[p] for p in got["pattern"].to_pylist()])
-    return Scorer(*train(np.repeat(np.arange(len(sizes)), sizes), found, good)), accuracy
+    got = sorted((r.pattern, r.features) for r in got.select("pattern", "features").toLocalIterator())
+    lists = [np.frombuffer(f, np.uint32) for _, f in got]
+    sizes, good = np.array([len(x) for x in lists]), np.array([of[p] for p, _ in got])
+    if not lists:
+        return Scorer(np.zeros(0, np.uint32), np.zeros(0), 0.0), accuracy
+    found = np.concatenate(lists)
+    del got, lists
+    return Scorer(*train(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), found, good)), accuracy
 
 
 def _by_doc(doc: np.ndarray, found: np.ndarray, n: int) -> list[np.ndarray]:
