@@ -4,8 +4,11 @@ Each source gets a target number of words. Over training time t in [0, 1] its
 weight is ``target * (1 + tilt * (2 t - 1))``; the integral up to t is its
 cumulative demand, ``target * ((1 - tilt) t + tilt t^2)``. A document that
 starts after c words of its source's stream is due when that demand reaches c,
-so its position is the inverse of the integral. The mix is the documents
-range-sorted by position. DataFrame functions only.
+so its position is the inverse of the integral. A source whose target exceeds
+its size is read again: pass p of a document starts after ``p * source_size``
+more words and has a position of its own, so all of the demand is inverted. The
+mix is one row per document and pass, range-sorted by position (``schedule``).
+DataFrame functions only.
 
 Sizes are words ``[^\\x20\\x09-\\x0D]+``; weights (3, 1, 2, repeating) go to
 the sources by code point, null last. The targets share ``budget`` times all
@@ -36,7 +39,7 @@ from .words import WORD_PATTERN
 WEIGHTS = (3, 1, 2)
 TILTS = (0.5, 0.0, -0.5)  # late, even, early; repeating like the weights
 BUDGET, CAP = 1.5, 2
-OUTPUT = ("size", "source_size", "target", "taken", "position")
+OUTPUT = ("size", "source_size", "target", "taken", "position", "passes", "pass")
 
 
 def size_of(text) -> F.Column:
@@ -74,8 +77,10 @@ def targets(totals: DataFrame, weights=WEIGHTS, tilts=TILTS, budget=BUDGET, cap=
 
 def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, tilts=TILTS, budget=BUDGET, cap=CAP) -> DataFrame:
     """All rows of docs with size, source_size, target, taken (words, repeats
-    counted) and position (of the first pass, null where nothing is taken),
-    in no order; ``curriculum`` sorts them. Taken never exceeds cap * size."""
+    counted), position (of the first pass, null where nothing is taken) and
+    passes (pass, position and taken words of each pass that takes some; at
+    most cap of them, rounded up), in no order; ``schedule`` sorts them. Taken
+    never exceeds cap * size."""
     rows = docs.drop(*OUTPUT).withColumn("size", size_of(F.col("text")))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     buckets = (rows.select("source", "size", F.substring(key, 1, 3).alias("__bucket"))
@@ -99,15 +104,32 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, tilts=TILTS, budg
     rest = whole - passes * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
     taken = (passes * F.col("size") + part).cast("long")
-    due = F.when(F.col("target") > 0, F.least(F.lit(1.0), start / F.col("target"))).otherwise(0.0)
     slope = 1 - F.col("tilt")
-    position = F.when(F.col("tilt") == 0, due).otherwise(
-        (F.sqrt(slope * slope + 4 * F.col("tilt") * due) - slope) / (2 * F.col("tilt")))
+
+    def position(n):
+        due = F.when(F.col("target") > 0, F.least(F.lit(1.0), (start + n * F.col("source_size")) / F.col("target"))).otherwise(0.0)
+        return F.round(F.when(F.col("tilt") == 0, due).otherwise(
+            (F.sqrt(slope * slope + 4 * F.col("tilt") * due) - slope) / (2 * F.col("tilt"))), 9)
+
+    def one_pass(n):
+        return F.struct(n.cast("int").alias("pass"), position(n).alias("position"), F.when(n < passes, F.col("size")).otherwise(part).alias("taken"))
+
+    every = F.filter(F.transform(F.sequence(F.lit(0).cast("long"), passes), one_pass), lambda x: x.taken > 0)
     return (placed.withColumn("taken", taken)
-            .withColumn("position", F.when(F.col("taken") > 0, F.round(position, 9)))
+            .withColumn("position", F.when(F.col("taken") > 0, position(F.lit(0))))
+            .withColumn("passes", every)
             .drop("__key", "__bucket", "__before", "__s", "__b", "__start", "tilt"))
 
 
 def curriculum(mixed: DataFrame) -> DataFrame:
-    """The documents of which the mix takes something, range-sorted by position."""
+    """The documents of which the mix takes something, once each, range-sorted
+    by the position of their first pass; ``schedule`` has all passes."""
     return mixed.where(F.col("taken") > 0).orderBy("position", "doc_id")
+
+
+def schedule(mixed: DataFrame) -> DataFrame:
+    """The mix: one row per document and pass that takes words, with the pass,
+    its position and the words it takes, range-sorted by position."""
+    return (mixed.withColumn("__pass", F.explode("passes"))
+            .withColumns({c: F.col(f"__pass.{c}") for c in ("pass", "position", "taken")})
+            .drop("__pass", "passes").orderBy("position", "doc_id", "pass"))

@@ -90,6 +90,22 @@ SELECT doc_id, size, source_size, target, taken,
             ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * due) - (1 - tilt)) / (2 * tilt) END, 9) END AS position
 FROM mixed"""
 
+
+def op6_mixing_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixing.schedule(mixed.drop("text", "source")).select("doc_id", "pass", "size", "source_size", "target", "taken", "position")
+
+
+#: The same sums as OP6_SQL, then a row per pass.
+OP6_SCHEDULE_SQL = OP6_SQL[:OP6_SQL.index("mixed AS")] + r"""
+every AS (SELECT *, unnest(range(0, CAST(passes AS BIGINT) + 1)) AS n FROM counted),
+mixed AS (SELECT *, CAST(CASE WHEN n < passes THEN size ELSE greatest(0, least(size, whole - passes * source_size - start)) END AS BIGINT) AS taken,
+                 CASE WHEN target > 0 THEN least(1.0, CAST(start + n * source_size AS DOUBLE) / target) ELSE 0 END AS due FROM every)
+SELECT doc_id, CAST(n AS INTEGER) AS pass, size, source_size, target, taken,
+       round(CASE WHEN tilt = 0 THEN due ELSE (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * due) - (1 - tilt)) / (2 * tilt) END, 9) + CAST(0 AS DOUBLE) AS position
+FROM mixed WHERE taken > 0"""
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(spark, table(spark, sf_dir, "documents"))
 
@@ -162,6 +178,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mixing": op6_mixing,
+    "op6_mixing_schedule": op6_mixing_schedule,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_token_counts": op8_token_counts,
     "op9_minhash_dedup": op9_minhash_dedup,
@@ -172,5 +189,6 @@ SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op4_url_filter": OP4_SQL,
     "op6_mixing": OP6_SQL,
+    "op6_mixing_schedule": OP6_SCHEDULE_SQL,
     "op10_chat_formatting": OP10_SQL,
 }

@@ -1,8 +1,8 @@
 """From raw documents to a training mix, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns the rows that go on, with
-the columns of documents; the last returns the documents of the mix in training
-order, with their size, the words taken and the position. ``run`` writes each
+the columns of documents; the last returns the mix in training order, one row
+per document and pass, with size, pass, words taken and position. ``run`` writes each
 stage's result to the shared folder and reads it again for the next one.
 """
 
@@ -39,8 +39,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of which the mix takes words, in training order."""
-    return mixing.curriculum(mixing.mix(spark, docs))
+    """Every pass of a document of which the mix takes words, in training order."""
+    return mixing.schedule(mixing.mix(spark, docs))
 
 
 STAGES = [

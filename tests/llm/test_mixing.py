@@ -67,6 +67,30 @@ def test_weight_moves_over_time(spark):
         assert sum(half[s]) / len(half[s]) == pytest.approx(min(1, integral * max(1, passes[s])), abs=0.02)
 
 
+def test_every_pass_has_its_own_position(spark):
+    """Source a is capped at twice its size: both passes are placed, and every
+    source has the integral of its weight in each quarter of the training."""
+    docs = [(k, "one", "abc"[k % 3], 1) for k in range(3000)]
+    mixed = X.mix(spark, spark.createDataFrame(docs, "doc_id long, text string, source string, pass int"))
+    rows = X.schedule(mixed).collect()
+    assert [r.position for r in rows] == sorted(r.position for r in rows)
+    for s, tilt in zip("abc", X.TILTS):
+        own = [r for r in rows if r.source == s]
+        assert sum(r.taken for r in own) == pytest.approx(own[0].target, abs=1)
+        for t in (0.25, 0.5, 0.75):
+            assert sum(r.position < t for r in own) / len(own) == pytest.approx((1 - tilt) * t + tilt * t * t, abs=0.02)
+    a = [r for r in rows if r.source == "a"]
+    assert len(a) == 2000 and len({(r.doc_id, r["pass"]) for r in a}) == 2000 and max(r.position for r in a) > 0.99
+    assert max(r.position for r in a if r["pass"] == 0) < min(r.position for r in a if r["pass"] == 1)
+
+
+def test_passes_add_up_to_what_is_taken(spark, messy):
+    for r in X.mix(spark, messy).collect():
+        assert sum(p.taken for p in r.passes) == r.taken and len(r.passes) <= X.CAP
+        assert all(0 < p.taken <= r.size for p in r.passes)
+        assert r.position == (r.passes[0].position if r.passes else None)
+
+
 def test_empty_and_wordless_tables(spark, empty):
     assert X.mix(spark, empty).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
