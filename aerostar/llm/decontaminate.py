@@ -1,11 +1,12 @@
 """Benchmark decontamination with SimHash of item-sized windows.
 
-For an item of n words every window of n words in a document is compared with
-it: by 5-word shingles (lower-cased A-Z), weighted by how often each occurs. A
+For an item of n words every window of n words in a document, or the whole of a
+document that is shorter, is compared with it: by 5-word shingles (lower-cased A-Z), weighted by how often each occurs. A
 window matches at a weighted Jaccard similarity of 0.75 or more.
 
 1. A match needs at least 6/7 of the window's shingles among those of the
-   benchmark, which running counts decide for all windows of a document.
+   benchmark (3/7 of the window's and the item's together, where the window is
+   a shorter document), which running counts decide for all windows.
 2. Windows that pass get a 64-bit SimHash. Fingerprints within ``RADIUS`` bits
    agree in at least one of ``RADIUS + 1`` blocks, so the block index returns
    every item of that length within the radius. (At similarity 0.75 the
@@ -123,14 +124,15 @@ class Index:
         for n, (ids, items, prints, blocks) in self.lengths.items():
             q = min(SHINGLE, n)
             m = n - q + 1
-            need = math.ceil(2 * NUMERATOR * m / (NUMERATOR + DENOMINATOR))
             g = grams[q]
-            if len(g) < m or hits[q].sum() < need:
+            size = min(m, len(g))  # a shorter document is one window
+            need = math.ceil(NUMERATOR * (size + m) / (NUMERATOR + DENOMINATOR))
+            if size < need or hits[q].sum() < need:
                 continue
             count = np.concatenate([[0], np.cumsum(hits[q])])
-            starts = np.flatnonzero(count[m:] - count[:-m] >= need)
+            starts = np.flatnonzero(count[size:] - count[:-size] >= need)
             for a in range(0, len(starts), 4096):
-                self._near(starts[a:a + 4096], g, m, ids, items, prints, blocks, found)
+                self._near(starts[a:a + 4096], g, size, ids, items, prints, blocks, found)
         return [{"item_id": k, "start": v[0], "similarity": v[1]} for k, v in found.items()]
 
     def _near(self, starts, g, m, ids, items, prints, blocks, found) -> None:

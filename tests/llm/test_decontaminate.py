@@ -71,6 +71,36 @@ def test_clean_keeps_the_rest_with_its_columns(spark, parts, messy):
     assert D.clean(spark, messy, bench.limit(0)).count() == messy.count()
 
 
+def shorter(text, item):
+    """Is a text of fewer words than the item similar as a whole?"""
+    w, n = lowered(text), lowered(item)
+    q = min(5, len(n))
+    if not q <= len(w) < len(n):
+        return False
+    own, other = (Counter(tuple(x[k:k + q]) for k in range(len(x) - q + 1)) for x in (w, n))
+    return 4 * sum((own & other).values()) >= 3 * sum((own | other).values())
+
+
+def test_documents_shorter_than_the_item(spark, make):
+    """Items without their first or last words, against brute force."""
+    rng = random.Random(12)
+    items = [(k, prose(rng, n)) for k, n in enumerate((4, 6, 7, 8, 9, 12, 16, 20, 33, 60))] + [(10, "again and " * 9)]
+    texts = ["", None]
+    for _, text in items:
+        w = text.split()
+        for cut in range(1, len(w) // 3 + 2):
+            texts += [" ".join(w[:-cut]).upper(), " ".join(w[cut:])]
+        changed = w[:-1]
+        changed[len(w) // 2] = "zzz"
+        texts.append(" ".join(changed))
+    docs, bench = make(texts), spark.createDataFrame(items, "item_id int, text string")
+    rows = docs.collect()
+    want = Counter((r.doc_id, tuple(i for i, t in items if shorter(r.text, t))) for r in rows)
+    assert sum(bool(found) for _, found in want) > 60
+    assert got(D.report(spark, docs, bench)) == want
+    assert {r.doc_id for r in D.clean(spark, docs, bench).collect()} == {i for i, found in want if not found}
+
+
 def test_empty_tables(spark, empty, parts):
     docs, bench, _ = parts
     assert D.report(spark, empty, bench).count() == 0
