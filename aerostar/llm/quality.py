@@ -11,8 +11,13 @@ features, which alone judges the documents, all of them and whole.
 
 Bounds, as parameters: ``MINE_ROWS`` labelled documents to mine terms that
 mark toxic ones, ``MINED_TERMS`` of them at most, ``TRAIN_ROWS`` documents to
-train on. Samples are taken by hash of the id, so reruns agree. Votes, pattern
-counts and scores cover every document.
+train on. Both samples are shared out evenly among the classes of each language
+(column ``lang``, where there is one; languages fall into ``LANGS`` groups), so
+rare ones are held whole, and what a stratum is short of its share in the corpus
+is made up for: by weight in a mined term's purity, by an offset to the margin in
+training. Terms are mined, and vote, within a language. A feature needs
+``FEATURE_LEAST`` documents, whatever the size of the sample. Samples are taken
+by hash, so reruns agree. Votes, pattern counts and scores cover every document.
 
 Cases: null or empty text scores as a document without features (the bias and
 the share of such texts decide); null ids take part; without any labels no
@@ -27,16 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 from .staging import staged
 
 MINE_ROWS, MINED_TERMS, TRAIN_ROWS = 10_000, 4_096, 8_000
-MINED_LEAST, MINED_SHARE, MINED_PURITY = 8, 0.03, 0.98  # documents, share of the toxic ones, share of toxic ones among a term's
+MINED_LEAST, MINED_PURITY = 8, 0.98  # documents, share of toxic ones among a term's
+MINED_CHANCE = 1e-6  # that a term's documents are all toxic ones by the draw alone
+LANGS = 64
 EPOCHS, RATE, SHRINK = 40, 0.3, 5e-4
-FEATURE_LEAST, FEATURE_SHARE = 4, 0.004  # documents, share of the training sample
+FEATURE_LEAST = 4  # documents of the training sample
 BATCH, THRESHOLD = 256, 0.5
 GOOD, JUNK, TOXIC = 1, 2, 3  # votes, and classes from 0; 0 abstains
 CLASSES = VOTES = 3
@@ -52,6 +59,7 @@ LABEL_ACCURACY, BETTER = 0.98, 4
 
 _PREFIXES = (4, 5)
 _KIND = W.stream(11, 16)
+_TONGUE = W.stream(12, LANGS)
 _UPPER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 _UPPER[65:91] = True
 _MARK[[ord(c) for c in "%$#&*@^~=<>"]] = True
@@ -105,7 +113,12 @@ def _insults() -> np.ndarray:
     return terms(W.split(np.frombuffer(" ".join(INSULTS).encode(), np.uint8), np.array([0, len(" ".join(INSULTS))])))[0]
 
 
-def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray]) -> np.ndarray:
+def spoken(terms: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Terms as terms of a language."""
+    return W.mix(terms ^ _TONGUE[lang])
+
+
+def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray], lang: np.ndarray) -> np.ndarray:
     """(documents, labellers but the last): the votes of the heuristics."""
     s, n = shares(w), np.diff(w.docs)
     bad = lambda x, vote=JUNK: np.where(x, vote, 0)
@@ -115,7 +128,7 @@ def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray]) -> np.ndarray:
     return np.stack([
         bad(s["shouting"] > .15), bad(s["capitals"] > .4), bad(s["table"] > .15), bad(s["symbols"] > .15),
         bad((s["distinct"] < .35) & (n >= 30)), bad(s["stutter"] > .3), bad(has(_insults(), named[:1]), TOXIC),
-        bad(has(mined, named), TOXIC) if len(mined) else np.zeros(len(n), int), np.where(prose, GOOD, 0),
+        bad(has(mined, [spoken(t, np.repeat(lang, n)) for t in named]), TOXIC) if len(mined) else np.zeros(len(n), int), np.where(prose, GOOD, 0),
     ], axis=1)
 
 
@@ -153,7 +166,13 @@ def _vindicates() -> np.ndarray:
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(accuracies, shares of the classes, posterior of good by pattern).
+    """(accuracies, shares of the classes, posterior of good by pattern)."""
+    accuracy, share, posterior = classes(patterns, counts, rounds)
+    return accuracy, share, posterior[:, GOOD - 1]
+
+
+def classes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(accuracies, shares of the classes, posterior of each class by pattern).
 
     Each labeller has a chance of every vote, abstaining included, in each
     class: a labeller that is seldom silent on good documents says something by
@@ -191,26 +210,14 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tup
             break
     agree = np.einsum("pc,pjv,cjv->j", held, says, fits)
     cast = np.einsum("p,pjv->j", counts, says[:, :, 1:])
-    return (agree + FIRST_ACCURACY) / (cast + 1), prior, posterior[:, GOOD - 1]
+    return (agree + FIRST_ACCURACY) / (cast + 1), prior, posterior
 
 
-def train(rows: np.ndarray, found: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """(feature hashes in order, weights, bias) of a logistic scorer with
-    adaptive steps and shrinkage to zero; features of fewer documents than
-    FEATURE_LEAST and FEATURE_SHARE ask for are left out. rows, found:
-    (document, feature), by document."""
+def train(cuts: np.ndarray, column: np.ndarray, width: int, good: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, bias) of a logistic scorer with adaptive steps and shrinkage
+    to zero. Document i has the features ``column[cuts[i]:cuts[i + 1]]`` of
+    width; its offset is part of the margin here and not of the scorer."""
     n = len(good)
-    keys, count = np.unique(found, return_counts=True)
-    keys = keys[count >= max(FEATURE_LEAST, FEATURE_SHARE * n)]
-    width = len(keys)
-    parts = []  # piece by piece: the driver holds few arrays of this length
-    for a in range(0, len(found), 1 << 20):
-        piece = found[a:a + (1 << 20)]
-        at = np.minimum(np.searchsorted(keys, piece), max(width - 1, 0)).astype(np.int32)
-        kept = keys[at] == piece if width else np.zeros(len(piece), bool)
-        parts.append((rows[a:a + (1 << 20)][kept], at[kept]))
-    rows, column = (np.concatenate(x) for x in zip(*parts))
-    cuts = np.searchsorted(rows, np.arange(n + 1))
     weight, past, bias, bias_past = np.zeros(width), np.full(width, 1e-8), 0.0, 1e-8
     order = np.random.default_rng(0)
     for _ in range(EPOCHS):
@@ -222,7 +229,7 @@ def train(rows: np.ndarray, found: np.ndarray, good: np.ndarray) -> tuple[np.nda
             b = min(n, a + BATCH)
             low, high = ends[a] - lengths[a], ends[b - 1]
             used, own = at[low:high], np.repeat(np.arange(b - a), lengths[a:b])
-            margin = bias + np.bincount(own, weight[used], minlength=b - a)
+            margin = bias + offset[shuffled[a:b]] + np.bincount(own, weight[used], minlength=b - a)
             miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - good[shuffled[a:b]]
             slope = np.bincount(used, miss[own], minlength=width) / (b - a)
             past += slope * slope
@@ -231,8 +238,7 @@ def train(rows: np.ndarray, found: np.ndarray, good: np.ndarray) -> tuple[np.nda
             weight = np.sign(weight) * np.maximum(np.abs(weight) - step * SHRINK, 0)
             bias_past += miss.mean() ** 2
             bias -= RATE * miss.mean() / np.sqrt(bias_past)
-    used = weight != 0
-    return keys[used], weight[used], float(bias)
+    return weight, float(bias)
 
 
 class Scorer:
@@ -252,46 +258,80 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
-def _sampled(rows: DataFrame, most: int, n: int) -> DataFrame:
-    """About ``most`` of n rows by a hash of the id (all, if there are fewer)."""
-    if n <= most:
-        return rows
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * most / n))
+def _lang(docs: DataFrame) -> F.Column:
+    """Group of the language, 0 to LANGS - 1."""
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    return F.pmod(F.xxhash64(lang), F.lit(LANGS)).cast("int")
+
+
+def rates(sizes: np.ndarray, most: int) -> np.ndarray:
+    """Share to draw of each stratum: about ``most`` rows in all, at one level
+    that small strata do not reach."""
+    left, level = most, np.inf
+    for k, size in enumerate(sorted(sizes.tolist())):
+        level = left / (len(sizes) - k)
+        if size > level:
+            break
+        left, level = left - size, np.inf
+    return np.minimum(1.0, level / np.maximum(sizes, 1))
+
+
+def _drawn(rows: DataFrame, by: list[str], share: dict, *key: str) -> DataFrame:
+    """The rows that a hash of the key draws at the share of their stratum;
+    share: (values of by) -> share, a bounded number of them."""
+    table = rows.sparkSession.createDataFrame([(*map(int, k), int(v * (1 << 30))) for k, v in share.items()], ", ".join(f"{c} long" for c in by) + ", __most long")
+    return rows.join(F.broadcast(table), by).where(F.pmod(F.xxhash64(*key, F.lit(17)), F.lit(1 << 30)) < F.col("__most")).drop("__most")
 
 
 def mine(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Terms that mark toxic documents, from a sample of labelled ones."""
-    n = labels.count()
-    known = _sampled(labels.select("doc_id", "bad_words"), MINE_ROWS, n)
+    """Terms that mark toxic documents of a language, from a sample of labelled
+    ones."""
+    tongues = docs.select("doc_id", _lang(docs).alias("lang")).join(labels.select("doc_id", "bad_words"), "doc_id").distinct()
+    tongues = staged(docs.sparkSession, tongues, "quality-langs")
+    strata = tongues.groupBy("bad_words", "lang").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 LANGS rows
+    if not strata:
+        return np.zeros(0, np.uint64)
+    share = dict(zip([(r.bad_words, r.lang) for r in strata], rates(np.array([r.n for r in strata]), MINE_ROWS).tolist()))
+    known = _drawn(tongues, ["bad_words", "lang"], share, "doc_id")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, w in W.batches(batch["text"], lower=True):
                 parts = [w.hash[a:b] for a, b in zip(w.docs, w.docs[1:])]
                 least = [int(W.grams(h, min(5, len(h))).min()) if len(h) else 0 for h in parts]
-                yield pa.record_batch([batch["text"].slice(i, j - i), batch["bad_words"].slice(i, j - i),
-                                       pa.array(W.signed(np.array(least, dtype=np.uint64)))], names=["text", "bad_words", "phrase"])
+                yield pa.record_batch([batch["text"].slice(i, j - i), batch["bad_words"].slice(i, j - i), batch["lang"].slice(i, j - i),
+                                       pa.array(W.signed(np.array(least, dtype=np.uint64)))], names=["text", "bad_words", "lang", "phrase"])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = batch["bad_words"].to_numpy(zero_copy_only=False)
+            toxic, lang = (batch[c].to_numpy(zero_copy_only=False) for c in ("bad_words", "lang"))
             for i, j, w in W.batches(batch["text"]):
                 doc = np.repeat(np.arange(j - i), np.diff(w.docs))
                 for t in terms(w):
-                    pair = np.unique(np.stack([doc.astype(np.uint64), t], axis=1), axis=0)
-                    term, inverse = np.unique(pair[:, 1], return_inverse=True)
-                    flag = toxic[i:j][pair[:, 0].astype(np.int64)]
-                    yield pa.record_batch([pa.array(W.signed(term)), pa.array(np.bincount(inverse, flag).astype(np.int64)),
-                                           pa.array(np.bincount(inverse).astype(np.int64))], names=["term", "toxic", "n"])
-
-    sample = docs.select("doc_id", "text").join(known, "doc_id").select("text", F.col("bad_words").cast("int").alias("bad_words"))
+                    pair = np.unique(np.stack([doc.astype(np.uint64), spoken(t, lang[i:j][doc])], axis=1), axis=0)
+                    term, first, inverse = np.unique(pair[:, 1], return_index=True, return_inverse=True)
+                    of = pair[:, 0].astype(np.int64)
+                    yield pa.record_batch([pa.array(W.signed(term)), pa.array(lang[i:j][of[first]].astype(np.int32)),
+                                           pa.array(np.bincount(inverse, toxic[i:j][of]).astype(np.int64)),
+                                           pa.array(np.bincount(inverse).astype(np.int64))], names=["term", "lang", "toxic", "n"])
+
+    sample = (docs.select("doc_id", "text", _lang(docs).alias("lang")).join(F.broadcast(known), ["doc_id", "lang"])  # MINE_ROWS ids
+              .select("text", F.col("bad_words").cast("int").alias("bad_words"), "lang"))
     # copies would make any of their words look typical: of texts that share
     # their least 5-word phrase, one counts
-    sample = sample.mapInArrow(keyed, "text string, bad_words int, phrase long").dropDuplicates(["phrase"])
+    sample = sample.mapInArrow(keyed, "text string, bad_words int, lang int, phrase long").dropDuplicates(["phrase"])
     sample = staged(docs.sparkSession, sample.drop("phrase"), "quality-mine")
-    least = max(MINED_LEAST, MINED_SHARE * sample.where("bad_words = 1").count())
-    counts = sample.mapInArrow(spread, "term long, toxic long, n long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    best = counts.where(F.col("toxic") >= F.greatest(F.lit(float(least)), MINED_PURITY * F.col("n"))).orderBy(F.col("toxic").desc(), "term").limit(MINED_TERMS)
+    held = sample.groupBy("lang").agg(F.sum("bad_words").alias("toxic"), F.count(F.lit(1)).alias("n")).where("toxic > 0").collect()
+    if not held:
+        return np.zeros(0, np.uint64)
+    needs = [(r.lang, float(max(MINED_LEAST, np.log(MINED_CHANCE) / np.log(min(r.toxic / r.n, 1 - 1e-9)))),
+              share.get((1, r.lang), 1.0) / share.get((0, r.lang), 1.0)) for r in held]  # a clean document stands for this many toxic ones
+    needs = F.broadcast(docs.sparkSession.createDataFrame(needs, "lang int, least double, clean double"))
+    counts = sample.mapInArrow(spread, "term long, lang int, toxic long, n long").groupBy("term", "lang").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    pure = (counts.where(F.col("toxic") >= MINED_LEAST).join(needs, "lang")
+            .where((F.col("toxic") >= F.col("least")) & (F.col("toxic") >= MINED_PURITY * (F.col("toxic") + (F.col("n") - F.col("toxic")) * F.col("clean")))))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("toxic").desc(), "term"))
+    best = pure.withColumn("rank", rank).where(F.col("rank") <= MINED_TERMS).orderBy("rank", "term").limit(MINED_TERMS)
     return np.sort(np.array([r.term for r in best.select("term").collect()], dtype=np.int64).view(np.uint64))
 
 
@@ -311,40 +351,69 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Scorer
 
     def heuristics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lang = batch["lang"].to_numpy(zero_copy_only=False)
             for i, j, w in W.batches(batch["text"]):
-                yield pa.record_batch([batch["doc_id"].slice(i, j - i), pa.array(code(votes(w, mined, terms(w))))], names=["doc_id", "pattern"])
+                yield pa.record_batch([batch["doc_id"].slice(i, j - i), batch["key"].slice(i, j - i), batch["lang"].slice(i, j - i),
+                                       pa.array(code(votes(w, mined, terms(w), lang[i:j])))], names=["doc_id", "key", "lang", "pattern"])
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, w in W.batches(batch["text"]):
-                named = terms(w)
-                doc, found = features(w, named)
+                doc, found = features(w, terms(w))
                 lists = [np.unique(found[doc == k]) for k in range(j - i)] if j - i < 8 else _by_doc(doc, found, j - i)
-                yield pa.record_batch([batch["doc_id"].slice(i, j - i), pa.array(code(votes(w, mined, named))),
-                                       pa.array([x.tobytes() for x in lists], pa.binary())], names=["doc_id", "pattern", "features"])
+                yield pa.record_batch([batch["key"].slice(i, j - i), batch["lang"].slice(i, j - i), batch["pattern"].slice(i, j - i),
+                                       pa.array([x.tobytes() for x in lists], pa.binary())], names=["key", "lang", "pattern", "features"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, n = np.unique(np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in batch["features"]] or [np.zeros(0, np.uint32)]), return_counts=True)
+            yield pa.record_batch([pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))], names=["feature", "n"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    voted = lambda df: (df.join(known.select("doc_id", "vote"), "doc_id", "left")
-                        .withColumn("pattern", F.col("pattern") + last * F.coalesce("vote", F.lit(0))))
-    counts = (voted(rows.mapInArrow(heuristics, f"doc_id {kind}, pattern long")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect())
-    patterns, numbers = (np.array([r[k] for r in counts], dtype=np.int64) for k in (0, 1))
-    if not len(patterns):
+    rows = docs.select("doc_id", _lang(docs).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    voted = (rows.mapInArrow(heuristics, f"doc_id {kind}, key long, lang int, pattern long").join(known.select("doc_id", "vote"), "doc_id", "left")
+             .select("key", "lang", (F.col("pattern") + last * F.coalesce("vote", F.lit(0))).alias("pattern")))
+    voted = staged(spark, voted, "quality-votes")
+    counts = voted.groupBy("pattern", "lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
         return Scorer(np.zeros(0, np.uint32), np.zeros(0), 0.0), np.full(len(LABELLERS), FIRST_ACCURACY)
-    accuracy, _, posterior = estimate(patterns, numbers)
-
-    sample = _sampled(rows, TRAIN_ROWS, int(numbers.sum()))
-    got = voted(sample.mapInArrow(sampled, f"doc_id {kind}, pattern long, features binary")).select("doc_id", "pattern", "features")
-    got = staged(spark, got.repartition(16, "features"), "quality-sample")  # the driver takes one part at a time
-    of = dict(zip(patterns.tolist(), posterior.tolist()))
-    got = sorted((r.pattern, r.features) for r in got.select("pattern", "features").toLocalIterator())
-    lists = [np.frombuffer(f, np.uint32) for _, f in got]
-    sizes, good = np.array([len(x) for x in lists]), np.array([of[p] for p, _ in got])
-    if not lists:
+    every, lang, n = (np.array([r[k] for r in counts], dtype=np.int64) for k in range(3))
+    patterns, at = np.unique(every, return_inverse=True)
+    accuracy, _, posterior = classes(patterns, np.bincount(at, n))
+    stratum = lang * CLASSES + posterior.argmax(axis=1)[at]
+    strata, own = np.unique(stratum, return_inverse=True)
+    sizes = np.bincount(own, n)
+    share = rates(sizes, TRAIN_ROWS)
+    offsets = np.zeros(LANGS)  # log of how much oftener good documents are drawn
+    for k in range(LANGS):
+        fine, bad = (strata // CLASSES == k) & (strata % CLASSES == GOOD - 1), (strata // CLASSES == k) & (strata % CLASSES != GOOD - 1)
+        if fine.any() and bad.any():
+            offsets[k] = np.log(share[fine][0]) - np.log((share[bad] * sizes[bad]).sum() / sizes[bad].sum())
+
+    keys = _drawn(voted, ["pattern", "lang"], dict(zip(zip(every.tolist(), lang.tolist()), share[own].tolist())), "key").select("key", "pattern").dropDuplicates(["key"])
+    sample = rows.drop("doc_id").join(F.broadcast(keys), "key")  # TRAIN_ROWS keys; equal rows once
+    got = sample.mapInArrow(sampled, "key long, lang int, pattern long, features binary").dropDuplicates(["key"])
+    got = staged(spark, got.repartition(16, "key"), "quality-sample")  # the driver takes one part at a time
+    top = (got.select("features").mapInArrow(spread, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+           .where(F.col("n") >= FEATURE_LEAST).select("feature").toArrow())
+    names = np.sort(np.asarray(top["feature"], dtype=np.int64)).astype(np.uint32)
+    shared = spark.sparkContext.broadcast(names)
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.flatnonzero(np.isin(shared.value, np.frombuffer(x.as_py(), np.uint32), assume_unique=True)).astype(np.int32).tobytes() for x in batch["features"]]
+            yield pa.record_batch([batch["key"], batch["lang"], batch["pattern"], pa.array(kept, pa.binary())], names=["key", "lang", "pattern", "columns"])
+
+    of = dict(zip(patterns.tolist(), posterior[:, GOOD - 1].tolist()))
+    got = sorted((r.key, r.lang, r.pattern, r.columns) for r in got.mapInArrow(columns, "key long, lang int, pattern long, columns binary").toLocalIterator())
+    if not got:
         return Scorer(np.zeros(0, np.uint32), np.zeros(0), 0.0), accuracy
-    found = np.concatenate(lists)
-    del got, lists
-    return Scorer(*train(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), found, good)), accuracy
+    cuts = np.concatenate([[0], np.cumsum([len(c) // 4 for *_, c in got])])
+    good, offset = np.array([of[p] for _, _, p, _ in got]), offsets[[k for _, k, _, _ in got]]
+    column = np.frombuffer(b"".join([c for *_, c in got]), np.int32)
+    del got
+    weight, bias = train(cuts, column, len(names), good, offset)
+    return Scorer(names[weight != 0], weight[weight != 0], bias), accuracy
 
 
 def _by_doc(doc: np.ndarray, found: np.ndarray, n: int) -> list[np.ndarray]:

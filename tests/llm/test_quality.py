@@ -82,3 +82,34 @@ def test_estimate_recovers_accuracies_and_shares():
     assert np.abs(accuracy - right).max() < 0.03 and np.abs(share - (0.7, 0.2, 0.1)).max() < 0.02
     assert ((posterior[back] > 0.5) == (kind == 0)).mean() > 0.98
     assert (Q.decode(Q.code(vote)[:50]) == vote[:50]).all()
+
+
+def test_toxic_words_of_a_rare_language(spark):
+    """A word in 18 of 5,000 documents, all toxic ones of a language of 200:
+    learnt from 12 labelled ones, whatever the other language's toxic words."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for k in range(5000):
+        words, lang = prose(rng, rng.randint(30, 60)).split(), "fr" if k % 25 == 0 else "en"
+        if lang == "fr":
+            words = ["é" + w for w in words]
+            toxic = k < 25 * 18
+            words[7:7] = ["réeuxvi"] * toxic
+        else:
+            toxic = k % 10 == 1
+            words[3:3] = [rng.choice(["qzvkt", "xwvut", "zyxwq"])] * toxic
+        rows.append((k, " ".join(words), lang))
+        if k % 3:
+            labels.append((k, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r.doc_id: r.accepted for r in Q.score(spark, docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [got[k] for k in range(0, 25 * 18, 75)]
+    assert len(held) == 6 and not any(held)
+    assert np.mean([got[k] for k in range(25 * 18, 5000, 25)]) > 0.95
+
+
+def test_strata_are_shared_out_evenly():
+    assert Q.rates(np.array([5, 7]), 100).tolist() == [1, 1]
+    sizes = np.array([1000, 10, 500, 90])
+    assert (Q.rates(sizes, 300) * sizes).tolist() == pytest.approx([100, 10, 100, 90])
+    assert Q.rates(np.array([0, 40]), 10).tolist() == [1, 0.25]
