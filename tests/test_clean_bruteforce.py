@@ -9,7 +9,7 @@ import numpy as np
 
 from aerostar.plans import fixtures, flight
 from aerostar.schemas import LEG_COLUMNS
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def r2(x):

@@ -6,7 +6,7 @@ from aerostar.__main__ import main
 from aerostar.plans import fixtures
 from aerostar.sinks import write_csv
 from aerostar.streaming import land_pages
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_cli_jobs_on_files(spark, scratch):

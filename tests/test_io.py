@@ -135,7 +135,7 @@ def test_values_that_do_not_parse_are_listed(spark, scratch):
 def test_legs_csv_with_inferred_schema(spark, scratch):
     from aerostar.plans import fixtures
     from aerostar.sources import read_legs
-    from conftest import SF_SMALL
+    from small_tables import SF_SMALL
     write_csv(fixtures.legs(spark, SF_SMALL), f"{scratch}/legs")
     types = dict(read_legs(spark, f"{scratch}/legs", infer=True).dtypes)
     assert types["flightDate"] == "date" and types["isNonStop"] == "boolean"

@@ -4,7 +4,7 @@ gate runs the same comparison at sf0.01)."""
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 import sys, os
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))

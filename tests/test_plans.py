@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from aerostar.operators import drop_null
 from aerostar.plans import fixtures, flight
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def plan_of(df):

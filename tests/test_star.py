@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from aerostar.plans import fixtures, flight
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_fact_invariants(spark):
