@@ -3,13 +3,17 @@ parameters, and DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_dir
-from . import (chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, pitman_yor, quality, substring_dedup,
-               token_counts, url_filter)
+from ..operators.joins import fits_broadcast
+from . import (chat_trees, decontaminate, exact_dedup, minhash_dedup, mixing, periodic_runs, pitman_yor, quality, subspace_join,
+               substring_dedup, token_counts, url_filter, vector_codes)
 from .staging import staged, table
+from .words import WORD_PATTERN
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +175,88 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(4 + length(replace(replace({_ESC.format('role')}, ':', '&colon;'), chr(10), '&nl;')) + 2 + length({_ESC.format('text')}) + 8) AS BIGINT) AS formatted_chars
 FROM given GROUP BY conv_id"""
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(spark, table(spark, sf_dir, "embeddings"), keep=("label",))
+    digest = hashlib.sha256(",".join(str(v) for v in books.ravel().tolist()).encode()).hexdigest()
+    coded = staged(spark, coded, "vector-codes")
+    sums = staged(spark, coded.groupBy("label").agg(F.sum("error").alias("label_error")), "vector-labels")
+    if fits_broadcast(sums):
+        joined = coded.join(F.broadcast(sums.withColumnRenamed("label", "l")), F.col("label").eqNullSafe(F.col("l")))
+    else:  # a row per label is too much to broadcast: a hot label's rows go to SALTS tasks
+        salts = sums.select(F.col("label").alias("l"), "label_error", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+        joined = coded.join(salts, F.col("label").eqNullSafe(F.col("l")) & (F.pmod(F.xxhash64("vec_id", "code"), F.lit(SALTS)) == F.col("s")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+SALTS = 64
+
+
+def _op11_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Rounds of assignment and update, one pair of tables each, for vectors of 64 components."""
+    apart = " + ".join(f"(p.v[{d}] - b.v[{d}]) * (p.v[{d}] - b.v[{d}])" for d in range(1, 9))
+    mean = ", ".join(f"CAST((s{d} - ((s{d} % n) + n) % n) // n AS BIGINT)" for d in range(1, 9))
+    sums = ", ".join(f"sum(v[{d}]) AS s{d}" for d in range(1, 9))
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (SELECT p.r, p.part, p.v, min({{'d': {apart}, 'e': b.entry}}) AS best FROM parts p JOIN book{r} b ON p.part = b.part GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""
+book{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, CASE WHEN n > 0 THEN [{mean}] ELSE b.v END AS v FROM book{r} b LEFT JOIN
+  (SELECT part, best.e AS entry, count(*) AS n, {sums} FROM near{r} GROUP BY ALL) s ON b.part = s.part AND b.entry = s.entry)""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+       list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS ints
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, CAST(part AS INTEGER) AS part, ints[part * 8 + 1 : part * 8 + 8] AS v FROM kept, range(8) t(part)),
+book0 AS MATERIALIZED (SELECT part, CAST(r - 1 AS INTEGER) AS entry, v FROM parts WHERE r <= 16),{",".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where h = crc32(doc_id) is a multiple of 10, the words
+    from a = g % n on (g = h / 10) repeat the first 1 + (n - a) / (3 + g % 8) of
+    them, joined by spaces. A null id has no h."""
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD_PATTERN})"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.when(F.pmod(h, F.lit(10)) == 0, F.expr("1")).alias("chosen"), F.floor(h / 10).cast("long").alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("chosen") == 1, words)).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")).cast("int"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.pmod("g", F.lit(8))))).cast("int")
+    tail = F.slice("words", F.col("a") + 1, F.col("period"))
+    again = F.flatten(F.array_repeat(tail, F.ceil((F.col("n") - F.col("a")) / F.col("period")).cast("int")))
+    whole = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    return rows.withColumn("period", period).select(
+        "doc_id", F.when(F.col("a").isNotNull(), F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted(table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws(",", r.start, r.length, r.period)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *periodic_runs.longest("runs"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs, which is what the operator avoids; cosines in doubles.
+OP13_SQL = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+good AS MATERIALIZED (SELECT r, v, sqrt(list_inner_product(v, v)) AS s FROM rows
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT x.r AS a, y.r AS b FROM good x JOIN good y ON x.r <> y.r AND len(x.v) = len(y.v)
+  WHERE list_inner_product(x.v, y.v) / (x.s * y.s) >= 0.9),
+reach(a, b) AS (SELECT r, r FROM rows UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS r, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.b GROUP BY reach.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = rows.r) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN least USING (r)"""
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -183,6 +269,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_subspace_join": op13_subspace_join,
 }
 
 SQL = {
@@ -191,4 +280,6 @@ SQL = {
     "op6_mixing": OP6_SQL,
     "op6_mixing_schedule": OP6_SCHEDULE_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_vector_codes": _op11_sql(),
+    "op13_subspace_join": OP13_SQL,
 }
