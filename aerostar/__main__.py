@@ -1,6 +1,7 @@
 """Command line: run the original jobs on real inputs.
 
     python -m aerostar flight  --legs 'data/file_part_*.csv' --out warehouse [--no-publish] [--key monotonic]
+    python -m aerostar load    --legs 'data/2024-05.csv' --out release
     python -m aerostar explore --legs 'data/file_part_*.csv' --out explore
     python -m aerostar hotel   --landing landing/ --out hotels
     python -m aerostar scrape  --pages saved_pages.parquet --out crawl [--year 2025]
@@ -16,8 +17,12 @@ import json
 import logging
 
 from aerostar.plans.etl_runs import run_explore, run_flight, run_hotel, run_scrape
-from aerostar.session import get_spark
-from aerostar.sources import read_legs
+from aerostar.plans.flight import CRITICAL
+from aerostar.plans.loads import load_flight
+from aerostar.schemas import LEGS
+from aerostar.session import get_spark, stage_dir
+from aerostar.sources import quarantine_csv, read_legs, read_quarantine
+from aerostar.sources.csv import LOADED
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -31,6 +36,9 @@ def main(argv: list[str] | None = None) -> dict:
     f.add_argument("--key", choices=["dense", "monotonic"], default="dense",
                    help="flight key: repeatable 1..n (dense) or gapped and free (monotonic)")
     f.add_argument("--single-files", action="store_true", help="write each dimension as one named CSV file")
+    d = sub.add_parser("load", help="add a file's new legs to a release of the star; keys given before stay")
+    d.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
+    d.add_argument("--out", required=True, help="root of the release")
     e = sub.add_parser("explore", help="airline pairs, flight type, date and flight dimensions")
     e.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
     e.add_argument("--out", required=True, help="output folder")
@@ -46,8 +54,17 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = get_spark(args.master, app=f"aerostar-{args.job}")
     if args.job == "flight":
-        result = run_flight(spark, read_legs(spark, args.legs), args.out,
+        landed = f"{args.out.rstrip('/')}/stage/landed"
+        counts = quarantine_csv(spark, args.legs, LEGS, landed, CRITICAL)
+        logging.getLogger("aerostar").info("flight: %s; malformed values and rejected rows in %s", counts, landed)
+        result = run_flight(spark, read_quarantine(spark, landed, LEGS, LOADED).select(*LEGS.fieldNames()), args.out,
                             publish_tables=not args.no_publish, key=args.key, single_files=args.single_files)
+        result["landed"] = landed
+    elif args.job == "load":
+        landed = stage_dir(spark, "landed")
+        counts = quarantine_csv(spark, args.legs, LEGS, landed, CRITICAL)
+        legs = read_quarantine(spark, landed, LEGS, LOADED).select(*LEGS.fieldNames())
+        result = {"version": load_flight(spark, legs, args.out), "landed": landed, **counts}
     elif args.job == "explore":
         result = run_explore(spark, read_legs(spark, args.legs), args.out)
     elif args.job == "hotel":

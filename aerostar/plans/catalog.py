@@ -22,12 +22,15 @@ from aerostar.operators import (
 )
 from aerostar.plans import fixtures, flight, hotel, oracle as O, scrape
 from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, run_explore, run_flight, run_hotel, run_scrape
+from aerostar.plans.loads import load_flight
 from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, LEG_COLUMNS_WIDE, LEGS, SCRAPED_COLUMNS
 from aerostar.session import apply_settings, run_concurrently, stage_dir
-from aerostar.sinks import append_rows, publish, read_published, write_csv, write_single_csv
+from aerostar.sinks import (
+    Change, Release, append_rows, publish, publish_frame, read_published, write_csv, write_single_csv,
+)
 from aerostar.sources import (
-    attribute, attributes, element_text, elements_text, flatten_hotel_pages, parse_hotel_pages, read_hotels,
-    read_legs, read_rejects, read_typed_csv,
+    attribute, attributes, element_text, elements_text, extract_page_fields, flatten_hotel_pages, parse_hotel_pages, read_hotels,
+    quarantine_csv, read_legs, read_quarantine, read_rejects, read_typed_csv,
 )
 from aerostar.streaming import ingest_pages, land_pages, rejects_of
 
@@ -135,6 +138,15 @@ def scan_hotels_csv(spark, sf):
     """S3: hotel rows with quoted labels and line breaks survive a CSV round trip."""
     path = stage_dir(spark, "hotels-csv")
     write_csv(hotels_raw(spark, sf), path)
+    return read_hotels(spark, path, split=False)
+
+
+@query("scan_hotels_split", H(f"SELECT {O.HOTEL_COLS_CSV} FROM hotels"))
+def scan_hotels_split(spark, sf):
+    """S3: the same rows from one file, which is read in splits: a line break
+    inside quotes ends no record."""
+    path = stage_dir(spark, "hotels-one-csv")
+    write_csv(hotels_raw(spark, sf), path, single_part=True)
     return read_hotels(spark, path)
 
 
@@ -189,12 +201,33 @@ def ingest_rejects(spark, sf):
                               "SELECT 'totalFare', 'n/a', count(*) FROM legs WHERE CAST(legId AS BIGINT) % 19 = 0 HAVING count(*) > 0"))
 def scan_legs_rejects(spark, sf):
     """Values that a typed scan reads as null although the file holds text."""
+    return read_rejects(spark, bad_legs_csv(spark, sf), LEGS)
+
+
+def bad_legs_csv(spark, sf):
+    """Legs as CSV, with dates and fares that are none."""
     path, k = stage_dir(spark, "legs-bad"), F.col("legId").cast("long")
     bad = legs(spark, sf).withColumns({
         "flightDate": F.when(k % 17 == 0, "soon").otherwise(F.col("flightDate").cast("string")),
         "totalFare": F.when(k % 19 == 0, "n/a").otherwise(F.col("totalFare").cast("string"))})
     write_csv(bad, path)
-    return read_rejects(spark, path, LEGS)
+    return path
+
+
+@query("legs_quarantine", L("""
+SELECT CASE WHEN CAST(legId AS BIGINT) % 17 = 0 OR destinationAirport IS NULL THEN 'rejected' ELSE 'loaded' END AS status, legId,
+       concat_ws(';', CASE WHEN CAST(legId AS BIGINT) % 17 = 0 THEN 'flightDate=soon' END, CASE WHEN CAST(legId AS BIGINT) % 19 = 0 THEN 'totalFare=n/a' END) AS problems,
+       CASE WHEN CAST(legId AS BIGINT) % 17 = 0 OR destinationAirport IS NULL THEN startingAirport END AS kept_airport
+FROM legs"""))
+def legs_quarantine(spark, sf):
+    """One pass over the file sets aside the rows without a date or an
+    airport and notes malformed values; landed = loaded + rejected, or it fails."""
+    out = stage_dir(spark, "quarantine")
+    quarantine_csv(spark, bad_legs_csv(spark, sf), LEGS, out, flight.CRITICAL)
+    rows = read_quarantine(spark, out, LEGS)
+    noted = F.array_join(F.transform("problems", lambda p: F.concat_ws("=", p.column_name, p.value)), ";")
+    return rows.select(F.col("__status").alias("status"), "legId", noted.alias("problems"),
+                       F.get_json_object("row", "$.startingAirport").alias("kept_airport"))
 
 
 @query("page_fields", "SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang, "
@@ -665,6 +698,38 @@ def scraped_flights_rules(spark, sf):
     return scrape.scraped_flights(flight_pages(spark, sf).withColumn("html", html), year=fixtures.SCRAPE_YEAR, rules=rules)
 
 
+@query("scraped_flights_nested", SQL["scraped_flights_rules"])
+def scraped_flights_nested(spark, sf):
+    """The same table from pages whose fields hold elements of their own
+    name, comments and scripts with tags in them, attributes quoted in either
+    way or not at all, and references by name, number and code point."""
+    html = F.col("html")
+    for old, new in (('<div class="al">', "<DIV title='a > b' class='row al'><div class=al2><div>"), (", B</div>", "&comma; B</div></div></DIV>"),
+                     ('<div class="st">1 stop', "<div class=st><!-- </div> --><div>1</div><script>var x='</div>';</script> st&#x6f;p"),
+                     ('<div class="st">Nonstop', '<div\nclass = "st"><div>Non</div>stop'),
+                     ('<div class="cabin">', "<div class=cabin><div class='cabin-mark'></div>"),
+                     ('<div class="du">', "<div id=du class='du x'><div hidden></div>"),
+                     ("$", "&dollar;")):
+        html = F.replace(html, F.lit(old), F.lit(new))
+    rules = {"airline": elements_text("div", "al"), "fare": elements_text("span", role="text", aria_label="US dollars"),
+             "stops": elements_text("div", "st"), "cabin": element_text("div", "cabin"), "date_label": attribute("input", "value", "date"),
+             "dep": attributes("span", "aria-label", "dep"), "arr": attributes("span", "aria-label", "arr"),
+             "duration": elements_text("div", "du"), "from_ap": elements_text("div", "from"), "to_ap": elements_text("div", "to")}
+    return scrape.scraped_flights(flight_pages(spark, sf).withColumn("html", html), year=fixtures.SCRAPE_YEAR, rules=rules)
+
+
+@query("page_elements", r"""
+SELECT page_id, regexp_replace(regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's'), '&amp;', '&', 'g') AS ad,
+       list_transform(regexp_extract_all(html, '<a href="([^"]*)">', 1), lambda x: regexp_replace(x, '&amp;', '&', 'g')) AS hrefs,
+       CAST(len(regexp_extract_all(html, '<li>')) AS INTEGER) AS n_items,
+       regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&amp;', '&', 'g') AS title FROM pages""")
+def page_elements(spark, sf):
+    """Elements of saved pages by tag, class and attribute."""
+    found = extract_page_fields(driver_pages(spark, sf), {
+        "ad": element_text("div", "ad"), "hrefs": attributes("a", "href"), "items": elements_text("li"), "title": element_text("title")})
+    return found.select("page_id", "ad", "hrefs", F.size("items").alias("n_items"), "title")
+
+
 @query("label_to_date", FR("SELECT DISTINCT page_id, flightDate FROM scrape_rows"))
 def label_to_date(spark, sf):
     """X16: 'Wed, Jan 1' plus a year to a date."""
@@ -911,3 +976,68 @@ def scrape_run(spark, sf):
     return spark.read.schema("flightDate date, startingAirport string, destinationAirport string, isBasicEconomy int, isRefundable int, "
                              "isNonStop int, totalFare string, segmentsAirlineName string, travelDuration string, departureTime string, "
                              "arrivalTime string, flightKey long").option("header", True).csv(path).select(*SCRAPED_COLUMNS)
+
+
+# ---- second loads and releases ------------------------------------------------------------------
+
+#: The first file's legs; the second file holds all legs, so these again.
+FIRST_FILE = ("destinationAirport < 'M' AND startingAirport < 'M' AND flightDate < DATE '1996-01-01' "
+              "AND segmentsAirlineName LIKE 'Carrier 1%'")
+_CLEAN_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ["legId"] + flight.CLEAN_COLUMNS)
+
+
+@query("flight_two_loads", L(f"""
+SELECT f.flightKey, f.load, strftime(f.flightDate, '%Y%m%d') AS dateKey, f.totalFare, a.airlineKey, f.segmentsAirlineName AS airlineName,
+       s.airportKey AS startingAirportKey, f.startingAirport, d.airportKey AS destinationAirportKey, f.destinationAirport
+FROM loaded f LEFT JOIN airlines a ON f.segmentsAirlineName = a.airlineName
+LEFT JOIN airports s ON f.startingAirport = s.airportCode LEFT JOIN airports d ON f.destinationAirport = d.airportCode""",
+    O.CLEAN.split("clean AS (")[0].replace(f"DISTINCT {O.LEG15}", f"DISTINCT {O.LEG15}, CAST(CASE WHEN {FIRST_FILE} THEN 1 ELSE 2 END AS INTEGER) AS load")
+    .replace("SELECT legId,", "SELECT legId, load,").rstrip().rstrip(","),
+    f"loaded AS (SELECT *, row_number() OVER (ORDER BY load, {_CLEAN_ORDER}) AS flightKey FROM clean_cols)",
+    """airlines AS (SELECT airlineName, row_number() OVER (ORDER BY load, airlineName NULLS FIRST) AS airlineKey
+  FROM (SELECT segmentsAirlineName AS airlineName, min(load) AS load FROM loaded GROUP BY ALL))""",
+    """airports AS (SELECT airportCode, row_number() OVER (ORDER BY load, airportCode NULLS FIRST) AS airportKey
+  FROM (SELECT airportCode, min(load) AS load FROM (SELECT startingAirport AS airportCode, load FROM loaded
+        UNION ALL SELECT destinationAirport, load FROM loaded) GROUP BY ALL))"""))
+def flight_two_loads(spark, sf):
+    """C16, W1, W4, A1 on a schedule: a file of some legs, a file of all, and that
+    file again. Keys given by the first load stay, each leg is there once."""
+    root, given = stage_dir(spark, "two-loads"), stage_dir(spark, "two-loads-legs")
+    legs(spark, sf).write.parquet(given)  # the files of the two loads
+    every = spark.read.parquet(given)
+    for file in (every.where(FIRST_FILE), every, every):
+        load_flight(spark, file, root)
+    release = Release(spark, root)
+    airlines, airports = release.read("dim_airline"), release.read("dim_airport")
+    facts = release.read("fact_flight").withColumn("load", F.when(F.col("flightKey") <= release.state(1)["flightKey"], 1).otherwise(2))
+    named = (facts.join(airlines.select("airlineKey", "airlineName"), "airlineKey", "left")
+             .join(airports.select(F.col("airportKey").alias("startingAirportKey"), F.col("airportCode").alias("startingAirport")), "startingAirportKey", "left")
+             .join(airports.select(F.col("airportKey").alias("destinationAirportKey"), F.col("airportCode").alias("destinationAirport")),
+                   "destinationAirportKey", "left"))
+    return named.select("flightKey", "load", "dateKey", "totalFare", "airlineKey", "airlineName", "startingAirportKey", "startingAirport",
+                        "destinationAirportKey", "destinationAirport")
+
+
+@query("publish_versions", S("""
+SELECT CAST(v AS INTEGER) AS version, 'flights' AS table_name, strftime(flightDate, '%Y%m%d') AS dateKey, count(*) AS rows
+FROM clean, range(1, 3) t(v) WHERE v = 1 OR NOT (year(flightDate) = 1995 AND day(flightDate) % 2 = 1) GROUP BY ALL
+UNION ALL
+SELECT CAST(v AS INTEGER), 'dim_date', dateKey, 1 FROM dim_date, range(1, 3) t(v) WHERE v = 1 OR NOT (year = 1995 AND dayOfMonth % 2 = 1)"""))
+def publish_versions(spark, sf):
+    """K5: two tables in one release; the second version replaces the year 1995
+    by its even days, so the odd ones go from both. Rows of both versions."""
+    release = Release(spark, stage_dir(spark, "release"))
+    flights = stage_dir(spark, "release-flights")
+    clean(spark, sf).select("flightKey", date_key("flightDate").alias("dateKey")).write.parquet(flights)
+    flights = spark.read.parquet(flights)
+    dates = flight.dim_date(clean_for_dims(spark, sf)).select("dateKey", "dayOfMonth")
+    frames = lambda keep: {
+        "flights": publish_frame(flights.where(keep), ["flightKey", "dateKey"], "dateKey", "yyyyMMdd", typed=True, unique_key="flightKey"),
+        "dim_date": publish_frame(dates.where(keep), ["dateKey", "dayOfMonth"], "dateKey", "yyyyMMdd", typed=True, unique_key="dateKey")}
+    release.publish({n: Change(df) for n, df in frames("true").items()})
+    even = "dateKey LIKE '1995%' AND pmod(cast(substr(dateKey, 7) AS int), 2) = 0"
+    release.publish({n: Change(df, interval=("1995-01-01", "1995-12-31")) for n, df in frames(even).items()})
+    counts = [release.read(name, v).groupBy("dateKey").agg(F.count(F.lit(1)).alias("rows"))
+              .select(F.lit(v).alias("version"), F.lit(name).alias("table_name"), "dateKey", "rows")
+              for v in (1, 2) for name in ("flights", "dim_date")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])

@@ -44,8 +44,20 @@ def clean_legs(legs: DataFrame, key: str = "dense", local_clock: bool = False,
     df = project(legs, LEG_COLUMNS)
     df = drop_null(df, CRITICAL)
     df = dedupe(df)
-    df = fill(df, {"totalFare": 0})
-    df = df.select(
+    df = cleaned(df, local_clock, duration_days)
+    if key == "dense":
+        df = dense_key(df, ["legId"] + CLEAN_COLUMNS, "flightKey")
+    elif key == "monotonic":
+        df = unique_key(df, "flightKey", start=1)
+    else:
+        raise ValueError(f"key must be 'dense' or 'monotonic', not {key!r}")
+    return df.select(*CLEAN_COLUMNS, "flightKey")
+
+
+def cleaned(rows: DataFrame, local_clock: bool = False, duration_days: bool = False) -> DataFrame:
+    """``legId`` and the cleaned columns of deduped legs, row by row."""
+    df = fill(rows, {"totalFare": 0})
+    return df.select(
         "legId", "flightDate", "startingAirport", "destinationAirport",
         *[flag(c).alias(c) for c in FLAGS],
         to_float("totalFare").alias("totalFare"),
@@ -54,13 +66,6 @@ def clean_legs(legs: DataFrame, key: str = "dense", local_clock: bool = False,
         clock(first_item(segments("segmentsDepartureTimeRaw")), local=local_clock).alias("departureTime"),
         clock(last_item(segments("segmentsArrivalTimeRaw")), local=local_clock).alias("arrivalTime"),
     )
-    if key == "dense":
-        df = dense_key(df, ["legId"] + CLEAN_COLUMNS, "flightKey")
-    elif key == "monotonic":
-        df = unique_key(df, "flightKey", start=1)
-    else:
-        raise ValueError(f"key must be 'dense' or 'monotonic', not {key!r}")
-    return df.select(*CLEAN_COLUMNS, "flightKey")
 
 
 def dim_columns(legs: DataFrame) -> DataFrame:

@@ -31,6 +31,13 @@ def reject_hotel_pages(df: DataFrame, json_col: str = "json") -> DataFrame:
     return df.where(doc.isNull() | doc[CORRUPT].isNotNull())
 
 
+def tag_hotel_pages(df: DataFrame, json_col: str = "json") -> DataFrame:
+    """``json``, the parsed document (``doc``) and whether it parses: every input
+    row is here, parsed once."""
+    tagged = df.select(F.col(json_col).alias("json"), _parsed(json_col).alias("doc"))
+    return tagged.withColumn("parsed", F.col("doc").isNotNull() & F.col(f"doc.{CORRUPT}").isNull())
+
+
 def flatten_hotel_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per hotel, the page-level location fields repeated on each row.
 

@@ -1,83 +1,190 @@
 """Saved web pages (``page_id, url, html``) to fields and rows.
 
-A rule is ``(pattern, group, kind)``: ``kind='one'`` takes the first match
-(``regexp_extract``), ``kind='all'`` every match in page order
-(``regexp_extract_all``). ``element_text`` / ``elements_text`` make the rule
-for the text of elements with given classes (in any order, among others),
-``attribute`` / ``attributes`` that for an attribute's value; what they find
-loses its tags and has its entities decoded. Patterns run over the whole page
-text on the executors; each page is one row, so pages spread over all tasks."""
+A rule is either a pattern, ``(pattern, group, kind)`` with ``kind='one'`` for the
+first match (``regexp_extract``) and ``kind='all'`` for every match in page order
+(``regexp_extract_all``), or an ``Element``: elements by tag, classes and
+attribute contents, of which it takes the text or an attribute's value
+(``element_text``, ``elements_text``, ``attribute``, ``attributes`` make them).
+
+Elements are found by a tokenizer over the page's markup, in Spark's own array
+functions. The tags of the rule's name, comments, scripts and styles cut the
+page into pieces; a fold over the tags counts their depth, so an element ends
+with its own closing tag and not with that of an inner element of the same
+name. Attributes may be quoted in either way or not at all; names of tags and
+attributes are read in any case. The text of an element has no tags, comments,
+scripts or styles, and its character references are decoded, once. Each page is
+one row, so pages spread over all tasks, and nothing is shuffled."""
 
 from __future__ import annotations
 
+import html.entities
+import json
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Elements without content; what a browser reads &#128; to &#159; as.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+C1 = {f"#{n}": bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
-#: Named entities of ordinary page text; the ampersand last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+_INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_SKIP = rf"<!--.*?(?:-->|\z)|<(?:script|style)\b{_INSIDE}>.*?(?:</(?:script|style)\s*>|\z)"
+_TAG = rf"</?[A-Za-z]{_INSIDE}>"
+_ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
-def _open_tag(tag: str, classes: tuple[str, ...], holds: Mapping[str, str]) -> str:
-    """An opening tag with all the classes and with attributes that contain the
-    given texts, in any order."""
-    tests = "".join(rf"(?=[^>]*\sclass=\"(?:[^\"]*\s)?{re.escape(c)}(?:\s[^\"]*)?\")" for c in classes)
-    tests += "".join(rf"(?=[^>]*\s{re.escape(k)}=\"[^\"]*{re.escape(v)}[^\"]*\")" for k, v in holds.items())
-    return rf"<{tag}\b{tests}"
+@dataclass(frozen=True)
+class Element:
+    """Elements ``tag`` with all the classes, among others and in any order, and
+    with attributes that contain the given texts; ``take`` names the attribute
+    whose value is wanted (None: the text). ``every``: all in page order, or the
+    first, empty where there is none."""
 
+    tag: str
+    classes: tuple[str, ...] = ()
+    holds: tuple[tuple[str, str], ...] = ()
+    take: str | None = None
+    every: bool = False
 
-def element_text(tag: str, *classes: str, kind: str = "one", **holds: str) -> tuple[str, int, str]:
-    """Rule for the text of the first ``tag`` element with these classes, and
-    with attributes that contain the texts of ``holds`` (``aria_label=`` stands
-    for ``aria-label``). Inner tags are allowed, inner ``tag`` elements end it."""
-    holds = {k.replace("_", "-"): v for k, v in holds.items()}
-    return rf"(?s){_open_tag(tag, classes, holds)}[^>]*>(.*?)</{tag}\s*>", 1, f"{kind} text"
 
+def element_text(tag: str, *classes: str, **holds: str) -> Element:
+    """The text of the first such element (``aria_label=`` stands for
+    ``aria-label``)."""
+    return Element(tag, classes, _pairs(holds))
 
-def elements_text(tag: str, *classes: str, **holds: str) -> tuple[str, int, str]:
-    return element_text(tag, *classes, kind="all", **holds)
 
+def elements_text(tag: str, *classes: str, **holds: str) -> Element:
+    return Element(tag, classes, _pairs(holds), every=True)
 
-def attribute(tag: str, name: str, *classes: str, kind: str = "one", **holds: str) -> tuple[str, int, str]:
-    """Rule for the value of attribute ``name``."""
-    holds = {k.replace("_", "-"): v for k, v in holds.items()}
-    return rf"{_open_tag(tag, classes, holds)}[^>]*?\s{re.escape(name)}=\"([^\"]*)\"", 1, f"{kind} text"
 
+def attribute(tag: str, name: str, *classes: str, **holds: str) -> Element:
+    """The value of attribute ``name`` of the first such element that has it."""
+    return Element(tag, classes, _pairs(holds), name)
 
-def attributes(tag: str, name: str, *classes: str, **holds: str) -> tuple[str, int, str]:
-    return attribute(tag, name, *classes, kind="all", **holds)
+
+def attributes(tag: str, name: str, *classes: str, **holds: str) -> Element:
+    return Element(tag, classes, _pairs(holds), name, every=True)
+
+
+def _pairs(holds: Mapping[str, str]) -> tuple[tuple[str, str], ...]:
+    return tuple((k.replace("_", "-"), v) for k, v in holds.items())
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once a row, also where body uses it
+    inside other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def attribute_of(token: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag as it is written (of several of
+    that name the first); null: the tag has none."""
+    every = F.regexp_extract_all(F.regexp_replace(token, r"^<[^\s/>]++", ""), F.lit(_ATTRIBUTE), F.lit(0))
+    named = F.filter(every, lambda a: F.lower(F.regexp_extract(a, r"^[^\s=]++", 0)) == name.lower())
+
+    def value(a: Column) -> Column:
+        v = F.regexp_replace(a, r"^[^\s=]++\s*+=?+\s*+", "")
+        return F.when(v.rlike("^[\"']"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+    return F.get(F.transform(named, value), F.lit(0))
+
+
+def _fits(token: Column, rule: Element) -> Column:
+    out = F.lit(True)
+    if rule.classes:
+        words = F.split(F.coalesce(decode_entities(attribute_of(token, "class")), F.lit("")), r"\s+")
+        for c in rule.classes:
+            out = out & F.array_contains(words, c)
+    for name, text in rule.holds:
+        out = out & F.contains(F.coalesce(decode_entities(attribute_of(token, name)), F.lit("")), F.lit(text))
+    return out
+
+
+def find(page: Column, rule: Element) -> Column:
+    """The texts or attribute values of all elements of the rule, in page order."""
+    pattern = rf"(?is){_SKIP}|</?{re.escape(rule.tag)}(?=[\s/>]){_INSIDE}>"
+    opens = lambda t: t.rlike(rf"(?is)^<{re.escape(rule.tag)}[\s/>]")  # noqa: E731  (a script is a token, and one that skips)
+    if rule.take is not None:
+        tokens = F.filter(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)), lambda t: opens(t) & _fits(t, rule))
+        return F.transform(F.array_compact(F.transform(tokens, lambda t: attribute_of(t, rule.take))), decode_entities)
+    if rule.tag.lower() in VOID:
+        raise ValueError(f"<{rule.tag}> has no text")
+    span = "array<struct<depth:int,at:int>>"
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.array().cast(span).alias("open"),
+                     F.array().cast("array<struct<at:int,until:int>>").alias("done"))
+
+    def step(s: Column, token: Column) -> Column:
+        state = lambda depth, open_, done: F.struct((s.n + 1).alias("n"), depth.alias("depth"), open_.alias("open"), done.alias("done"))
+        entered = F.struct((s.depth + 1).alias("depth"), s.n.alias("at"))
+        ended = F.transform(F.filter(s.open, lambda o: o.depth == s.depth), lambda o: F.struct(o["at"].alias("at"), s.n.alias("until")))
+        return (F.when(opens(token), state(s.depth + 1, F.when(_fits(token, rule), F.array_append(s.open, entered)).otherwise(s.open), s.done))
+                .when(token.startswith("</") & (s.depth > 0),
+                      state(s.depth - 1, F.filter(s.open, lambda o: o.depth < s.depth), F.concat(s.done, ended)))
+                .otherwise(state(s.depth, s.open, s.done)))
+
+    def finish(s: Column) -> Column:  # what is not closed ends with the page
+        rest = F.transform(s.open, lambda o: F.struct(o["at"].alias("at"), s.n.alias("until")))
+        return F.array_sort(F.concat(s.done, rest))
+
+    def texts(w: Column) -> Column:
+        inside = lambda e: F.array_join(F.slice(w.pieces, e["at"] + 2, e["until"] - e["at"]), "")
+        return F.transform(F.aggregate(w.tokens, start, step, finish), lambda e: _plain(inside(e)))
+
+    cut = F.struct(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)).alias("tokens"), F.split(page, pattern, -1).alias("pieces"))
+    return let(cut, texts)
+
+
+def _names() -> Column:
+    """Names of character references and what they stand for (the table of
+    Python's ``html.entities``, those that end in a semicolon), as one literal."""
+    table = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+    return F.from_json(F.lit(json.dumps(table | C1)), "map<string,string>")
+
+
+def _character(reference: Column) -> Column:
+    """What one reference stands for; a name that nobody knows stays as it is, a
+    number that is no character is the replacement character."""
+    name = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    number = F.when(name.rlike("^#[0-9]"), F.substring(name, F.lit(2), F.length(name)).cast("long")).when(
+        name.rlike("^#[xX]"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).cast("long"))
+    key = F.when(number.between(128, 159), F.concat(F.lit("#"), number.cast("string"))).otherwise(name)
+    bad = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    char = F.when(bad, F.lit("\ufffd")).otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    return F.coalesce(F.try_element_at(_names(), key), F.when(number.isNotNull(), char), reference)
 
 
 def decode_entities(c: Column) -> Column:
-    """Named entities and decimal character references of the Latin and general
-    punctuation blocks to the characters they stand for."""
-    codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(\d{1,5});"), F.lit(1)))
-    c = F.aggregate(codes, c, lambda text, n: F.replace(
-        text, F.concat(F.lit("&#"), n, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(n.cast("int")), 4, "0")), "UTF-16BE")))
-    for written, plain in ENTITIES:
-        c = F.replace(c, F.lit(written), F.lit(plain))
-    return c
+    """Character references that end in a semicolon (named, decimal or
+    hexadecimal) to the characters they stand for; each is read once, so
+    ``&amp;lt;`` gives ``&lt;``."""
+    def read(text: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), _character)
+        return F.array_join(F.zip_with(F.split(text, _REFERENCE, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(F.contains(c, F.lit("&")), read(c)).otherwise(c)
 
 
 def _plain(c: Column) -> Column:
-    return decode_entities(F.regexp_replace(c, r"<[^>]*>", ""))
+    return decode_entities(F.regexp_replace(c, _TAG, ""))
 
 
-def extract_page_fields(df: DataFrame, rules: Mapping[str, tuple[str, int, str]],
+def extract_page_fields(df: DataFrame, rules: Mapping[str, Element | tuple[str, int, str]],
                         html: str = "html", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     cols = []
-    for name, (pattern, group, kind) in rules.items():
-        if kind not in ("one", "all", "one text", "all text"):
+    for name, rule in rules.items():
+        if isinstance(rule, Element):
+            found = find(F.col(html), rule)
+            cols.append((found if rule.every else F.coalesce(F.get(found, F.lit(0)), F.lit(""))).alias(name))
+            continue
+        pattern, group, kind = rule
+        if kind not in ("one", "all"):
             raise ValueError(f"rule kind must be 'one' or 'all', not {kind!r}")
-        if kind.startswith("one"):
-            c = F.regexp_extract(F.col(html), pattern, group)
-            cols.append((_plain(c) if kind.endswith("text") else c).alias(name))
+        if kind == "one":
+            cols.append(F.regexp_extract(F.col(html), pattern, group).alias(name))
         else:
-            c = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(group))
-            cols.append((F.transform(c, _plain) if kind.endswith("text") else c).alias(name))
+            cols.append(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(group)).alias(name))
     return df.select(*keep, *cols)
 
 
