@@ -121,24 +121,46 @@ BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str, bpe_file: str = BPE_FILE) -> DataFrame:
-    """Batch 0 inserts every document and is sent twice; batch 1 takes down the
-    documents labelled toxic and revises the others of quality 0, whose
-    language becomes ``und``."""
+    """Totals of two tokenizers after the batches of ``_token_batches``."""
     tokenizers = {"words-1": token_counts.word_counter(), "byte_bpe_50k-1": token_counts.bpe_counter(spark, bpe_file, BPE_PATTERN)}
-    counts = staged(spark, token_counts.counted(table(spark, sf_dir, "documents"), tokenizers), "token-counts")
+    return _token_batches(spark, sf_dir, tokenizers)
+
+
+def op8_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the tokenizer that SQL can express."""
+    return _token_batches(spark, sf_dir, {"words-1": token_counts.word_counter()})
+
+
+def _token_batches(spark: SparkSession, sf_dir: str, tokenizers: dict) -> DataFrame:
+    """Batch 0 inserts every document and is sent twice. Batch 1 revises those of
+    quality 0 (their language becomes ``und``), then those in German (their text
+    stands there twice now, and is counted anew), then takes down those labelled
+    toxic. The ledger is compacted in between."""
+    docs = table(spark, sf_dir, "documents")
+    counts = staged(spark, token_counts.counted(docs, tokenizers), "token-counts")
+    changed = docs.where("lang = 'de'").withColumn("text", F.concat_ws(" ", "text", "text"))
+    again = token_counts.counted(changed, tokenizers)
     store = token_counts.Rollup(spark, stage_dir(spark, "llm-rollup"))
-    inserts = counts.select(F.lit("insert").alias("op"), F.lit(0).cast("long").alias("seq"), "*")
-    store.commit(0, inserts)
-    store.commit(0, inserts)
-    marks = (table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-             .where("toxic = 1 or quality = 0"))
-    changes = (counts.join(marks, "doc_id")
-               .select(F.when(F.col("toxic") == 1, "delete").otherwise("revise").alias("op"), F.lit(1).cast("long").alias("seq"),
-                       "doc_id", "source", F.lit("und").alias("lang"), "tokenizer", "tokens"))
-    store.commit(1, changes)
+    sent = lambda op, seq, rows: rows.select(F.lit(op).alias("op"), F.lit(seq).cast("long").alias("seq"), "*")
+    store.commit(0, sent("insert", 0, counts))
+    store.commit(0, sent("insert", 0, counts))
+    store.compact()
+    marks = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    poor = counts.join(marks.where("quality = 0").select("doc_id"), "doc_id").withColumn("lang", F.lit("und")).select(counts.columns)
+    toxic = counts.join(marks.where("toxic = 1").select("doc_id"), "doc_id").select(counts.columns)
+    store.commit(1, sent("revise", 1, poor).unionByName(sent("revise", 2, again)).unionByName(sent("delete", 3, toxic)))
     return store.totals()
 
 
+OP8_WORDS_SQL = r"""
+WITH marks AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
+sized AS (SELECT d.source, d.lang, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n, m.quality
+          FROM documents d LEFT JOIN marks m ON d.doc_id = m.doc_id WHERE coalesce(m.toxic, 0) <> 1),
+held AS (SELECT source, CASE WHEN lang = 'de' THEN lang WHEN quality = 0 THEN 'und' ELSE lang END AS lang, CASE WHEN lang = 'de' THEN 2 * n ELSE n END AS n FROM sized)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM held GROUP BY source, lang"""
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -151,7 +173,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
     messages = staged_messages(spark, given.unionByName(probe))
-    written = chat_trees.format_paths(chat_trees.paths(spark, messages, branches=1))
+    written = chat_trees.format_paths(chat_trees.paths(spark, messages, branches=1, distinct=True))
     turns, loss = chat_trees.read_turns(F.col("formatted")), chat_trees.read_loss(F.col("formatted"), F.col("loss_spans"))
     return (written.withColumn("turns", turns).withColumn("loss", F.array_join(loss, ""))
             .select("conv_id", F.size("turns").cast("long").alias("n_turns"),
@@ -267,6 +289,7 @@ QUERIES = {
     "op6_mixing_schedule": op6_mixing_schedule,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_token_counts": op8_token_counts,
+    "op8_word_counts": op8_word_counts,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_vector_codes": op11_vector_codes,
@@ -279,6 +302,7 @@ SQL = {
     "op4_url_filter": OP4_SQL,
     "op6_mixing": OP6_SQL,
     "op6_mixing_schedule": OP6_SCHEDULE_SQL,
+    "op8_word_counts": OP8_WORDS_SQL,
     "op10_chat_formatting": OP10_SQL,
     "op11_vector_codes": _op11_sql(),
     "op13_subspace_join": OP13_SQL,

@@ -1,16 +1,23 @@
 """Token counts as delta-maintained rollups.
 
-A store below ``root`` keeps, per committed batch, a ledger of signed rows (one
-per document and tokenizer version: +1 as counted, -1 to take a count back) and
-their sums by source, language and tokenizer. Totals are the sums of all
-committed deltas; nothing is ever recounted.
+A store below ``root`` keeps, per committed batch, a ledger of signed rows (for
+each document id, source, language, tokenizer version and count, how many such
+documents came or, negative, went) and their sums by source, language and
+tokenizer. Totals are the sums of all committed deltas; nothing is ever
+recounted.
 
 A batch of changes inserts, deletes or revises documents. Its retractions come
 from the ledger: what stands there for the touched ids is taken back, what the
 batch brings is added. So inserting a known id revises it, and deleting an
-unknown one does nothing. Of several changes of one id in a batch the one with
-the largest ``seq`` counts (ties: any delete, else the largest source,
-language and counts).
+unknown one does nothing. Of several changes of one id in a batch those with the
+largest ``seq`` count (ties: any delete wins). Every row of them is a document:
+rows that share an id and seq, equal ones too, are counted each, and stand under
+that id together. A null id names no document: such rows only add, and a delete
+of the null id does nothing.
+
+The ledger lies in ``BUCKETS`` folders by hash of the id, so a batch reads only
+those that hold ids it touches. ``compact`` replaces the ledgers and deltas of
+all batches so far by their net rows.
 
 Commits are idempotent: a batch writes folders named by its number and becomes
 visible by its marker, written last. Committing a number that has its marker
@@ -18,8 +25,8 @@ does nothing; a batch that failed halfway is written anew.
 
 Tokenizers are named, versioned counters of texts; their files are read on the
 driver and travel as bounded broadcasts. Null or empty texts count 0 tokens;
-null source and language are groups of their own; null ids are one id. Columns
-beyond those named are not used. Empty batches leave the totals as they are.
+null source and language are groups of their own. Columns beyond those named
+are not used. Empty batches leave the totals as they are.
 """
 
 from __future__ import annotations
@@ -33,9 +40,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
+from .staging import staged
 
 Counter = Callable[[pa.Array], np.ndarray]
 GROUP = ("source", "lang", "tokenizer")
+BUCKETS = 64
 
 
 def word_counter() -> Counter:
@@ -94,44 +103,88 @@ class Rollup:
         """changes: op (insert, revise, delete), seq, doc_id, source, lang,
         tokenizer, tokens (delete: the last four are ignored and the whole
         document goes). Returns False if the batch was committed before."""
-        done = self._committed()
-        if batch in done:
+        upto, done = self._committed()
+        if batch <= upto or batch in done:
             return False
-        fresh = changes.where("op != 'delete'")
-        last = (changes.groupBy("doc_id").agg(F.max(F.struct("seq", (F.col("op") == "delete").alias("gone"))).alias("last"))
-                .select(F.col("doc_id").alias("__id"), "last.seq", "last.gone"))
-        fresh = (fresh.withColumnRenamed("seq", "__seq").join(last, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__seq") == F.col("seq")) & ~F.col("gone"))
-                 .groupBy("doc_id", "tokenizer").agg(F.max(F.struct("source", "lang", "tokens")).alias("v"))
-                 .select("doc_id", "v.source", "v.lang", "tokenizer", "v.tokens", F.lit(1).cast("long").alias("sign")))
-        rows = fresh
-        if done:
-            stands = self._ledger(done).join(last, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-            back = (stands.groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").alias("sign")).where("sign != 0")
-                    .select("doc_id", "source", "lang", "tokenizer", "tokens", (-F.col("sign")).alias("sign")))
-            rows = fresh.unionByName(back)
-        rows.write.mode("overwrite").parquet(f"{self.root}/ledger/batch={batch}")
-        delta = (self.spark.read.parquet(f"{self.root}/ledger/batch={batch}").groupBy(*GROUP)
-                 .agg(F.sum("sign").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens")))
-        delta.write.mode("overwrite").parquet(f"{self.root}/deltas/batch={batch}")
-        self.spark.range(1).select(F.lit(batch).alias("batch")).write.mode("overwrite").parquet(f"{self.root}/commits/batch={batch}")
+        kinds = ["doc_id", *GROUP, "tokens"]
+        # equal rows collapse to their number before they meet by id
+        rows = (changes.groupBy("op", "seq", *kinds).agg(F.count(F.lit(1)).alias("sign")))
+        last = (changes.where("doc_id is not null").groupBy("doc_id")
+                .agg(F.max(F.struct("seq", (F.col("op") == "delete").alias("gone"))).alias("last"))
+                .select(F.col("doc_id").alias("__id"), F.col("last.seq").alias("__seq"), "last.gone"))
+        last = staged(self.spark, last.withColumn("bucket", _bucket("__id")), "rollup-touched")
+        fresh = rows.where("op != 'delete'")
+        named = (fresh.join(last, (F.col("doc_id") == F.col("__id")) & (F.col("seq") == F.col("__seq")) & ~F.col("gone"))
+                 .groupBy(*kinds).agg(F.sum("sign").alias("sign")))
+        nameless = fresh.where("doc_id is null").groupBy(*kinds).agg(F.sum("sign").alias("sign"))
+        change = named.unionByName(nameless)
+        touched = [r["bucket"] for r in last.select("bucket").distinct().collect()]  # at most BUCKETS
+        ledger = self._ledger(upto, done, touched)
+        if ledger is not None:
+            stands = ledger.join(last.select("__id"), F.col("doc_id") == F.col("__id"), "left_semi")
+            back = stands.groupBy(*kinds).agg((-F.sum("sign")).alias("sign")).where("sign != 0")
+            change = change.unionByName(back)
+        self._write(change, f"{self.root}/ledger/batch={batch}", f"{self.root}/deltas/batch={batch}", f"{self.root}/commits/batch={batch}")
         return True
 
+    def compact(self) -> int | None:
+        """Net rows of all committed batches, which take their place from now
+        on. Returns the last batch they hold (None: nothing to do)."""
+        upto, done = self._committed()
+        if not done:
+            return None
+        last = max(done)
+        whole = (self._ledger(upto, done, range(BUCKETS)).groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").alias("sign")).where("sign != 0"))
+        base = f"{self.root}/compacted/upto={last}"
+        self._write(whole, f"{base}/ledger", f"{base}/deltas", f"{base}/commit")
+        return last
+
+    def _write(self, rows: DataFrame, ledger: str, deltas: str, marker: str) -> None:
+        (rows.withColumn("bucket", _bucket("doc_id")).hint("rebalance", "bucket")
+         .write.mode("overwrite").partitionBy("bucket").parquet(ledger))
+        written = self.spark.read.schema(rows.schema).parquet(ledger)
+        delta = written.groupBy(*GROUP).agg(F.sum("sign").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
+        delta.write.mode("overwrite").parquet(deltas)
+        self.spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(marker)
+
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, docs, tokens; groups without documents are
         left out."""
-        done = self._committed()
-        if not done:
+        upto, done = self._committed()
+        folders = [f"{self.root}/deltas/batch={b}" for b in done]
+        folders += [f"{self.root}/compacted/upto={upto}/deltas"] * (upto >= 0)
+        if not folders:
             return self.spark.createDataFrame([], "source string, lang string, tokenizer string, docs long, tokens long")
-        deltas = self.spark.read.parquet(*(f"{self.root}/deltas/batch={b}" for b in done))
+        deltas = self.spark.read.parquet(*folders)
         return (deltas.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs != 0"))
 
-    def _ledger(self, done: list[int]) -> DataFrame:
-        return self.spark.read.parquet(*(f"{self.root}/ledger/batch={b}" for b in done))
-
-    def _committed(self) -> list[int]:
-        """Numbers of the batches whose marker is complete, by Spark's own file
-        system (the store may be remote)."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits/batch=*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return sorted(int(str(f.getPath().getParent().getName()).split("=")[1]) for f in found or [])
+    def _ledger(self, upto: int, done: list[int], buckets) -> DataFrame | None:
+        """Rows of these buckets; None where there are none."""
+        folders = [f"{self.root}/ledger/batch={b}" for b in done]
+        folders += [f"{self.root}/compacted/upto={upto}/ledger"] * (upto >= 0)
+        found = [f"{folder}/{name}" for folder in folders for name in self._names(folder) if name in {f"bucket={k}" for k in buckets}]
+        return self.spark.read.parquet(*found) if found else None
+
+    def _committed(self) -> tuple[int, list[int]]:
+        """The last compacted batch (-1: none) and the later batches whose marker
+        is complete, by Spark's own file system (the store may be remote)."""
+        done = self._marked("commits/batch=*/_SUCCESS", 1)
+        upto = max(self._marked("compacted/upto=*/commit/_SUCCESS", 2), default=-1)
+        return upto, [b for b in done if b > upto]
+
+    def _marked(self, pattern: str, up: int) -> list[int]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        folders = [f.getPath() for f in found]
+        for _ in range(up):
+            folders = [f.getParent() for f in folders]
+        return sorted(int(f.getName().split("=")[1]) for f in folders)
+
+    def _names(self, folder: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _bucket(name: str) -> F.Column:
+    return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
