@@ -16,10 +16,14 @@ string that cover the assistant's texts.
 Rows of a conversation meet only where its one formatted string is built; the
 joins spread over (conversation, message).
 
-Cases: null text or role is empty; null conversation id is one conversation;
-ties of turn are ordered by role, then text; repeated rows are turns of their
-own; an empty table gives no rows. A message whose parent is missing is a
-root. Columns beyond those named are not used.
+Cases: null text or role is empty; null conversation id is one conversation.
+Rows by turn (``chain``): ties of turn are ordered by role, then text; repeated
+rows are turns of their own. Trees (``paths``): a message is what its id names,
+so of rows that repeat an id the one with the least parent, role, text and score
+(nulls first) is taken; a message whose parent is missing is a root. Messages
+that no root-to-leaf path can hold are not in the result but in ``unplaced``, with
+the reason: those without an id, and those whose replies lead into a cycle. An
+empty table gives no rows. Columns beyond those named are not used.
 """
 
 from __future__ import annotations
@@ -61,36 +65,56 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id"))
 
 
-def jumps(spark: SparkSession, messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """(reaching, paths). reaching[k] holds the messages with an ancestor 2^k
-    steps up: conv_id, msg_id, up, and the number of messages (steps) and sum
-    of scores (total) from this one up to just below it. paths holds every
-    message with the steps and total of its whole path to the root. A message
-    leaves the rounds once its root is reached, so later rounds only carry the
-    deep ones."""
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """One row per conversation and message id."""
+    return (messages.where("msg_id is not null").groupBy("conv_id", "msg_id")
+            .agg(F.min(F.struct("parent_id", "role", "text", "score")).alias("m")).select("conv_id", "msg_id", "m.*"))
+
+
+def jumps(spark: SparkSession, messages: DataFrame) -> tuple[list[DataFrame], DataFrame, DataFrame]:
+    """(reaching, paths, cyclic) of messages with distinct ids. reaching[k] holds
+    the messages with an ancestor 2^k steps up: conv_id, msg_id, up, and the
+    number of messages (steps) and sum of scores (total) from this one up to
+    just below it. paths holds every message with the steps and total of its
+    whole path to the root. A message leaves the rounds once its root is
+    reached, so later rounds only carry the deep ones; one that is still on its
+    way after as many steps as its conversation has messages runs in a cycle."""
     known = messages.select("conv_id", F.col("msg_id").alias("parent_id"), F.lit(True).alias("known"))
     now = (messages.alias("a").join(known.alias("b"), _same("a", "b") & (F.col("a.parent_id") == F.col("b.parent_id")), "left")
            .select("a.conv_id", "a.msg_id", F.when(F.col("b.known"), F.col("a.parent_id")).alias("up"),
                    F.lit(1).cast("long").alias("steps"), F.coalesce("a.score", F.lit(0.0)).alias("total")))
     now = staged(spark, now, "reply-jumps")
+    longest = now.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     reaching, done = [], now.where("up is null")
-    while not now.where("up is not null").isEmpty():
+    while 1 << len(reaching) <= longest and not now.where("up is not null").isEmpty():
         reaching.append(now.where("up is not null"))
-        if len(reaching) > 62:
-            raise ValueError("the replies form a cycle")
         now = (reaching[-1].alias("a").join(reaching[-1].unionByName(done).alias("b"), _same("a", "b") & (F.col("a.up") == F.col("b.msg_id")))
                .select("a.conv_id", "a.msg_id", "b.up", (F.col("a.steps") + F.col("b.steps")).alias("steps"),
                        (F.col("a.total") + F.col("b.total")).alias("total")))
         now = staged(spark, now, "reply-jumps")
         done = done.unionByName(now.where("up is null"))
-    return reaching, done
+    return reaching, done, now.where("up is not null")
+
+
+def unplaced(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """The rows that are on no path: conv_id, msg_id, role, text and reason
+    (``no id`` or ``cycle``)."""
+    _, _, cyclic = jumps(spark, distinct_messages(messages))
+    bare = messages.where("msg_id is null").select("conv_id", "msg_id", "role", "text", F.lit("no id").alias("reason"))
+    looped = (messages.alias("m").join(cyclic.alias("c"), _same("m", "c") & (F.col("m.msg_id") == F.col("c.msg_id")), "left_semi")
+              .select("conv_id", "msg_id", "role", "text", F.lit("cycle").alias("reason")))
+    return bare.unionByName(looped)
 
 
-def paths(spark: SparkSession, messages: DataFrame, branches: int | None = None) -> DataFrame:
+def paths(spark: SparkSession, messages: DataFrame, branches: int | None = None, distinct: bool = False) -> DataFrame:
     """Messages (conv_id, msg_id, parent_id, role, text, score) -> the messages
     of each chosen path: conv_id, leaf_id, branch (1 is the best), depth (1 is
-    the root), role, text. branches: paths per conversation, all if None."""
-    reaching, whole = jumps(spark, messages)
+    the root), role, text. branches: paths per conversation, all if None.
+    distinct: the ids are known to be distinct and not null (as ``chain`` gives
+    them), so no exchange is needed to make them so."""
+    if not distinct:
+        messages = staged(spark, distinct_messages(messages), "reply-distinct")
+    reaching, whole, _ = jumps(spark, messages)
     parents = messages.select("conv_id", F.col("parent_id").alias("msg_id")).where("msg_id is not null").distinct()
     leaves = whole.alias("a").join(parents.alias("b"), _same("a", "b") & (F.col("a.msg_id") == F.col("b.msg_id")), "left_anti")
     rank = Window.partitionBy("conv_id").orderBy((F.col("total") / F.col("steps")).desc(), "msg_id")

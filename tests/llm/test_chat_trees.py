@@ -52,6 +52,22 @@ def test_rows_by_turn(spark):
     assert {c: v[0][1] for c, v in got.items()} == {1: [("system", "s"), ("user", "a"), ("user", "b"), ("user", "b")], 2: [("", "")], None: [("assistant", "</turn>")]}
 
 
+def test_repeated_bare_and_cyclic_messages(spark):
+    chat = [(1, k, k - 1 if k else None, "user", f"t{k}", 0.0) for k in range(3)]
+    rows = chat + [chat[0], chat[1], (1, 1, None, "z", "other", None)]  # repeats, and one that says otherwise
+    rows += [(2, None, None, "user", "bare", 0.0), (2, 4, None, "user", "root", 0.0), (2, None, 4, "user", "bare reply", 0.0)]
+    rows += [(3, 1, 2, "user", "a", 0.0), (3, 2, 1, "user", "b", 0.0), (3, 7, 2, "user", "hangs", 0.0), (3, 8, 8, "user", "self", 0.0), (3, 9, None, "user", "fine", 0.0)]
+    messages = spark.createDataFrame(rows, KIND).repartition(3)
+    # the row (1, 1) without a parent comes first, so t0 is a leaf and the rest hangs from it
+    assert written(spark, messages) == {1: [(0, [("user", "t0")]), (2, [("z", "other"), ("user", "t2")])], 2: [(4, [("user", "root")])], 3: [(9, [("user", "fine")])]}
+    left = C.unplaced(spark, messages).collect()
+    assert sorted((r.conv_id, r.msg_id or 0, r.text, r.reason) for r in left) == [
+        (2, 0, "bare", "no id"), (2, 0, "bare reply", "no id"), (3, 1, "a", "cycle"), (3, 2, "b", "cycle"), (3, 7, "hangs", "cycle"), (3, 8, "self", "cycle")]
+    repeated = spark.createDataFrame(chat + chat[:1], KIND)
+    assert written(spark, repeated) == {1: [(2, [("user", f"t{k}") for k in range(3)])]}
+    assert C.unplaced(spark, spark.createDataFrame([], KIND)).count() == 0
+
+
 def test_no_text_can_hold_a_control_string(spark):
     for text in ODD:
         df = spark.createDataFrame([(text or "",)], "t string")
