@@ -43,7 +43,6 @@ from . import words as W
 from .staging import staged
 
 WINDOW, PHRASE, SHARD = 50, 8, 4 << 20
-LAST = 2**63 - 1  # stands for a null id
 
 RUN = "array<struct<phrase:long,start:int,n:int,run:long,windows:array<long>>>"
 _RUN_TYPE = pa.list_(pa.struct([("phrase", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("run", pa.int64()),
@@ -171,14 +170,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(located, spans): located has one row per row of docs with its words and
     runs; spans (id, rid, start, n) are the windows that go."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = F.struct(F.col("doc_id").isNull().alias("bare"), F.col("doc_id").alias("id"))  # a null id comes last
+    rows = docs.select(own.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("rid"), "text")
-    named = staged(spark, rows.mapInArrow(_phrases, "phrase long, id long, rid long"), "phrases")
+    kind = rows.schema["id"].dataType.simpleString()
+    named = staged(spark, rows.mapInArrow(_phrases, f"phrase long, id {kind}, rid long"), "phrases")
     recurring = named.groupBy("phrase").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x != y").select("phrase")
     recurring = staged(spark, recurring, "recurring")
     wanted = named.join(recurring, "phrase").groupBy("id", "rid").agg(F.collect_set("phrase").alias("phrases"))
     located = staged(spark, rows.join(wanted, ["id", "rid"], "left").select("id", "rid", "text", "phrases")
-                     .mapInArrow(_locate, f"id long, rid long, n_words long, kept_sha256 string, text string, runs {RUN}"), "located")
+                     .mapInArrow(_locate, f"id {kind}, rid long, n_words long, kept_sha256 string, text string, runs {RUN}"), "located")
 
     runs = located.select("id", "rid", F.explode("runs").alias("r"))
     narrow = runs.select("id", "rid", F.col("r.phrase").alias("phrase"), F.col("r.run").alias("run"), F.col("r.start").alias("start"), F.col("r.n").alias("n"))
@@ -201,8 +202,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     kept_text (null where nothing can have been removed)."""
     located, spans = repeated_spans(spark, docs)
     gone = spans.groupBy("id", "rid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    kind = located.schema["id"].dataType.simpleString()
     cut = (located.where("text is not null").select("id", "rid", "n_words", "text").join(gone, ["id", "rid"], "left")
            .select("id", "n_words", "text", "spans")
-           .mapInArrow(_cut, "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
+           .mapInArrow(_cut, f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string"))
     same = located.where("text is null").select("id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
-    return same.unionByName(cut).select(F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text")
+    return same.unionByName(cut).select(F.col("id.id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text")

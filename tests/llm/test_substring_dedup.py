@@ -9,7 +9,7 @@ from aerostar.llm import substring_dedup as S
 
 
 def expected(data):
-    docs = [(S.LAST if r.doc_id is None else r.doc_id, (r.text or "").encode().split(), r.doc_id) for r in data]
+    docs = [((r.doc_id is None, r.doc_id or 0), (r.text or "").encode().split(), r.doc_id) for r in data]
     first = {}
     for i, w, _ in docs:
         for s in range(len(w) - 49):
@@ -46,5 +46,16 @@ def test_shared_passages_at_odd_places(spark, make):
     assert got(spark, docs) == expected(docs.collect())
 
 
+def test_ids_of_any_kind(spark):
+    """The largest long is an id as any other, a null one comes after it; ids
+    may be texts."""
+    rng = random.Random(8)
+    passage = prose(rng, 60)
+    for ids, kind in (([2**63 - 1, None, 5], "long"), (["b", None, "a"], "string")):
+        docs = spark.createDataFrame([(i, f"{prose(rng, 3)} {passage}") for i in ids], f"doc_id {kind}, text string")
+        out = {r.doc_id: r.n_removed for r in S.remove_repeats(spark, docs).collect()}
+        assert out == {ids[0]: 60, None: 60, ids[2]: 0}
+
+
 def test_empty_table(spark, empty):
     assert S.remove_repeats(spark, empty).count() == 0
