@@ -48,11 +48,17 @@ def sha256(text: Column) -> Column:
 
 
 def located(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """docs with __file and __row, which name a row of the source's files."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:
-        return located(spark, staged(spark, docs, "dedup-input"))
+    """Rows of docs as one column (``given``, a struct) with __file and __row,
+    which name a row of the source's files. No name in docs can clash with them.
+    Where docs has no files, or a column hides their metadata, it is staged."""
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    if "_metadata" not in (c.lower() for c in docs.columns):
+        try:
+            return docs.select(given, *place)
+        except AnalysisException:  # no files below
+            pass
+    return staged(spark, docs.select(given), "dedup-input").select("given", *place)
 
 
 def fold(spark: SparkSession, prints: DataFrame, state: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -92,11 +98,11 @@ def _stay_type(prints: DataFrame) -> str:
 
 def groups(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Column] = sha256,
            files_per_batch: int = FILES_PER_BATCH) -> tuple[DataFrame, DataFrame]:
-    """(rows, verdicts). rows: docs with locators. verdicts, one per row:
+    """(rows, verdicts). rows: docs with locators (``located``). verdicts, one per row:
     __file, __row, __id, __digest, n (rows of equal text), stay."""
     rows = located(spark, docs)
-    text = F.coalesce("text", F.lit(""))
-    prints = staged(spark, rows.select(digest(text).alias("__digest"), F.col("doc_id").alias("__id"), "__file", "__row"), "fingerprints")
+    text = F.coalesce("given.text", F.lit(""))
+    prints = staged(spark, rows.select(digest(text).alias("__digest"), F.col("given.doc_id").alias("__id"), "__file", "__row"), "fingerprints")
     state = staged(spark, fold(spark, prints, stage_dir(spark, "llm-dedup-state"), files_per_batch), "dedup-groups")
     several = staged(spark, state.where("n > 1"), "dedup-hits")
 
@@ -150,4 +156,4 @@ def distinct_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with the columns of docs."""
     rows, verdicts = groups(spark, docs)
     gone = verdicts.where(~_stays()).select("__file", "__row")
-    return rows.join(gone, ["__file", "__row"], "left_anti").select(*docs.columns)
+    return rows.join(gone, ["__file", "__row"], "left_anti").select("given.*")

@@ -186,11 +186,11 @@ def distinct_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     and all rows without shingles, with the columns of docs."""
     rows = located(spark, docs)
     keys = ["doc_id", "__file", "__row"]
-    placed, _ = _placed(spark, rows, keys)
+    placed, _ = _placed(spark, rows.select(F.col("given.doc_id").alias("doc_id"), F.col("given.text").alias("text"), "__file", "__row"), keys)
     stays = staged(spark, placed.groupBy("root").agg(F.min(F.struct(*keys)).alias("stay")), "minhash-stay")
     gone = (placed.join(stays, "root").where((F.col("stay.__file") != F.col("__file")) | (F.col("stay.__row") != F.col("__row")))
             .select("__file", "__row"))
-    return rows.join(gone, ["__file", "__row"], "left_anti").select(*docs.columns)
+    return rows.join(gone, ["__file", "__row"], "left_anti").select("given.*")
 
 
 def _placed(spark: SparkSession, docs: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

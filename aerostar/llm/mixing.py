@@ -81,7 +81,9 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, tilts=TILTS, budg
     passes (pass, position and taken words of each pass that takes some; at
     most cap of them, rounded up), in no order; ``schedule`` sorts them. Taken
     never exceeds cap * size."""
-    rows = docs.drop(*OUTPUT).withColumn("size", size_of(F.col("text")))
+    others = [c for c in docs.columns if c.lower() not in OUTPUT]
+    given = F.struct(*[F.col(f"`{c}`") for c in others]).alias("given")  # no name in docs can clash with those below
+    rows = docs.select(given, "doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("__tie"))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     buckets = (rows.select("source", "size", F.substring(key, 1, 3).alias("__bucket"))
                .groupBy("source", "__bucket").agg(F.sum("size").alias("__words")))
@@ -93,7 +95,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, tilts=TILTS, budg
     plan = (offsets.join(plan.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
             .select(F.col("source").alias("__s"), F.col("__bucket").alias("__b"), "__start", "source_size", "target", "tilt"))
 
-    inside = (Window.partitionBy("source", "__bucket").orderBy("__key", "doc_id", F.xxhash64("text"))
+    inside = (Window.partitionBy("source", "__bucket").orderBy("__key", "doc_id", "__tie")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (rows.withColumn("__key", key).withColumn("__bucket", F.substring("__key", 1, 3))
               .withColumn("__before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -118,7 +120,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, tilts=TILTS, budg
     return (placed.withColumn("taken", taken)
             .withColumn("position", F.when(F.col("taken") > 0, position(F.lit(0))))
             .withColumn("passes", every)
-            .drop("__key", "__bucket", "__before", "__s", "__b", "__start", "tilt"))
+            .select("given.*", *OUTPUT[:-1]))
 
 
 def curriculum(mixed: DataFrame) -> DataFrame:
@@ -130,6 +132,5 @@ def curriculum(mixed: DataFrame) -> DataFrame:
 def schedule(mixed: DataFrame) -> DataFrame:
     """The mix: one row per document and pass that takes words, with the pass,
     its position and the words it takes, range-sorted by position."""
-    return (mixed.withColumn("__pass", F.explode("passes"))
-            .withColumns({c: F.col(f"__pass.{c}") for c in ("pass", "position", "taken")})
-            .drop("__pass", "passes").orderBy("position", "doc_id", "pass"))
+    others = [F.col(f"`{c}`") for c in mixed.columns if c not in ("pass", "position", "taken", "passes")]
+    return mixed.select(*others, F.inline("passes")).orderBy("position", "doc_id", "pass")

@@ -8,15 +8,14 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from conftest_llm import prose  # noqa: E402
 
-KIND = "doc_id long, text string, lang string, source string, n_chars long, size string, target string, node string, taken string"
-
-
-
-
+#: Beside the columns of documents, names that operators give to their results
+#: or might give to helpers.
+CLASHES = "size target node taken __file __row _metadata tilt __s __b __start __bucket __key __pass given passes id rid runs".split()
+KIND = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES)
 
 
 def rows(texts, first=0):
-    return [(first + k, t, ["en", None, "de"][k % 3], ["b", "a", None, "c"][k % 4], len(t or ""), "x", "y", "z", None) for k, t in enumerate(texts)]
+    return [(first + k, t, ["en", None, "de"][k % 3], ["b", "a", None, "c"][k % 4], len(t or ""), *("x" for _ in CLASHES)) for k, t in enumerate(texts)]
 
 
 @pytest.fixture(scope="session")
@@ -29,7 +28,7 @@ def messy(spark):
     texts = [None, "", "   ", "one", "one two three", "One Two three", *base, base[0], base[0], *near, base[1] + " " + base[2],
              prose(rng, 30_000), "tab\tand\nnewline\x0b end", "é ü ñ ß é ü ñ ß", None]
     data = rows(texts)
-    data += [data[6], data[6], (None, base[3], None, None, None, None, None, None, None), (3, prose(rng, 12), "en", "a", 1, None, None, None, None)]
+    data += [data[6], data[6], (None, base[3], None, None, None, *(None for _ in CLASHES)), (3, prose(rng, 12), "en", "a", 1, *(None for _ in CLASHES))]
     return spark.createDataFrame(data, KIND).repartition(3)
 
 

@@ -45,7 +45,7 @@ def test_empty_table(spark, empty):
 
 def test_state_goes_on_over_batches(spark, messy, scratch):
     rows = E.located(spark, messy)
-    prints = rows.select(E.sha256(F.coalesce("text", F.lit(""))).alias("__digest"), F.col("doc_id").alias("__id"), "__file", "__row").repartition(4)
+    prints = rows.select(E.sha256(F.coalesce("given.text", F.lit(""))).alias("__digest"), F.col("given.doc_id").alias("__id"), "__file", "__row").repartition(4)
     from aerostar.llm.staging import staged
     prints = staged(spark, prints, "test-prints")
     state = E.fold(spark, prints, f"{scratch}/state", files_per_batch=1)
