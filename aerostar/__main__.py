@@ -18,7 +18,7 @@ import logging
 
 from aerostar.plans.etl_runs import run_explore, run_flight, run_hotel, run_scrape
 from aerostar.plans.flight import CRITICAL
-from aerostar.plans.loads import load_flight
+from aerostar.plans.loads import load_flight, load_hotels
 from aerostar.schemas import LEGS
 from aerostar.session import get_spark, stage_dir
 from aerostar.sources import quarantine_csv, read_legs, read_quarantine
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> dict:
     h = sub.add_parser("hotel", help="ingest landed lookup pages, build the hotel tables")
     h.add_argument("--landing", required=True, help="folder of landed JSON-lines lookup responses")
     h.add_argument("--out", required=True, help="output folder; keeps the ingest checkpoint between runs")
+    h.add_argument("--add", action="store_true", help="add what is new to a release of the tables instead of rebuilding them")
     s = sub.add_parser("scrape", help="saved search pages to flight rows")
     s.add_argument("--pages", required=True, help="Parquet with page_id and html columns")
     s.add_argument("--out", required=True, help="output folder")
@@ -68,7 +69,7 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "explore":
         result = run_explore(spark, read_legs(spark, args.legs), args.out)
     elif args.job == "hotel":
-        result = run_hotel(spark, args.landing, args.out)
+        result = {"version": load_hotels(spark, args.landing, args.out)} if args.add else run_hotel(spark, args.landing, args.out)
     else:
         result = {"flights": run_scrape(spark, spark.read.parquet(args.pages), args.out, args.year)}
     print(json.dumps(result, indent=1))

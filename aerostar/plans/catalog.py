@@ -22,7 +22,7 @@ from aerostar.operators import (
 )
 from aerostar.plans import fixtures, flight, hotel, oracle as O, scrape
 from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, run_explore, run_flight, run_hotel, run_scrape
-from aerostar.plans.loads import load_flight
+from aerostar.plans.loads import load_flight, load_hotels
 from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, LEG_COLUMNS_WIDE, LEGS, SCRAPED_COLUMNS
 from aerostar.session import apply_settings, run_concurrently, stage_dir
 from aerostar.sinks import (
@@ -1018,6 +1018,27 @@ def flight_two_loads(spark, sf):
                         "destinationAirportKey", "destinationAirport")
 
 
+_KEPT = """(SELECT * REPLACE (lower("Country Name") AS "Country Name"), CASE WHEN page % 4 = 0 THEN 1 ELSE 2 END AS load FROM hotels
+  WHERE "Hotel ID" IS NOT NULL AND "Label" IS NOT NULL AND "Location Name" IS NOT NULL AND "Country Name" <> ''
+    AND "Latitude" IS NOT NULL AND "Longitude" IS NOT NULL)"""
+
+
+@query("hotel_two_loads", H(f"""
+SELECT DISTINCT h."Hotel ID", h."Hotels Count", h."Location ID", c."Country ID", c."Country Name" FROM {_KEPT} h JOIN
+  (SELECT "Country Name", row_number() OVER (ORDER BY min(load), "Country Name") - 1 AS "Country ID" FROM {_KEPT} GROUP BY "Country Name") c
+  USING ("Country Name")"""))
+def hotel_two_loads(spark, sf):
+    """C18 on a schedule: some pages land and are loaded, then all of them; country
+    keys given by the first load stay, and each stay is there once."""
+    root, pages = stage_dir(spark, "hotel-loads"), fixtures.hotel_pages(spark, sf)
+    for name, some in (("batch-1", pages.where("page % 4 = 0")), ("batch-2", pages)):
+        land_pages(some, f"{root}/landing", name)
+        load_hotels(spark, f"{root}/landing", root)
+    release = Release(spark, f"{root}/release")
+    stays, countries = release.read("fact_hotel_stay"), release.read("dim_country")
+    return stays.join(countries, "Country ID").select("Hotel ID", "Hotels Count", "Location ID", "Country ID", "Country Name")
+
+
 @query("publish_versions", S("""
 SELECT CAST(v AS INTEGER) AS version, 'flights' AS table_name, strftime(flightDate, '%Y%m%d') AS dateKey, count(*) AS rows
 FROM clean, range(1, 3) t(v) WHERE v = 1 OR NOT (year(flightDate) = 1995 AND day(flightDate) % 2 = 1) GROUP BY ALL

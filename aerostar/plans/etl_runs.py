@@ -16,14 +16,13 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from aerostar.operators import blank_to_null
 from aerostar.plans.flight import clean_legs, dim_airline, dim_airport, dim_date, fact_flight
 from aerostar.plans.hotel import (
     clean_hotels, dim_country, dim_hotel, dim_location, fact_hotel_stay,
 )
-from aerostar.schemas import HOTEL_COLUMNS, HOTELS
+from aerostar.schemas import HOTEL_COLUMNS, TEXT_COLUMNS
 from aerostar.session import run_concurrently
 from aerostar.sinks import publish, write_csv, write_single_csv
 from aerostar.streaming import ingest_pages, rejects_of
@@ -34,7 +33,6 @@ FACT_DIMS = ["flightKey", "isBasicEconomy", "isRefundable", "isNonStop", "totalF
              "startingAirportKey", "destinationAirportKey"]
 log = logging.getLogger("aerostar")
 
-TEXT_COLUMNS = [f.name for f in HOTELS.fields if isinstance(f.dataType, StringType)]
 DATE_DIMS = ["dateKey", "date", "year", "month", "dayOfMonth", "dayOfWeek", "quarter"]
 
 

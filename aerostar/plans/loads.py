@@ -10,7 +10,12 @@ such a file and commits, as one version of a release:
   every fact row published before still names its members;
 - new dates, and the new fact rows, whose flight keys go on from the last one.
 
-A load that fails commits nothing and is run again."""
+A load that fails commits nothing and is run again.
+
+``load_hotels`` does the same for hotels: the documents that landed since the last
+load are ingested, and of their countries, locations, hotels and stays those are
+added that are not there yet. The tables lie in buckets by location, so only the
+buckets of the new rows are read."""
 
 from __future__ import annotations
 
@@ -19,13 +24,15 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostar.operators import dedupe, dense_key, drop_null, extend_keys, new_members, project, union_distinct
+from aerostar.operators import blank_to_null, dedupe, dense_key, drop_null, extend_keys, new_members, project, union_distinct
 from aerostar.plans.flight import CLEAN_COLUMNS, CRITICAL, cleaned, date_parts, fact_flight
+from aerostar.plans.hotel import clean_hotels, dim_hotel, dim_location, fact_hotel_stay
 from aerostar.functions import date_key
-from aerostar.schemas import LEG_COLUMNS
+from aerostar.schemas import HOTEL_COLUMNS, LEG_COLUMNS, TEXT_COLUMNS
 from aerostar.session import run_concurrently, stage_dir
 from aerostar.sinks import Change, Release, publish_frame
 from aerostar.sinks.publish import SEGMENT
+from aerostar.streaming import BATCH, ingest_pages
 
 log = logging.getLogger("aerostar")
 
@@ -99,3 +106,42 @@ def load_flight(spark: SparkSession, legs: DataFrame, root: str) -> int:
     }, state, base)
     log.info("load: %d new legs in version %d of %s", n, version, root)
     return version
+
+
+#: Buckets of the hotel tables, by location.
+BUCKETS = 32
+
+
+def load_hotels(spark: SparkSession, landing: str, root: str) -> int:
+    """Ingest what landed since the last load and add it to the hotel tables of
+    the release below ``root``; returns its version. What a failed load ingested
+    the next one still finds."""
+    root = root.rstrip("/")
+    ingested = f"{root}/stage/hotel_rows"
+    ingest_pages(spark, landing, ingested, f"{root}/stage/_ingest_checkpoint")
+    release = Release(spark, f"{root}/release")
+    base = release.version()
+    state = release.state(base)
+    landed = spark.read.parquet(ingested).where(F.col(BATCH) > state.get("batch", -1))  # only the new batches' folders
+    newest = landed.agg(F.max(BATCH)).first()[0]
+    if newest is None:
+        return base
+    path = stage_dir(spark, "new-hotels")
+    # As in run_hotel, empty text becomes null before the null filter.
+    clean_hotels(blank_to_null(landed.select(*HOTEL_COLUMNS), TEXT_COLUMNS)).write.parquet(path)
+    hotels = spark.read.parquet(path)
+
+    known = release.read("dim_country", base) if release.has("dim_country", base) else None
+    names = hotels.select("Country Name")
+    new_countries = extend_keys(names, known, ["Country Name"], "Country ID", state.get("country", -1))
+    countries = new_countries if known is None else known.select(new_countries.columns).unionByName(new_countries)
+    changes = {"dim_country": Change(new_countries.withColumn(SEGMENT, F.lit("all")))}
+    for name, rows in (("dim_location", dim_location(hotels)), ("dim_hotel", dim_hotel(hotels, countries)),
+                       ("fact_hotel_stay", fact_hotel_stay(hotels, countries))):
+        bucket = F.format_string("b%02d", F.pmod(F.xxhash64("Location ID"), F.lit(BUCKETS)))
+        if release.has(name, base):
+            touched = [r[0] for r in rows.select(bucket).distinct().collect()]  # at most BUCKETS
+            rows = new_members(rows, release.read(name, base, segments=touched), rows.columns)
+        changes[name] = Change(rows.withColumn(SEGMENT, bucket).hint("rebalance", SEGMENT))
+    last = new_countries.agg(F.coalesce(F.max("Country ID"), F.lit(-1))).first()[0]
+    return release.publish(changes, {"batch": newest, "country": max(last, state.get("country", -1))}, base)

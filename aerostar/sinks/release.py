@@ -81,15 +81,18 @@ class Release:
     def state(self, version: int | None = None) -> dict:
         return self.manifest(version)["state"]
 
-    def read(self, table: str, version: int | None = None, first: str | None = None, last: str | None = None) -> DataFrame:
+    def read(self, table: str, version: int | None = None, first: str | None = None, last: str | None = None,
+             segments: Sequence[str] | None = None) -> DataFrame:
         """The rows of a version, without the segment column; with ``first`` and
-        ``last`` only the segments in between are read."""
+        ``last`` only the segments in between are read, with ``segments`` only
+        those."""
         held = self.manifest(version)["tables"].get(table)
         if held is None:
             raise KeyError(f"no table {table!r} in version {self.version() if version is None else version} of {self.root}")
         schema = StructType.fromJson(held["schema"])
         folders = [f for s, f in held["live"]
-                   if (first is None or s >= first) and (last is None or s <= last) and (s != NO_SEGMENT or first is last is None)]
+                   if (first is None or s >= first) and (last is None or s <= last) and (s != NO_SEGMENT or first is last is None)
+                   and (segments is None or s in segments)]
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])

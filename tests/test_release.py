@@ -3,8 +3,13 @@ from pyspark.sql import functions as F
 
 from aerostar.operators import extend_keys, new_members
 from aerostar.plans import fixtures
-from aerostar.plans.loads import load_flight
+from aerostar.plans import hotel
+from aerostar.plans.loads import load_flight, load_hotels
+from aerostar.operators import blank_to_null
+from aerostar.schemas import HOTEL_COLUMNS, TEXT_COLUMNS
 from aerostar.sinks import Change, Conflict, Release, publish_frame
+from aerostar.sources import flatten_hotel_pages, parse_hotel_pages
+from aerostar.streaming import land_pages
 from small_tables import SF_SMALL
 
 
@@ -111,3 +116,21 @@ def test_a_load_without_usable_rows(spark, scratch):
     r = Release(spark, f"{scratch}/star")
     assert r.read("fact_flight").count() == 0
     assert load_flight(spark, none, f"{scratch}/star") == 1
+
+
+def test_hotel_loads_equal_the_rebuild_after_every_batch(spark, scratch):
+    pages = fixtures.hotel_pages(spark, SF_SMALL)
+    r, landed, keys = Release(spark, f"{scratch}/out/release"), None, {}
+    for number, some in enumerate((pages.where("page % 3 = 0"), pages.where("page % 3 < 2"), pages, pages.limit(0))):
+        land_pages(some, f"{scratch}/landing", f"b{number}")
+        landed = some if landed is None else landed.unionByName(some)
+        load_hotels(spark, f"{scratch}/landing", f"{scratch}/out")
+        rows = hotel.clean_hotels(blank_to_null(flatten_hotel_pages(parse_hotel_pages(landed)).select(*HOTEL_COLUMNS), TEXT_COLUMNS))
+        countries = r.read("dim_country")
+        given = {x["Country Name"]: x["Country ID"] for x in countries.collect()}
+        assert all(given[k] == v for k, v in keys.items()) and sorted(given.values()) == list(range(len(given)))
+        keys = given
+        for name, want in (("dim_location", hotel.dim_location(rows)), ("dim_hotel", hotel.dim_hotel(rows, countries)),
+                           ("fact_hotel_stay", hotel.fact_hotel_stay(rows, countries))):
+            assert sorted(map(tuple, r.read(name).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr), (number, name)
+    assert keys
