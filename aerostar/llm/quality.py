@@ -19,16 +19,19 @@ training. Terms are mined, and vote, within a language. A feature needs
 ``FEATURE_LEAST`` documents, whatever the size of the sample. Samples are taken
 by hash, so reruns agree. Votes, pattern counts and scores cover every document.
 
+Toxicity is learnt from the labels and the terms mined with them. A caller's list
+of toxic words (``words``) is a labeller of its own; none is built in.
+
 Cases: null or empty text scores as a document without features (the bias and
 the share of such texts decide); null ids take part; without any labels no
-terms are mined and the other labellers decide; repeated rows come back
+terms are mined and the other labellers decide (on toxicity only a given list); repeated rows come back
 repeated; empty table: no rows. ``accept`` returns the input's own columns,
 whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +51,7 @@ BATCH, THRESHOLD = 256, 0.5
 GOOD, JUNK, TOXIC = 1, 2, 3  # votes, and classes from 0; 0 abstains
 CLASSES = VOTES = 3
 
-#: Insults that an English reader marks as toxic.
-INSULTS = ("idiot", "stupid", "moron", "loser", "worthless", "pathetic", "disgusting", "trash", "scum", "clown")
-
-LABELLERS = ("shouting", "capitals", "table", "symbols", "few distinct words", "stuttering", "insults", "mined terms", "prose", "labels")
+LABELLERS = ("shouting", "capitals", "table", "symbols", "few distinct words", "stuttering", "word list", "mined terms", "prose", "labels")
 #: What estimation starts from: each labeller's accuracy, the classes' shares.
 FIRST_ACCURACY, FIRST_SHARES = 0.9, (0.8, 0.1, 0.1)
 #: Human labels are a fixed point; all labellers are better than chance by a factor.
@@ -109,8 +109,10 @@ def terms(w: W.Words) -> list[np.ndarray]:
     return [W.mix(h ^ seed) for h, seed in zip(W.spans(w.data, w.starts, ends, lower=True), _KIND)]
 
 
-def _insults() -> np.ndarray:
-    return terms(W.split(np.frombuffer(" ".join(INSULTS).encode(), np.uint8), np.array([0, len(" ".join(INSULTS))])))[0]
+def listed(words: Sequence[str]) -> np.ndarray:
+    """Terms of a caller's list of toxic words."""
+    text = " ".join(words).encode()
+    return terms(W.split(np.frombuffer(text, np.uint8), np.array([0, len(text)])))[0] if text else np.zeros(0, np.uint64)
 
 
 def spoken(terms: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -118,7 +120,7 @@ def spoken(terms: np.ndarray, lang: np.ndarray) -> np.ndarray:
     return W.mix(terms ^ _TONGUE[lang])
 
 
-def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray], lang: np.ndarray) -> np.ndarray:
+def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray], lang: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """(documents, labellers but the last): the votes of the heuristics."""
     s, n = shares(w), np.diff(w.docs)
     bad = lambda x, vote=JUNK: np.where(x, vote, 0)
@@ -127,7 +129,7 @@ def votes(w: W.Words, mined: np.ndarray, named: list[np.ndarray], lang: np.ndarr
     prose = (n > 0) & ~junk & (s["distinct"] > .4) & (s["stutter"] < .1) & (s["length"] > 2) & (s["length"] < 14)
     return np.stack([
         bad(s["shouting"] > .15), bad(s["capitals"] > .4), bad(s["table"] > .15), bad(s["symbols"] > .15),
-        bad((s["distinct"] < .35) & (n >= 30)), bad(s["stutter"] > .3), bad(has(_insults(), named[:1]), TOXIC),
+        bad((s["distinct"] < .35) & (n >= 30)), bad(s["stutter"] > .3), bad(has(toxic, named[:1]), TOXIC) if len(toxic) else np.zeros(len(n), int),
         bad(has(mined, [spoken(t, np.repeat(lang, n)) for t in named]), TOXIC) if len(mined) else np.zeros(len(n), int), np.where(prose, GOOD, 0),
     ], axis=1)
 
@@ -343,8 +345,10 @@ def _prepared(labels: DataFrame) -> DataFrame:
             .agg(F.when(toxic, TOXIC).when(junk, JUNK).otherwise(GOOD).alias("vote"), F.coalesce(F.max("toxic"), F.lit(0)).alias("bad_words")))
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Scorer, np.ndarray]:
-    """(scorer, accuracies of LABELLERS)."""
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, words: Sequence[str] = ()) -> tuple[Scorer, np.ndarray]:
+    """(scorer, accuracies of LABELLERS). words: what the labeller "word list"
+    takes for toxic; without any it is silent."""
+    toxic = listed(words)
     known = staged(spark, _prepared(labels), "quality-labels")
     mined = mine(docs, known)
     last = 4 ** (len(LABELLERS) - 1)
@@ -354,7 +358,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[Scorer
             lang = batch["lang"].to_numpy(zero_copy_only=False)
             for i, j, w in W.batches(batch["text"]):
                 yield pa.record_batch([batch["doc_id"].slice(i, j - i), batch["key"].slice(i, j - i), batch["lang"].slice(i, j - i),
-                                       pa.array(code(votes(w, mined, terms(w), lang[i:j])))], names=["doc_id", "key", "lang", "pattern"])
+                                       pa.array(code(votes(w, mined, terms(w), lang[i:j], toxic)))], names=["doc_id", "key", "lang", "pattern"])
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -422,9 +426,9 @@ def _by_doc(doc: np.ndarray, found: np.ndarray, n: int) -> list[np.ndarray]:
     return [np.unique(found[order[a:b]]) for a, b in zip(cuts, cuts[1:])]
 
 
-def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, words: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: doc_id, score (probability of good), accepted."""
-    scorer, _ = fit(spark, docs, labels)
+    scorer, _ = fit(spark, docs, labels, words)
     shared = spark.sparkContext.broadcast((scorer.keys, scorer.weights, scorer.bias))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,9 +442,9 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.withColumn("accepted", F.col("score") >= THRESHOLD)
 
 
-def accept(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+def accept(spark: SparkSession, docs: DataFrame, labels: DataFrame, words: Sequence[str] = ()) -> DataFrame:
     """The rows of docs that the scorer accepts, with all their columns."""
-    scorer, _ = fit(spark, docs, labels)
+    scorer, _ = fit(spark, docs, labels, words)
     shared = spark.sparkContext.broadcast((scorer.keys, scorer.weights, scorer.bias))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

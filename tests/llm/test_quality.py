@@ -71,7 +71,7 @@ def test_estimate_recovers_accuracies_and_shares():
     fits, vote = Q._vindicates(), np.zeros((len(kind), len(Q.LABELLERS)), int)
     right = np.full(len(Q.LABELLERS), 0.95)
     for j, name in enumerate(Q.LABELLERS):
-        claim = Q.GOOD if name == "prose" else Q.TOXIC if name in ("insults", "mined terms") else Q.JUNK
+        claim = Q.GOOD if name == "prose" else Q.TOXIC if name in ("word list", "mined terms") else Q.JUNK
         true = fits[kind, j, claim] > 0
         vote[:, j] = np.where(rng.random(len(kind)) < np.where(true, 0.8, 0.002), claim, 0)
         right[j] = (true & (vote[:, j] > 0)).sum() / (vote[:, j] > 0).sum()
