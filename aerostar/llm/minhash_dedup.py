@@ -44,7 +44,7 @@ from .components import components
 from .exact_dedup import located
 from .staging import staged
 
-SHINGLE, COLLECTIONS, WIDTH, BLOCK = 5, 14, 2, 512
+SHINGLE, COLLECTIONS, WIDTH, BLOCK = 5, 18, 3, 512
 PERCENT = 75
 
 _SEEDS = W.stream(3, 2 * COLLECTIONS * WIDTH)
