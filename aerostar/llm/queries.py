@@ -139,7 +139,7 @@ def _token_batches(spark: SparkSession, sf_dir: str, tokenizers: dict) -> DataFr
     docs = table(spark, sf_dir, "documents")
     counts = staged(spark, token_counts.counted(docs, tokenizers), "token-counts")
     changed = docs.where("lang = 'de'").withColumn("text", F.concat_ws(" ", "text", "text"))
-    again = token_counts.counted(changed, tokenizers)
+    again = staged(spark, token_counts.counted(changed, tokenizers), "token-again")
     store = token_counts.Rollup(spark, stage_dir(spark, "llm-rollup"))
     sent = lambda op, seq, rows: rows.select(F.lit(op).alias("op"), F.lit(seq).cast("long").alias("seq"), "*")
     store.commit(0, sent("insert", 0, counts))
