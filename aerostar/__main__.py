@@ -33,8 +33,8 @@ def main(argv: list[str] | None = None) -> dict:
     f.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
     f.add_argument("--out", required=True, help="output folder (stage/, warehouse/, published/)")
     f.add_argument("--no-publish", action="store_true", help="transform only, skip the day-partitioned publish")
-    f.add_argument("--key", choices=["dense", "monotonic"], default="dense",
-                   help="flight key: repeatable 1..n (dense) or gapped and free (monotonic)")
+    f.add_argument("--key", choices=["dense", "hashed", "monotonic"], default="dense",
+                   help="flight key: repeatable 1..n (dense), 1..n without a range pass (hashed) or gapped and free (monotonic)")
     f.add_argument("--single-files", action="store_true", help="write each dimension as one named CSV file")
     d = sub.add_parser("load", help="add a file's new legs to a release of the star; keys given before stay")
     d.add_argument("--legs", required=True, help="legs CSV path or glob (header row)")
@@ -65,7 +65,8 @@ def main(argv: list[str] | None = None) -> dict:
         landed = stage_dir(spark, "landed")
         counts = quarantine_csv(spark, args.legs, LEGS, landed, CRITICAL)
         legs = read_quarantine(spark, landed, LEGS, LOADED).select(*LEGS.fieldNames())
-        result = {"version": load_flight(spark, legs, args.out), "landed": landed, **counts}
+        result = {"version": load_flight(spark, legs, args.out), "landed": landed, "landed_rows": counts["landed"],
+                  "loaded": counts["loaded"], "rejected": counts["rejected"]}
     elif args.job == "explore":
         result = run_explore(spark, read_legs(spark, args.legs), args.out)
     elif args.job == "hotel":

@@ -58,15 +58,43 @@ def ranged_rows(df: DataFrame, order: Sequence[str | Column] | None) -> DataFram
               .drop(_TIE))
 
 
+def placed_rows(df: DataFrame, order: Sequence[str | Column] | None, hashed: Sequence[str] | None = None) -> DataFrame:
+    """Rows in the partitions they are in, sorted there by ``order`` and tagged:
+    no exchange. ``hashed``: the columns by whose hash an exchange below has
+    dealt them out; rows are sorted by that number first, so that the order over
+    all partitions is the same however AQE merges neighbouring ones."""
+    order = list(order) if order else list(df.columns)
+    ordering = [_ordered(c) for c in order]
+    if hashed is not None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ordering.insert(0, F.pmod(F.hash(*[F.col(f"`{c}`") for c in hashed]), F.lit(n)).asc())
+    return df.sortWithinPartitions(*ordering).withColumn(_MID, F.monotonically_increasing_id())
+
+
 def dense_key(df: DataFrame, order: Sequence[str | Column] | None, name: str,
               start: int = 1, *, key_type: str = "long") -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order`` (ascending, nulls
     first, like ``Window.orderBy``). ``order=None`` orders by every column, so
     the key is repeatable where the original used an arbitrary order."""
-    spark = df.sparkSession
-    cols = df.columns
+    return _numbered(ranged_rows(df, order), name, start, key_type)
+
+
+def hashed_key(df: DataFrame, order: Sequence[str | Column] | None, name: str, hashed: Sequence[str], start: int = 1) -> DataFrame:
+    """Add ``name`` = start, start+1, ... in the order (hash bucket, ``order``),
+    for rows that an aggregate over ``hashed`` (a dedupe) has just dealt to the
+    buckets. Its exchange serves both: no sampling job, no range exchange. The
+    keys are dense, and the same again for the same rows and number of shuffle
+    partitions; they do not follow the natural order."""
+    return _numbered(placed_rows(df, order, hashed), name, start, "long")
+
+
+def _numbered(tagged: DataFrame, name: str, start: int, key_type: str) -> DataFrame:
+    """Pass 2: stage the tagged rows, turn the counts of their partitions into
+    offsets, and add them."""
+    spark = tagged.sparkSession
+    cols = [c for c in tagged.columns if c != _MID]
     path = stage_dir(spark, "dense-key")
-    ranged_rows(df, order).write.mode("errorifexists").parquet(path)
+    tagged.write.mode("errorifexists").parquet(path)
     staged = spark.read.parquet(path)
 
     pid = F.shiftright(F.col(_MID), ROW_BITS)

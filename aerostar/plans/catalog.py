@@ -16,9 +16,9 @@ from aerostar.functions import (
     text_flag, text_hours, to_bool, to_float,
 )
 from aerostar.operators import (
-    dedupe, dense_key, distinct_of, drop_cols, drop_null, drop_sentinel, fill, lookup_key,
+    bucketed_lookup, dedupe, dense_key, distinct_of, drop_cols, drop_null, drop_sentinel, fill, lookup_key,
     preview, project, project_as, rename, row_count, schema_report, union_distinct,
-    unique_key, with_cols,
+    store_bucketed, unique_key, with_cols,
 )
 from aerostar.plans import fixtures, flight, hotel, oracle as O, scrape
 from aerostar.plans.etl_runs import DATE_DIMS, FACT_DIMS, run_explore, run_flight, run_hotel, run_scrape
@@ -978,6 +978,36 @@ def scrape_run(spark, sf):
                              "arrivalTime string, flightKey long").option("header", True).csv(path).select(*SCRAPED_COLUMNS)
 
 
+@query("fact_join_bucketed", """
+SELECT o_orderkey, o_custkey, c_nationkey AS nationKey, c_name FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey FROM orders)
+LEFT JOIN (SELECT c_custkey, c_nationkey, c_name FROM customer WHERE c_custkey % 5 <> 0) ON o_custkey = c_custkey""")
+def fact_join_bucketed(spark, sf):
+    """J1/J2 beyond the broadcast budget: orders and customers stored by buckets
+    of the customer; a third of the orders have one customer."""
+    k = F.col("o_orderkey")
+    orders = fixtures.read_table(spark, sf, "orders").select("o_orderkey", F.when(k % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")).cast("long").alias("o_custkey"))
+    customers = fixtures.read_table(spark, sf, "customer").where("c_custkey % 5 <> 0").select(
+        F.col("c_custkey").cast("long").alias("c_custkey"), F.struct("c_nationkey", "c_name").alias("member"))
+    fact, dim = store_bucketed(orders, "o_custkey", 16), store_bucketed(customers, "c_custkey", 16, find_hot=False)
+    found = bucketed_lookup(spark, fact, dim, "member")
+    return found.select("o_orderkey", "o_custkey", F.col("member.c_nationkey").alias("nationKey"), F.col("member.c_name").alias("c_name"))
+
+
+@query("clean_legs_hashed", L(f"""
+SELECT {', '.join(c for c in flight.CLEAN_COLUMNS)}, count(*) AS copies, (SELECT count(*) FROM clean) AS keys, true AS keys_dense FROM clean GROUP BY ALL""",
+    O.CLEAN))
+def clean_legs_hashed(spark, sf):
+    """The cleaned legs, numbered on the dedupe's own exchange. Which number
+    a leg has depends on the hash; that they are 1..n, each once, is the result."""
+    path = stage_dir(spark, "hashed-legs")
+    flight.clean_legs(legs(spark, sf), key="hashed").write.parquet(path)
+    rows = spark.read.parquet(path)
+    k = F.col("flightKey")
+    n, low, high, distinct = rows.agg(F.count(F.lit(1)), F.min(k), F.max(k), F.count_distinct(k)).first()
+    return rows.groupBy(*flight.CLEAN_COLUMNS).agg(F.count(F.lit(1)).alias("copies")).withColumns(
+        {"keys": F.lit(n).cast("long"), "keys_dense": F.lit((low, high, distinct) in ((1, n, n), (None, None, 0)))})
+
+
 # ---- second loads and releases ------------------------------------------------------------------
 
 #: The first file's legs; the second file holds all legs, so these again.

@@ -12,7 +12,7 @@ from aerostar.functions import (
     segments, to_bool, to_float,
 )
 from aerostar.operators import (
-    dedupe, dense_key, distinct_of, drop_null, fill, fits_broadcast, lookup_key, project,
+    dedupe, dense_key, distinct_of, drop_null, fill, fits_broadcast, hashed_key, lookup_key, project,
     union_distinct, unique_key,
 )
 from aerostar.session import run_concurrently
@@ -39,7 +39,9 @@ def clean_legs(legs: DataFrame, key: str = "dense", local_clock: bool = False,
     different rows until then).
 
     ``key='dense'`` numbers legs 1..n by (legId, cleaned columns) - repeatable;
-    ``key='monotonic'`` is the original's gapped, run-dependent id (no shuffle).
+    ``key='monotonic'`` is the original's gapped, run-dependent id (no shuffle);
+    ``key='hashed'`` numbers them 1..n by hash bucket, then legId and columns, on
+    the dedupe's own exchange (one exchange in all, no sampling job).
     """
     df = project(legs, LEG_COLUMNS)
     df = drop_null(df, CRITICAL)
@@ -49,12 +51,21 @@ def clean_legs(legs: DataFrame, key: str = "dense", local_clock: bool = False,
         df = dense_key(df, ["legId"] + CLEAN_COLUMNS, "flightKey")
     elif key == "monotonic":
         df = unique_key(df, "flightKey", start=1)
+    elif key == "hashed":
+        df = hashed_legs(legs, local_clock, duration_days)
     else:
-        raise ValueError(f"key must be 'dense' or 'monotonic', not {key!r}")
+        raise ValueError(f"key must be 'dense', 'hashed' or 'monotonic', not {key!r}")
     return df.select(*CLEAN_COLUMNS, "flightKey")
 
 
-def cleaned(rows: DataFrame, local_clock: bool = False, duration_days: bool = False) -> DataFrame:
+def hashed_legs(legs: DataFrame, local_clock: bool = False, duration_days: bool = False) -> DataFrame:
+    """Deduped legs, keyed where the dedupe's exchange has left them, cleaned."""
+    rows = dedupe(drop_null(project(legs, LEG_COLUMNS), CRITICAL))
+    keyed = hashed_key(rows, LEG_COLUMNS, "flightKey", LEG_COLUMNS)
+    return cleaned(keyed, local_clock, duration_days, keep=("flightKey",))
+
+
+def cleaned(rows: DataFrame, local_clock: bool = False, duration_days: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """``legId`` and the cleaned columns of deduped legs, row by row."""
     df = fill(rows, {"totalFare": 0})
     return df.select(
@@ -64,7 +75,7 @@ def cleaned(rows: DataFrame, local_clock: bool = False, duration_days: bool = Fa
         first_item(segments("segmentsAirlineName")).alias("segmentsAirlineName"),
         iso_hours("travelDuration", days=duration_days).alias("travelDuration"),
         clock(first_item(segments("segmentsDepartureTimeRaw")), local=local_clock).alias("departureTime"),
-        clock(last_item(segments("segmentsArrivalTimeRaw")), local=local_clock).alias("arrivalTime"),
+        clock(last_item(segments("segmentsArrivalTimeRaw")), local=local_clock).alias("arrivalTime"), *keep,
     )
 
 

@@ -80,3 +80,33 @@ def test_publish_rebalances_on_day_and_skips_rollup_for_unique_keys(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "HashAggregate" not in plan
     rolled = publish_frame(df, ["dateKey", "k"], "dateKey", "yyyyMMdd")
     assert "HashAggregate" in rolled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hashed_keys_need_the_dedupes_exchange_only(spark):
+    from aerostar.operators import dedupe, hashed_key
+    from aerostar.operators.keys import placed_rows
+    from aerostar.schemas import LEG_COLUMNS
+    rows = dedupe(drop_null(fixtures.legs(spark, SF_SMALL).select(*LEG_COLUMNS), flight.CRITICAL))
+    before = rows._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    tagged = placed_rows(rows, LEG_COLUMNS, LEG_COLUMNS)._jdf.queryExecution().executedPlan().toString()
+    assert tagged.count("Exchange ") == before and "rangepartitioning" not in tagged
+    first, second = ({r.legId: r.k for r in hashed_key(rows, LEG_COLUMNS, "k", LEG_COLUMNS).collect()} for _ in range(2))
+    assert first == second and sorted(first.values()) == list(range(1, len(first) + 1))
+
+
+def test_bucketed_lookup_moves_neither_side(spark):
+    from aerostar.operators import bucketed_lookup, store_bucketed
+    dim = store_bucketed(spark.range(5000).selectExpr("id AS nk", "id + 1 AS sk").where("nk % 7 != 0"), "nk", 8, find_hot=False)
+    even = store_bucketed(spark.range(20_000).selectExpr("id", "id % 6000 AS nk"), "nk", 8)
+    assert even.hot == ()
+    found = bucketed_lookup(spark, even, dim, "sk")
+    plan = plan_of(found)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted((k, k % 6000, k % 6000 + 1 if k % 6000 < 5000 and k % 6000 % 7 else None) for k in range(20_000))
+    hot = store_bucketed(spark.range(20_000).selectExpr("id", "IF(id % 3 = 0, 11, IF(id % 3 = 1, null, id % 6000)) AS nk"), "nk", 8)
+    assert hot.hot == (11,)
+    found = bucketed_lookup(spark, hot, dim, "sk")
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "hashpartitioning" not in plan
+    want = {k: 12 if k % 3 == 0 else None if k % 3 == 1 or k % 6000 >= 5000 or k % 6000 % 7 == 0 else k % 6000 + 1 for k in range(20_000)}
+    assert {r.id: r.sk for r in found.collect()} == want
