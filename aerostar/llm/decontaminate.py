@@ -176,7 +176,8 @@ def _matched(index: Index, texts: pa.Array) -> list[list[dict]]:
         totals = {q: np.concatenate([[0], np.cumsum(h)]) for q, h in hits.items()}
         for k in range(j - i):
             a, b = w.docs[k], w.docs[k + 1]
-            part = {q: (a, max(a, min(b - q + 1, len(grams[q])))) for q in grams}
+            # Shingles that start in the document: of the last, short ones of a group there are none.
+            part = {q: (min(a, len(g)), min(max(a, b - q + 1), len(g))) for q, g in grams.items()}
             if any(totals[q][y] > totals[q][x] for q, (x, y) in part.items()):
                 out.append(index.matches({q: grams[q][x:y] for q, (x, y) in part.items()}, {q: hits[q][x:y] for q, (x, y) in part.items()}))
             else:

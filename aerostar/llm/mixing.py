@@ -131,6 +131,7 @@ def curriculum(mixed: DataFrame) -> DataFrame:
 
 def schedule(mixed: DataFrame) -> DataFrame:
     """The mix: one row per document and pass that takes words, with the pass,
-    its position and the words it takes, range-sorted by position."""
+    its position and the words it takes, and the number of the document's such
+    passes (``passes``), range-sorted by position."""
     others = [F.col(f"`{c}`") for c in mixed.columns if c not in ("pass", "position", "taken", "passes")]
-    return mixed.select(*others, F.inline("passes")).orderBy("position", "doc_id", "pass")
+    return mixed.select(*others, F.size("passes").alias("passes"), F.inline("passes")).orderBy("position", "doc_id", "pass")

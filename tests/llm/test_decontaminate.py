@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import prose
 
@@ -107,6 +108,17 @@ def test_empty_tables(spark, empty, parts):
     assert not any(r.contaminated for r in D.report(spark, docs, bench.limit(0)).collect())
 
 
+def test_short_texts_at_the_end_of_a_group():
+    """Fewer words than a shingle has follow its last shingle; the documents
+    that begin there have none."""
+    item = " ".join(f"w{k}" for k in range(20))
+    index = D.Index([1, 2], pa.array([item, "one two"], pa.large_string()))
+    for tail in (["", "x", "x y", "one two", ""], ["a b c", None, "one two"], ["x", "x", "x", "x", "x"], ["", ""]):
+        texts = [item, *tail]
+        assert [[m["item_id"] for m in found] for found in D._matched(index, pa.array(texts, pa.large_string()))] == [
+            [1], *([2] if t == "one two" else [] for t in tail)], tail
+
+
 def test_blocks_find_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(1)
     for _ in range(300):

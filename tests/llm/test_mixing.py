@@ -84,6 +84,12 @@ def test_every_pass_has_its_own_position(spark):
     assert max(r.position for r in a if r["pass"] == 0) < min(r.position for r in a if r["pass"] == 1)
 
 
+def test_rows_tell_the_number_of_passes(spark):
+    docs = spark.createDataFrame([(k, "one", "abc"[k % 3], "x") for k in range(300)], "doc_id long, text string, source string, passes string")
+    rows = X.schedule(X.mix(spark, docs)).collect()
+    assert {r.source: r.passes for r in rows}["a"] == 2 and all(r["pass"] < r.passes for r in rows)
+
+
 def test_passes_add_up_to_what_is_taken(spark, messy):
     for r in X.mix(spark, messy).collect():
         assert sum(p.taken for p in r.passes) == r.taken and len(r.passes) <= X.CAP
