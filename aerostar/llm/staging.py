@@ -6,11 +6,9 @@ recomputing what came before, and no plan is evaluated twice.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import stage_dir
+from ..session import importable, stage_dir
 
 
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -20,15 +18,6 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def importable(spark: SparkSession) -> None:
-    """Python workers import this package by name: where only the driver's own
-    path has it (a local session started elsewhere), tell the workers."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

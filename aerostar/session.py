@@ -99,6 +99,15 @@ def stage_dir(spark: SparkSession, name: str = "stage") -> str:
     return f"{root}/aerostar/{name}-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers import this package by name: where only the driver's own
+    path has it (a local session started elsewhere), tell the workers."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for the few helpers that list local folders."""
     if path.startswith("file:"):

@@ -6,11 +6,11 @@ first match (``regexp_extract``) and ``kind='all'`` for every match in page orde
 attribute contents, of which it takes the text or an attribute's value
 (``element_text``, ``elements_text``, ``attribute``, ``attributes`` make them).
 
-Elements are found by a tokenizer over the page's markup, in Spark's own array
-functions. The tags of the rule's name, comments, scripts and styles cut the
-page into pieces; a fold over the tags counts their depth, so an element ends
-with its own closing tag and not with that of an inner element of the same
-name. Attributes may be quoted in either way or not at all; names of tags and
+Elements are found by a pass over the page's markup for each tag that rules
+name, in the tasks (``mapInArrow``, ``PAGES`` pages at a time). The tags of that
+name, comments, scripts and styles cut the page into pieces; their depth is
+counted, so an element ends with its own closing tag and not with that of an
+inner element of the same name. Attributes may be quoted in either way or not at all; names of tags and
 attributes are read in any case. The text of an element has no tags, comments,
 scripts or styles, and its character references are decoded, once. Each page is
 one row, so pages spread over all tasks, and nothing is shuffled."""
@@ -18,23 +18,29 @@ one row, so pages spread over all tasks, and nothing is shuffled."""
 from __future__ import annotations
 
 import html.entities
-import json
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from aerostar.session import importable
 
 # Elements without content; what a browser reads &#128; to &#159; as.
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+PAGES = 256  # decoded at once
 C1 = {f"#{n}": bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
 _INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_SKIP = rf"<!--.*?(?:-->|\z)|<(?:script|style)\b{_INSIDE}>.*?(?:</(?:script|style)\s*>|\z)"
-_TAG = rf"</?[A-Za-z]{_INSIDE}>"
-_ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
-_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_SKIP = rf"<!--.*?(?:-->|\Z)|<(?:script|style)(?u:\b){_INSIDE}>.*?(?:</(?:script|style)\s*>|\Z)"
+_TAG = re.compile(rf"</?[A-Za-z]{_INSIDE}>")
+_NAME, _SPACE = re.compile(r"^<[^\s/>]++", re.A), re.compile(r"\s+", re.A)
+_ATTRIBUTE = re.compile(r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+""", re.A)
+_PART = re.compile(r"([^\s=]++)(\s*+=?+\s*+)(.*+)", re.A | re.S)
+_REFERENCE = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);")
 
 
 @dataclass(frozen=True)
@@ -74,109 +80,126 @@ def _pairs(holds: Mapping[str, str]) -> tuple[tuple[str, str], ...]:
     return tuple((k.replace("_", "-"), v) for k, v in holds.items())
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value computed once a row, also where body uses it
-    inside other lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _values(attributes: str) -> dict[str, str]:
+    """Values of an opening tag's attributes as they are written, by name in
+    lower case; of several of a name the first."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, _, value = _PART.match(m[0]).groups()
+        out.setdefault(name.lower(), value[1:-1] if value[:1] in ('"', "'") else value)
+    return out
 
 
-def attribute_of(token: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag as it is written (of several of
-    that name the first); null: the tag has none."""
-    every = F.regexp_extract_all(F.regexp_replace(token, r"^<[^\s/>]++", ""), F.lit(_ATTRIBUTE), F.lit(0))
-    named = F.filter(every, lambda a: F.lower(F.regexp_extract(a, r"^[^\s=]++", 0)) == name.lower())
+def _fits(values: Mapping[str, str], rule: Element) -> bool:
+    words = _SPACE.split(_decoded(values.get("class", ""))) if rule.classes else ()
+    return (all(c in words for c in rule.classes)
+            and all(text in _decoded(values.get(name.lower(), "")) for name, text in rule.holds))
+
+
+def _found(page: str, tag: str, rules: Sequence[Element]) -> list[list[str]]:
+    """The texts or attribute values of all elements of each rule for a tag, in
+    page order."""
+    opens = re.compile(rf"<{re.escape(tag)}(?=[\s/>])", re.A | re.I)
+    taken: list[list[str]] = [[] for _ in rules]
+    spans: list[list[tuple[int, int]]] = [[] for _ in rules]
+    pieces, at, depth, n = [], 0, 0, 0
+    inside: list[tuple[int, int, int]] = []  # depth, token and rule of what is open
+    for m in re.finditer(rf"{_SKIP}|</?{re.escape(tag)}(?=[\s/>]){_INSIDE}>", page, re.A | re.I | re.S):
+        token = m[0]
+        pieces.append(page[at:m.start()])
+        at = m.end()
+        if opens.match(token):  # a script is a token, and one that skips
+            depth += 1
+            values = _values(_NAME.sub("", token, count=1))
+            for k, rule in enumerate(rules):
+                if _fits(values, rule):
+                    if rule.take is None:
+                        inside.append((depth, n, k))
+                    elif rule.take.lower() in values:
+                        taken[k].append(_decoded(values[rule.take.lower()]))
+        elif token.startswith("</") and depth > 0:
+            while inside and inside[-1][0] == depth:
+                _, start, k = inside.pop()
+                spans[k].append((start, n))
+            depth -= 1
+        n += 1
+    pieces.append(page[at:])
+    for _, start, k in inside:  # what is not closed ends with the page
+        spans[k].append((start, n))
+    return [taken[k] if rule.take is not None else
+            [_decoded(_TAG.sub("", "".join(pieces[a + 1:b + 1]))) for a, b in sorted(spans[k])] for k, rule in enumerate(rules)]
+
+
+def _character(m: re.Match) -> str:
+    """What one reference stands for; a name that nobody knows stays as it is, a
+    number that is no character is the replacement character."""
+    name = m[0][1:-1]
+    if name[0] != "#":
+        return html.entities.html5.get(f"{name};", m[0])
+    number = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
+    if f"#{number}" in C1:
+        return C1[f"#{number}"]
+    return "\ufffd" if number == 0 or 0xD800 <= number <= 0xDFFF or number > 0x10FFFF else chr(number)
 
-    def value(a: Column) -> Column:
-        v = F.regexp_replace(a, r"^[^\s=]++\s*+=?+\s*+", "")
-        return F.when(v.rlike("^[\"']"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-    return F.get(F.transform(named, value), F.lit(0))
 
+def _decoded(text: str) -> str:
+    return _REFERENCE.sub(_character, text) if "&" in text else text
 
-def _fits(token: Column, rule: Element) -> Column:
-    out = F.lit(True)
-    if rule.classes:
-        words = F.split(F.coalesce(decode_entities(attribute_of(token, "class")), F.lit("")), r"\s+")
-        for c in rule.classes:
-            out = out & F.array_contains(words, c)
-    for name, text in rule.holds:
-        out = out & F.contains(F.coalesce(decode_entities(attribute_of(token, name)), F.lit("")), F.lit(text))
-    return out
 
-
-def find(page: Column, rule: Element) -> Column:
-    """The texts or attribute values of all elements of the rule, in page order."""
-    pattern = rf"(?is){_SKIP}|</?{re.escape(rule.tag)}(?=[\s/>]){_INSIDE}>"
-    opens = lambda t: t.rlike(rf"(?is)^<{re.escape(rule.tag)}[\s/>]")  # noqa: E731  (a script is a token, and one that skips)
-    if rule.take is not None:
-        tokens = F.filter(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)), lambda t: opens(t) & _fits(t, rule))
-        return F.transform(F.array_compact(F.transform(tokens, lambda t: attribute_of(t, rule.take))), decode_entities)
-    if rule.tag.lower() in VOID:
-        raise ValueError(f"<{rule.tag}> has no text")
-    span = "array<struct<depth:int,at:int>>"
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.array().cast(span).alias("open"),
-                     F.array().cast("array<struct<at:int,until:int>>").alias("done"))
-
-    def step(s: Column, token: Column) -> Column:
-        state = lambda depth, open_, done: F.struct((s.n + 1).alias("n"), depth.alias("depth"), open_.alias("open"), done.alias("done"))
-        entered = F.struct((s.depth + 1).alias("depth"), s.n.alias("at"))
-        ended = F.transform(F.filter(s.open, lambda o: o.depth == s.depth), lambda o: F.struct(o["at"].alias("at"), s.n.alias("until")))
-        return (F.when(opens(token), state(s.depth + 1, F.when(_fits(token, rule), F.array_append(s.open, entered)).otherwise(s.open), s.done))
-                .when(token.startswith("</") & (s.depth > 0),
-                      state(s.depth - 1, F.filter(s.open, lambda o: o.depth < s.depth), F.concat(s.done, ended)))
-                .otherwise(state(s.depth, s.open, s.done)))
-
-    def finish(s: Column) -> Column:  # what is not closed ends with the page
-        rest = F.transform(s.open, lambda o: F.struct(o["at"].alias("at"), s.n.alias("until")))
-        return F.array_sort(F.concat(s.done, rest))
-
-    def texts(w: Column) -> Column:
-        inside = lambda e: F.array_join(F.slice(w.pieces, e["at"] + 2, e["until"] - e["at"]), "")
-        return F.transform(F.aggregate(w.tokens, start, step, finish), lambda e: _plain(inside(e)))
-
-    cut = F.struct(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)).alias("tokens"), F.split(page, pattern, -1).alias("pieces"))
-    return let(cut, texts)
-
-
-def _names() -> Column:
-    """Names of character references and what they stand for (the table of
-    Python's ``html.entities``, those that end in a semicolon), as one literal."""
-    table = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
-    return F.from_json(F.lit(json.dumps(table | C1)), "map<string,string>")
-
-
-def _character(reference: Column) -> Column:
-    """What one reference stands for; a name that nobody knows stays as it is, a
-    number that is no character is the replacement character."""
-    name = F.substring(reference, F.lit(2), F.length(reference) - 2)
-    number = F.when(name.rlike("^#[0-9]"), F.substring(name, F.lit(2), F.length(name)).cast("long")).when(
-        name.rlike("^#[xX]"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).cast("long"))
-    key = F.when(number.between(128, 159), F.concat(F.lit("#"), number.cast("string"))).otherwise(name)
-    bad = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
-    char = F.when(bad, F.lit("\ufffd")).otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-    return F.coalesce(F.try_element_at(_names(), key), F.when(number.isNotNull(), char), reference)
+def _text(column: pa.Array) -> list[str | None]:
+    """The column's texts; bytes that are no UTF-8 become replacement characters."""
+    return [None if x is None else x.decode("utf-8", "replace") for x in column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()]
 
 
 def decode_entities(c: Column) -> Column:
     """Character references that end in a semicolon (named, decimal or
     hexadecimal) to the characters they stand for; each is read once, so
     ``&amp;lt;`` gives ``&lt;``."""
-    def read(text: Column) -> Column:
-        found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), _character)
-        return F.array_join(F.zip_with(F.split(text, _REFERENCE, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return F.when(F.contains(c, F.lit("&")), read(c)).otherwise(c)
-
-
-def _plain(c: Column) -> Column:
-    return decode_entities(F.regexp_replace(c, _TAG, ""))
+    @F.arrow_udf("string")
+    def decoded(texts: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else _decoded(x) for x in _text(texts)], pa.string())
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        importable(spark)
+    return decoded(c)
+
+
+def _elements(df: DataFrame, rules: Mapping[str, Element], page: str) -> DataFrame:
+    """df with a column for each rule in the place of the page's."""
+    for rule in rules.values():
+        if rule.take is None and rule.tag.lower() in VOID:
+            raise ValueError(f"<{rule.tag}> has no text")
+    importable(df.sparkSession)
+    by_tag: dict[str, list[str]] = {}
+    for name, rule in rules.items():
+        by_tag.setdefault(rule.tag.lower(), []).append(name)
+    kinds = {name: pa.list_(pa.string()) if rule.every else pa.string() for name, rule in rules.items()}
+    others = [c for c in df.columns if c != page]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, PAGES):
+                batch = whole.slice(start, PAGES)
+                out: dict[str, list] = {name: [] for name in rules}
+                for text in _text(batch[page]):
+                    for tag, names in by_tag.items():
+                        found = _found(text, tag, [rules[n] for n in names]) if text is not None else [None] * len(names)
+                        for name, values in zip(names, found):
+                            out[name].append(values if rules[name].every else values[0] if values else "")
+                yield pa.record_batch([*(batch[c] for c in others), *(pa.array(out[n], kinds[n]) for n in rules)], names=[*others, *rules])
+
+    schema = StructType([df.schema[c] for c in others] + [
+        StructField(n, ArrayType(StringType()) if r.every else StringType()) for n, r in rules.items()])
+    return df.mapInArrow(read, schema)
 
 
 def extract_page_fields(df: DataFrame, rules: Mapping[str, Element | tuple[str, int, str]],
                         html: str = "html", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     cols = []
+    elements = {}
     for name, rule in rules.items():
         if isinstance(rule, Element):
-            found = find(F.col(html), rule)
-            cols.append((found if rule.every else F.coalesce(F.get(found, F.lit(0)), F.lit(""))).alias(name))
+            elements[name] = rule
             continue
         pattern, group, kind = rule
         if kind not in ("one", "all"):
@@ -185,7 +208,9 @@ def extract_page_fields(df: DataFrame, rules: Mapping[str, Element | tuple[str,
             cols.append(F.regexp_extract(F.col(html), pattern, group).alias(name))
         else:
             cols.append(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(group)).alias(name))
-    return df.select(*keep, *cols)
+    if not elements:
+        return df.select(*keep, *cols)
+    return _elements(df.select(*keep, *cols, F.col(html).alias("__page")), elements, "__page").select(*keep, *rules)
 
 
 def unequal_lists(lists: list[str], pad: Mapping[str, str] | None = None) -> Column:

@@ -121,3 +121,19 @@ def test_references_as_the_standard_library(spark):
     differ = [(t, got[k], html.unescape(t)) for k, t in enumerate(texts) if got[k] != html.unescape(t)]
     assert not differ, differ[:5]
     assert spark.createDataFrame([(None,)], "t string").select(decode_entities(F.col("t"))).first()[0] is None
+
+
+def test_all_rules_read_a_page_in_one_pass(spark):
+    """One operator finds the elements of all rules, also where a filter and an
+    explode above it read them, and no table of names is parsed for a reference."""
+    page = "<div class=a title='&amp;'>" + "<div>&lt;&#65;</div>" * 50 + "</div><span class=b>&dollar;</span>"
+    df = spark.createDataFrame([(k, page) for k in range(3)] + [(3, None)], "page_id long, html string")
+    rules = {"t": elements_text("div"), "s": element_text("span", "b"), "at": attributes("div", "title", "a"), "lang": ("<(span)", 1, "one")}
+    found = extract_page_fields(df, rules)
+    assert found.columns == ["page_id", *rules]
+    read = found.where(F.size("t") >= 0).select("page_id", F.explode("t").alias("t"), "s", "at", "lang")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "from_json" not in plan
+    rows = read.collect()
+    assert len(rows) == 153 and {(r.s, tuple(r["at"]), r.lang) for r in rows} == {("$", ("&",), "span")}
+    assert found.where("page_id = 3").first()[1:] == (None, "", None, None)
