@@ -174,7 +174,7 @@ def train(ints: DataFrame, books: Books, rounds: int = ROUNDS) -> tuple[Books, l
                 .groupBy("part", "entry", "place")
                 .agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"), F.sum("n").alias("n"), F.sum("error").alias("error")))
         books, spent, seen = books.copy(), np.zeros(len(books)), np.zeros(len(books))
-        for r in sums.toLocalIterator():  # a row for each component of a used entry
+        for r in sums.collect():  # a row for each component of a used entry; one job (an iterator runs one a partition)
             books[r["part"], r["entry"], r["place"]] = int(r["total"]) // r["n"]
             spent[r["part"]] += r["error"]
             seen[r["part"]] += r["n"]

@@ -70,3 +70,26 @@ def test_empty_and_unusable_tables(spark):
         assert coded.count() == 0 and coded.columns == ["vec_id", "code", "error"] and not books.size
     with pytest.raises(ValueError):
         V.compress(spark, frame(spark, []), entries=257)
+
+
+def test_a_round_is_one_job_whatever_the_partitions(spark):
+    """Sums of a round come to the driver together: its jobs do not grow with
+    the number of shuffle partitions."""
+    rng = np.random.default_rng(4)
+    rows = [(k, [float(x) for x in rng.normal(size=16)]) for k in range(60)]
+    ints = V.integers(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    books = V.first_books(ints, "vec_id")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    jobs = []
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (2, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.sparkContext.setJobGroup(f"rounds-{n}", "")
+            V.train(ints, books, 2)
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{n}")))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert jobs[0] == jobs[1] > 0
