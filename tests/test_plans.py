@@ -110,3 +110,12 @@ def test_bucketed_lookup_moves_neither_side(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "hashpartitioning" not in plan
     want = {k: 12 if k % 3 == 0 else None if k % 3 == 1 or k % 6000 >= 5000 or k % 6000 % 7 == 0 else k % 6000 + 1 for k in range(20_000)}
     assert {r.id: r.sk for r in found.collect()} == want
+
+
+def test_files_of_the_glob_follow_the_legs(spark, monkeypatch):
+    from aerostar.plans import catalog
+    small = catalog.QUERIES["scan_legs_glob"](spark, SF_SMALL)
+    monkeypatch.setattr(catalog, "LEGS_PER_PART", 100)
+    many = catalog.QUERIES["scan_legs_glob"](spark, SF_SMALL)
+    assert len(small.inputFiles()) == 4 and len(many.inputFiles()) >= 15
+    assert small.count() == many.count()
