@@ -1084,7 +1084,9 @@ def publish_versions(spark, sf):
     flights = stage_dir(spark, "release-flights")
     clean(spark, sf).select("flightKey", date_key("flightDate").alias("dateKey")).write.parquet(flights)
     flights = spark.read.parquet(flights)
-    dates = flight.dim_date(clean_for_dims(spark, sf)).select("dateKey", "dayOfMonth")
+    path = stage_dir(spark, "release-dates")  # both versions read them
+    flight.dim_date(clean_for_dims(spark, sf)).select("dateKey", "dayOfMonth").write.parquet(path)
+    dates = spark.read.parquet(path)
     frames = lambda keep: {
         "flights": publish_frame(flights.where(keep), ["flightKey", "dateKey"], "dateKey", "yyyyMMdd", typed=True, unique_key="flightKey"),
         "dim_date": publish_frame(dates.where(keep), ["dateKey", "dayOfMonth"], "dateKey", "yyyyMMdd", typed=True, unique_key="dateKey")}
