@@ -115,6 +115,30 @@ def test_scores_against_one_process(spark, two_tongues, messy, monkeypatch):
             assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-4)  # sums travel as 32-bit floats
 
 
+def test_scores_do_not_depend_on_the_limit(spark, two_tongues, messy, monkeypatch):
+    """Restaurants that lie in several buckets are still one: scores are those of
+    one process where almost every word is beyond ``LIMIT`` (some beyond ``WIDE``
+    times that), and where few are."""
+    monkeypatch.setattr(P, "CHUNK", 5000)
+    for docs, limits in ((two_tongues, (4, 300)), (messy, (2,))):
+        want = brute_scores(docs.collect())
+        for limit in limits:
+            monkeypatch.setattr(P, "LIMIT", limit)
+            got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in P.score(spark, docs, seating=lambda c, b, o, d, r: np.ceil(c / 2)).collect())
+            assert [g[:2] for g in got] == [w[:2] for w in want]
+            assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-4)
+
+
+def test_drawn_scores_hardly_depend_on_the_limit(spark, two_tongues, monkeypatch):
+    """Seated by chance, the draws differ and their law does not."""
+    mean = []
+    for limit in (1 << 18, 20):
+        monkeypatch.setattr(P, "LIMIT", limit)
+        rows = [r for r in P.score(spark, two_tongues).collect() if r.held_out]
+        mean.append(sum(r.score for r in rows) / sum(r.n_tokens for r in rows))
+    assert mean[1] == pytest.approx(mean[0], abs=0.01)
+
+
 def test_probabilities_of_all_words_sum_to_one():
     """Over the training words and one unknown one, in seen and unseen contexts."""
     rng = np.random.default_rng(5)
