@@ -48,12 +48,13 @@ def row_digest(columns: list[str]) -> F.Column:
 
 
 def new_legs(spark: SparkSession, legs: DataFrame, release: Release, base: int) -> DataFrame:
-    """The legs of this file that no earlier load had, deduped, with ``__digest``
-    and the month (``__segment``) under which the digest is kept.
+    """The legs of this file that no earlier load had, deduped and cleaned, with
+    ``__digest`` and the month (``__segment``) under which the digest is kept.
 
     Rows are deduped by their digest, which leaves them partitioned for the
     anti-join by digest; of the digests kept, only the months of the file are
-    read."""
+    read. New rows are cleaned once, before they are staged: numbering reads them
+    twice, for a sample and to deal them out."""
     rows = drop_null(project(legs, LEG_COLUMNS), CRITICAL)
     rows = rows.withColumn("__digest", row_digest(LEG_COLUMNS)).withColumn(SEGMENT, F.trunc("flightDate", "month"))
     fresh = dedupe(rows, ["__digest"])
@@ -63,6 +64,7 @@ def new_legs(spark: SparkSession, legs: DataFrame, release: Release, base: int)
         if first is not None:
             seen = release.read("leg_digest", base, first, last).select(F.col("digest").alias("__digest"))
             fresh = fresh.join(seen, "__digest", "left_anti")
+    fresh = cleaned(fresh, keep=("__digest", SEGMENT))
     path = stage_dir(spark, "new-legs")
     fresh.write.parquet(path)
     return spark.read.schema(fresh.schema).parquet(path)
@@ -79,7 +81,7 @@ def load_flight(spark: SparkSession, legs: DataFrame, root: str) -> int:
     if not n and base:
         log.info("load: nothing new")
         return base
-    clean = dense_key(cleaned(fresh.select(*LEG_COLUMNS)), ["legId"] + CLEAN_COLUMNS, "flightKey", start=state.get("flightKey", 0) + 1)
+    clean = dense_key(fresh.drop("__digest", SEGMENT), ["legId"] + CLEAN_COLUMNS, "flightKey", start=state.get("flightKey", 0) + 1)
 
     known = lambda name: release.read(name, base) if release.has(name, base) else None
     airlines, airports = known("dim_airline"), known("dim_airport")
@@ -102,7 +104,8 @@ def load_flight(spark: SparkSession, legs: DataFrame, root: str) -> int:
         "dim_airport": Change(publish_frame(new_airports, ["airportCode", "airportKey"], typed=True, unique_key="airportKey")),
         "dim_date": Change(publish_frame(dates, DATES, "dateKey", "yyyyMMdd", typed=True, unique_key="dateKey", granularity="year")),
         "fact_flight": Change(publish_frame(fact, FACT, "dateKey", "yyyyMMdd", typed=True, unique_key="flightKey", granularity="month")),
-        "leg_digest": Change(fresh.select(F.col("__digest").alias("digest"), SEGMENT)),
+        # Rebalanced as the others are: else every task writes a file to every month.
+        "leg_digest": Change(fresh.select(F.col("__digest").alias("digest"), SEGMENT).hint("rebalance", SEGMENT)),
     }, state, base)
     log.info("load: %d new legs in version %d of %s", n, version, root)
     return version

@@ -109,6 +109,14 @@ def test_loads_add_only_what_is_new(spark, scratch):
     assert r.read("dim_date").select("date").distinct().count() == r.read("dim_date").count()
 
 
+def test_digests_are_rebalanced_by_month(spark, scratch, monkeypatch):
+    """However many tasks read the new legs, not each of them writes to every month."""
+    published = {}
+    monkeypatch.setattr(Release, "publish", lambda self, changes, *rest: published.update(changes) or 1)
+    load_flight(spark, fixtures.legs(spark, SF_SMALL), f"{scratch}/star")
+    assert "RebalancePartitions" in published["leg_digest"].rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_load_without_usable_rows(spark, scratch):
     legs = fixtures.legs(spark, SF_SMALL)
     none = legs.where("destinationAirport IS NULL")
