@@ -21,6 +21,12 @@ def first_item(arr: str | Column) -> Column:
     return F.try_element_at(as_col(arr), F.lit(1))
 
 
+def first_segment(c: str | Column) -> Column:
+    """``first_item(segments(c))`` without splitting the text: what comes before
+    the first separator."""
+    return F.substring_index(as_col(c), "||", 1)
+
+
 def last_item(arr: str | Column) -> Column:
     """Last element (the original splits twice and indexes ``size - 1``)."""
     return F.try_element_at(as_col(arr), F.lit(-1))

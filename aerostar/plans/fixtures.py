@@ -56,7 +56,7 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("l_suppkey").alias("min_supp"),
         F.sum("l_linenumber").alias("q"),
         F.count(F.lit(1)).alias("n_lines"),
-        F.array_sort(F.collect_list(line)).alias("segs"),
+        F.sort_array(F.collect_list(line)).alias("segs"),
     )
     na = F.col("l_orderkey") % 37 == 0
 
@@ -75,14 +75,10 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "secs": (ln * 900).cast("string"),
         }[field]
 
-    # One pass over each order's sorted lines builds every segment text (a
-    # single lambda); the texts are then pulled out per field without lambdas.
-    fields = ["dep", "arr", "arr_ap", "dep_ap", "name", "code", "secs"]
-    texts = F.transform("segs", lambda x: F.struct(*[seg_text(x, f).alias(f) for f in fields]))
-    per_order = per_order.withColumn("segs", texts)
-
+    # One expression for each field: the texts a query does not read are not
+    # built, and the others are built after the joins.
     def joined(field):
-        return F.array_join(F.col(f"segs.{field}"), "||")
+        return F.array_join(F.transform("segs", lambda x: seg_text(x, field)), "||")
 
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")

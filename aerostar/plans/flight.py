@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostar.functions import (
-    clock, date_key, first_item, flag, iso_hours, iso_hours_strict, last_item,
+    clock, date_key, first_segment, flag, iso_hours, iso_hours_strict, last_item,
     segments, to_bool, to_float,
 )
 from aerostar.operators import (
     dedupe, dense_key, distinct_of, drop_null, fill, fits_broadcast, hashed_key, lookup_key, project,
     union_distinct, unique_key,
 )
-from aerostar.session import run_concurrently
+from aerostar.session import run_concurrently, stage_dir
 from aerostar.schemas import LEG_COLUMNS, LEG_COLUMNS_WIDE
 
 # Columns and flags of the original's cleaned legs.
@@ -48,7 +48,10 @@ def clean_legs(legs: DataFrame, key: str = "dense", local_clock: bool = False,
     df = dedupe(df)
     df = cleaned(df, local_clock, duration_days)
     if key == "dense":
-        df = dense_key(df, ["legId"] + CLEAN_COLUMNS, "flightKey")
+        # Staged: the sample for the ranges would finish the dedupe and clean the legs again.
+        path = stage_dir(legs.sparkSession, "cleaned")
+        df.write.parquet(path)
+        df = dense_key(legs.sparkSession.read.schema(df.schema).parquet(path), ["legId"] + CLEAN_COLUMNS, "flightKey")
     elif key == "monotonic":
         df = unique_key(df, "flightKey", start=1)
     elif key == "hashed":
@@ -72,9 +75,9 @@ def cleaned(rows: DataFrame, local_clock: bool = False, duration_days: bool = Fa
         "legId", "flightDate", "startingAirport", "destinationAirport",
         *[flag(c).alias(c) for c in FLAGS],
         to_float("totalFare").alias("totalFare"),
-        first_item(segments("segmentsAirlineName")).alias("segmentsAirlineName"),
+        first_segment("segmentsAirlineName").alias("segmentsAirlineName"),
         iso_hours("travelDuration", days=duration_days).alias("travelDuration"),
-        clock(first_item(segments("segmentsDepartureTimeRaw")), local=local_clock).alias("departureTime"),
+        clock(first_segment("segmentsDepartureTimeRaw"), local=local_clock).alias("departureTime"),
         clock(last_item(segments("segmentsArrivalTimeRaw")), local=local_clock).alias("arrivalTime"), *keep,
     )
 
@@ -86,7 +89,7 @@ def dim_columns(legs: DataFrame) -> DataFrame:
     shuffled, after partial aggregates, and the scan reads only their columns."""
     return drop_null(legs, CRITICAL).select(
         "flightDate", "startingAirport", "destinationAirport",
-        first_item(segments("segmentsAirlineName")).alias("segmentsAirlineName"))
+        first_segment("segmentsAirlineName").alias("segmentsAirlineName"))
 
 
 def dim_airline(clean: DataFrame) -> DataFrame:

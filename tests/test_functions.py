@@ -81,3 +81,11 @@ def test_array_helpers(spark):
     row = df.select(non_blank("a").alias("nb"), pad(non_blank("a"), 4, "X").alias("p")).first()
     assert row.nb == ["1", "2"]
     assert row.p == ["1", "2", "X", "X"]
+
+
+def test_first_segment_is_the_first_item_of_the_segments(spark):
+    from aerostar.functions import first_item, first_segment, segments
+    texts = ["A||B", "A", "", "||B", "A|||B", "|", "||", "|||", "A|B||C", "é||\U0001f6eb||", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(first_item(segments("t")).alias("a"), first_segment("t").alias("b")).collect()
+    assert len(rows) == len(texts) and [r.a for r in rows] == [r.b for r in rows]

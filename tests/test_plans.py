@@ -119,3 +119,18 @@ def test_files_of_the_glob_follow_the_legs(spark, monkeypatch):
     many = catalog.QUERIES["scan_legs_glob"](spark, SF_SMALL)
     assert len(small.inputFiles()) == 4 and len(many.inputFiles()) >= 15
     assert small.count() == many.count()
+
+
+def test_legs_are_cleaned_before_they_are_numbered(spark, monkeypatch):
+    """The sample for the numbering's ranges reads cleaned, staged rows: it must not
+    dedupe and clean the legs a second time."""
+    numbered = []
+    monkeypatch.setattr(flight, "dense_key", lambda df, order, name: numbered.append(df) or df.withColumn(name, F.lit(1)))
+    flight.clean_legs(fixtures.legs(spark, SF_SMALL))
+    plan = numbered[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan and "Project" not in plan
+
+
+def test_only_the_segment_texts_that_are_read_are_built(spark):
+    names = fixtures.legs(spark, SF_SMALL).select("legId", "segmentsAirlineName")
+    assert "lpad" not in names._jdf.queryExecution().optimizedPlan().toString()
